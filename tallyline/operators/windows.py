@@ -60,7 +60,7 @@ def latest_rows(df: DataFrame, date: str) -> DataFrame:
     return df.filter(F.col(date) == df.agg(F.max(date)).scalar())
 
 
-def fill_down(df: DataFrame, keys: Sequence[str], position: str, value: str, name: str, chunk: int = 4096) -> DataFrame:
+def fill_down(df: DataFrame, keys: Sequence[str], position: str, value: str, name: str, chunk: int = 1 << 20) -> DataFrame:
     """Carry the last filled value forward in position order.
 
     Rows are cut into chunks of the integer position. The last value of each chunk is carried over
@@ -112,9 +112,12 @@ def flatten_text(
     text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["v"]), separator)
     counted = [text.alias(name), F.count(F.lit(1)).alias("n_items")]
 
-    small = rows.join(large, on, "left_anti").groupBy(*keys).agg(*counted).withColumn("part", F.lit(0).cast("bigint"))
+    def whole(some: DataFrame) -> DataFrame:
+        one = some.groupBy(*keys).agg(*counted)
+        return one.select(*keys, F.lit(0).cast("bigint").alias("part"), name, "n_items")
+
     if large.isEmpty():
-        return small.select(*keys, "part", name, "n_items")
+        return whole(rows)
 
     hot = row_index(rows.join(large, on, "left_semi"), [*keys, sort_key, item], "__at", 0)
     first = hot.groupBy(*keys).agg(F.min("__at").alias("__first")).withColumnsRenamed({k: f"__{k}" for k in keys})
@@ -124,5 +127,4 @@ def flatten_text(
         .groupBy(*keys, "part")
         .agg(*counted)
     )
-    columns = [*keys, "part", name, "n_items"]
-    return small.select(*columns).unionByName(parts.select(*columns))
+    return whole(rows.join(large, on, "left_anti")).unionByName(parts.select(*keys, "part", name, "n_items"))
