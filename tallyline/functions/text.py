@@ -41,18 +41,13 @@ def pad_code(code: ColumnOrName, full_width: int, prefix: str, short_prefix: str
     )
 
 
-def grams(text: ColumnOrName, lengths: Column) -> Column:
-    """All distinct substrings of a text that have one of the given lengths.
+def grams(text: ColumnOrName, length: Column) -> Column:
+    """All distinct substrings of a text that have the given length.
 
     Their number is bounded by the text itself, so a containment test against a code list
     becomes an equality join instead of a comparison of every text with every code.
     """
     text = as_col(text)
-    per_length = F.transform(
-        lengths,
-        lambda n: F.when(
-            F.length(text) >= n,
-            F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)),
-        ).otherwise(F.array().cast("array<string>")),
-    )
-    return F.array_distinct(F.flatten(per_length))
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    cut = F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, length)))
+    return F.when(F.length(text) >= length, cut)

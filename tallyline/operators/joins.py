@@ -120,7 +120,8 @@ def containing_any(df: DataFrame, text: str, codes: DataFrame, code: str) -> Dat
     lengths = wanted.agg(F.collect_set(F.length("__code")).alias("n")).scalar()
     texts = df.select(F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).distinct()
     hits = (
-        texts.withColumn("__code", F.explode(grams("__text", lengths)))
+        texts.withColumn("__length", F.explode(lengths))
+        .withColumn("__code", F.explode(grams("__text", F.col("__length"))))
         .join(wanted, "__code", "left_semi")
         .select("__text")
     )
