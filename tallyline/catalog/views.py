@@ -108,6 +108,10 @@ def buyers(t: Tables) -> DataFrame:
     )
 
 
+def product_group() -> Column:
+    return F.when(F.col("p_type").isin("ECONOMY", "PROMO", "SMALL"), "Outdoor").otherwise("Tools")
+
+
 def account_of_size() -> Column:
     slot = F.floor((F.col("p_size") - 1) * 8 / 50).cast("int") + 1
     return F.element_at(F.array(*[F.lit(a) for a in ACCOUNTS]), slot)
@@ -124,7 +128,7 @@ def pl(t: Tables) -> DataFrame:
         .select(
             F.col("r_name").alias("region"),
             F.col("c_mktsegment").alias("channel"),
-            F.col("p_type").alias("product"),
+            product_group().alias("product"),
             account_of_size().alias("account"),
             choose("l_returnflag", SCENARIOS).alias("scenario"),
             month_start("l_shipdate").alias("ref_date"),
@@ -145,7 +149,7 @@ NET_SALES_TYPES = {
 
 
 def net_sales(t: Tables) -> DataFrame:
-    heads = buyers(t).select("o_orderkey", "r_name", "n_name")
+    heads = buyers(t).select("o_orderkey", "r_name")
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_linenumber", "l_shipdate", "l_extendedprice")
     parts = t.part.select("p_partkey", "p_type")
     return (
@@ -154,8 +158,8 @@ def net_sales(t: Tables) -> DataFrame:
         .withColumn("code", F.concat(F.col("l_returnflag"), F.col("l_linenumber").cast("string")))
         .select(
             F.col("r_name").alias("region"),
-            F.col("n_name").alias("region_channel"),
-            F.col("p_type").alias("product"),
+            F.col("r_name").alias("region_channel"),
+            product_group().alias("product"),
             choose("code", NET_SALES_TYPES).alias("type"),
             month_start("l_shipdate").alias("ref_date"),
             F.col("l_extendedprice").alias("result"),
@@ -325,6 +329,8 @@ _MONTH_COLUMNS = ", ".join(
 
 _ACCOUNT = "CASE floor((p_size - 1) * 8 / 50)::INT " + " ".join(f"WHEN {i} THEN '{a}'" for i, a in enumerate(ACCOUNTS)) + " END"
 
+_PRODUCT = "CASE WHEN p_type IN ('ECONOMY', 'PROMO', 'SMALL') THEN 'Outdoor' ELSE 'Tools' END"
+
 CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "buyers": ((), _BUYERS),
     "facts": ((), f"""facts AS (
@@ -345,11 +351,11 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     date_diff('day', DATE '1899-12-30', l_shipdate::DATE) AS period, l_extendedprice AS value
   FROM lineitem JOIN part ON l_partkey = p_partkey)"""),
     "pl": (("buyers",), f"""pl AS (
-  SELECT r_name AS region, c_mktsegment AS channel, p_type AS product, {_ACCOUNT} AS account,
+  SELECT r_name AS region, c_mktsegment AS channel, {_PRODUCT} AS product, {_ACCOUNT} AS account,
     {sql_choose('l_returnflag', SCENARIOS)} AS scenario, date_trunc('month', l_shipdate)::DATE AS ref_date, l_extendedprice AS result
   FROM lineitem JOIN buyers ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""),
     "net_sales": (("buyers",), f"""net_sales AS (
-  SELECT r_name AS region, n_name AS region_channel, p_type AS product,
+  SELECT r_name AS region, r_name AS region_channel, {_PRODUCT} AS product,
     {sql_choose("l_returnflag || l_linenumber::VARCHAR", NET_SALES_TYPES)} AS type,
     date_trunc('month', l_shipdate)::DATE AS ref_date, l_extendedprice AS result
   FROM lineitem JOIN buyers ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""),

@@ -87,16 +87,19 @@ def align_measures(tables: dict[str, DataFrame], keys: Sequence[str], all_keys:
     return folded.drop("__place")
 
 
-def shift_years(df: DataFrame, date: str, keys: Sequence[str], value: str, names: Sequence[str]) -> DataFrame:
+def shift_years(
+    df: DataFrame, date: str, keys: Sequence[str], value: str, names: Sequence[str], carried: Sequence[str] = ()
+) -> DataFrame:
     """Attach the value of 1, 2, ... years before to every (keys, date) row, named in that order.
 
     Each row is re-dated to the years in which it serves as a prior year and all copies meet in one
-    aggregation, which replaces one self-join per year. The input holds one row per (keys, date).
+    aggregation, which replaces one self-join per year. The input holds one row per (keys, date);
+    `carried` lists further numeric columns of the row itself to keep.
     """
     years = F.array(*[F.lit(k) for k in range(len(names) + 1)])
     copies = df.withColumn("__back", F.explode(years)).withColumn(date, F.add_months(F.col(date), F.col("__back") * 12))
     own = F.col("__back") == 0
-    cells = [F.sum(F.when(own, F.col(value))).alias(value)]
+    cells = [F.sum(F.when(own, F.col(c))).alias(c) for c in (value, *carried)]
     cells += [F.sum(F.when(F.col("__back") == k, F.col(value))).alias(n) for k, n in enumerate(names, 1)]
     folded = copies.groupBy(*keys, date).agg(*cells, F.max(own).alias("__own"))
     return folded.filter("__own").drop("__own")
