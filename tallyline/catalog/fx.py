@@ -30,17 +30,17 @@ def _(t: Tables):
 
 
 @query("X2_weekly_rates", given("rates", d=DAILY) + f"""
-    SELECT from_ccy, replace(week, 'Week ', '')::INT AS week, month, year, count(*) AS n_periods_per_week, {s('sum(inverse_spot_rate) / count(*)', 'average', 13)}, min(date)::VARCHAR || ' : ' || max(date)::VARCHAR AS date_range
+    SELECT from_ccy, replace(week, 'Week ', '')::INT AS week, month, year, count(*) AS n_periods_per_week, {s('sum(inverse_spot_rate) / count(*)', 'average', 12)}, min(date)::VARCHAR || ' : ' || max(date)::VARCHAR AS date_range
     FROM d GROUP BY 1, week, 2, 3, 4""")
 def _(t: Tables):
-    return fx.weekly_rates(business_rates(t)).withColumn("average", F.round("average", 13))
+    return fx.weekly_rates(business_rates(t)).withColumn("average", F.round("average", 12))
 
 
 @query("X3_monthly_rates", given("rates", d=DAILY) + f"""
-    SELECT from_ccy, month, count(*) AS n_periods, {s('sum(inverse_spot_rate) / count(*)', 'avg', 13)}, min(date)::VARCHAR || ' : ' || max(date)::VARCHAR AS date_range,
+    SELECT from_ccy, month, count(*) AS n_periods, {s('sum(inverse_spot_rate) / count(*)', 'avg', 12)}, min(date)::VARCHAR || ' : ' || max(date)::VARCHAR AS date_range,
       arg_min(week, date) || ' : ' || arg_max(week, date) AS week_range, month(min(date))::INT AS month_n FROM d GROUP BY 1, 2""")
 def _(t: Tables):
-    return fx.monthly_rates(business_rates(t)).withColumn("avg", F.round("avg", 13))
+    return fx.monthly_rates(business_rates(t)).withColumn("avg", F.round("avg", 12))
 
 
 MATRIX_DAYS = [f"1998-03-{d:02d}" for d in range(2, 32) if d not in (7, 8, 14, 15, 21, 22, 28, 29)]
@@ -96,7 +96,7 @@ def impact_sql(scenario: str) -> dict[str, str]:
     }
 
 
-IMPACT_SELECT = f"SELECT {', '.join('i.' + k for k in KEYS)}, i.month, {m('amount', 'amount')}, {s('factor', 'factor')}, {s('impact', 'impact', 8)}, {s('pnl_rate', 'pnl_rate')}, {s('impact * pnl_rate', 'impact_at_rate', 8)} FROM i LEFT JOIN pnl_rates r ON r.month = i.month AND r.lc = i.lc WHERE impact <> 0"
+IMPACT_SELECT = f"SELECT {', '.join('i.' + k for k in KEYS)}, i.month, {m('amount', 'amount')}, {s('factor', 'factor')}, {s('impact', 'impact', 8)}, {s('pnl_rate', 'pnl_rate')}, {s('impact * pnl_rate', 'impact_at_rate', 4)} FROM i LEFT JOIN pnl_rates r ON r.month = i.month AND r.lc = i.lc WHERE impact <> 0"
 
 
 def impact(t: Tables, scenario: str):
@@ -104,7 +104,9 @@ def impact(t: Tables, scenario: str):
 
 
 def shown(df):
-    return rounded(df, ["amount"], ["factor", "pnl_rate"]).withColumns({c: fine(F.col(c), digits=8) for c in ("impact", "impact_at_rate")})
+    return rounded(df, ["amount"], ["factor", "pnl_rate"]).withColumns(
+        {"impact": fine(F.col("impact"), digits=8), "impact_at_rate": fine(F.col("impact_at_rate"), digits=4)}
+    )
 
 
 @query("X6_transactional_impact", given("transactional", "pnl_rates", "fx_factors", **impact_sql("ACTUAL")) + IMPACT_SELECT)

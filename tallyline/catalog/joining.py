@@ -122,10 +122,10 @@ def _(t: Tables):
 
 
 @query("J12_report_scaffold", """
-    SELECT n_name AS line, y::INT AS observation, 'FY' || substring(y::VARCHAR, 3, 2) AS years, mo AS period, p AS product, make_date(y, i, 1) AS ref_date
-    FROM nation, range(1995, 2002) ys(y), (SELECT unnest(['""" + "', '".join(MONTH_NAMES) + """']) AS mo, unnest(range(1, 13)) AS i), (SELECT unnest(['Total', 'Tools', 'Outdoor']) AS p)""")
+    SELECT s_name AS line, y::INT AS observation, 'FY' || substring(y::VARCHAR, 3, 2) AS years, mo AS period, p AS product, make_date(y, i, 1) AS ref_date
+    FROM supplier, range(1995, 2002) ys(y), (SELECT unnest(['""" + "', '".join(MONTH_NAMES) + """']) AS mo, unnest(range(1, 13)) AS i), (SELECT unnest(['Total', 'Tools', 'Outdoor']) AS p)""")
 def _(t: Tables):
-    template = t.nation.select(F.col("n_name").alias("line"))
+    template = t.supplier.select(F.col("s_name").alias("line"))
     grid = joins.expand_grid(template, observation=range(1995, 2002), period=MONTH_NAMES, product=["Total", "Tools", "Outdoor"])
     return grid.select("line", "observation", fiscal_label("observation").alias("years"), "period", "product", month_of("observation", month_number("period")).alias("ref_date"))
 

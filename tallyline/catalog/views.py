@@ -37,6 +37,11 @@ def product_cents(a: str, b: str) -> Column:
     return F.floor(F.col(a) * F.col(b) * 100 + 0.5) / 100
 
 
+def four_places(value: Column) -> Column:
+    """Four decimals by the same arithmetic in every engine."""
+    return F.floor(value * 10000 + 0.5) / 10000
+
+
 def sql_cents(a: str, b: str) -> str:
     return f"(floor({a} * {b} * 100e0 + 0.5e0) / 100e0)"
 
@@ -206,7 +211,7 @@ def rates(t: Tables) -> DataFrame:
     return (
         buyers(t)
         .groupBy(F.col("n_name").alias("from_ccy"), F.col("o_orderdate").cast("date").alias("date"))
-        .agg((F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1)) / 100000).alias("inverse_spot_rate"))
+        .agg(four_places(F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1)) / 100000).alias("inverse_spot_rate"))
     )
 
 
@@ -245,13 +250,14 @@ def pnl_rates(t: Tables) -> DataFrame:
             F.date_format("o_orderdate", "MMM").alias("month"),
             F.concat(F.lit("C"), F.substring("n_name", 8, 2)).alias("lc"),
         )
-        .agg((F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1)) / 100000).alias("pnl_rate"))
+        .agg(four_places(F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1)) / 100000).alias("pnl_rate"))
     )
 
 
 def fx_factors(t: Tables) -> DataFrame:
     """Distribution factor per month, keyed by business (some part types) or by market (nations)."""
-    shares = (F.round(F.sum("l_discount"), 2) / F.count(F.lit(1))).alias("factor")
+    mean = F.round(F.sum("l_discount"), 2) / F.count(F.lit(1))
+    shares = four_places(mean).alias("factor")
     month = F.date_format("l_shipdate", "MMM").alias("month")
     lines = t.lineitem.select("l_suppkey", "l_partkey", "l_shipdate", "l_discount")
     by_business = (
@@ -366,7 +372,7 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
     "daily": (("buyers",), """daily AS (
   SELECT r_name AS region, o_orderpriority AS category, n_name AS entity, o_orderdate::DATE AS day, o_totalprice AS value FROM buyers)"""),
     "rates": (("buyers",), """rates AS (
-  SELECT n_name AS from_ccy, o_orderdate::DATE AS date, round(sum(o_totalprice), 2) / count(*) / 100000 AS inverse_spot_rate
+  SELECT n_name AS from_ccy, o_orderdate::DATE AS date, floor(round(sum(o_totalprice), 2) / count(*) / 100000 * 10000e0 + 0.5e0) / 10000e0 AS inverse_spot_rate
   FROM buyers GROUP BY 1, 2)"""),
     "transactional": ((), f"""transactional AS (
   SELECT strftime(l_shipdate, '%b') AS month, {sql_choose('l_returnflag', {'A': 'ACTUAL', 'R': 'FCS', 'N': 'PLAN'})} AS scenario,
@@ -376,12 +382,12 @@ CTE: dict[str, tuple[tuple[str, ...], str]] = {
   JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey)"""),
     "pnl_rates": (("buyers",), """pnl_rates AS (
   SELECT strftime(o_orderdate, '%b') AS month, 'C' || substring(n_name, 8, 2) AS lc,
-    round(sum(o_totalprice), 2) / count(*) / 100000 AS pnl_rate FROM buyers GROUP BY 1, 2)"""),
+    floor(round(sum(o_totalprice), 2) / count(*) / 100000 * 10000e0 + 0.5e0) / 10000e0 AS pnl_rate FROM buyers GROUP BY 1, 2)"""),
     "fx_factors": ((), """fx_factors AS (
-  SELECT p_type AS region_market, strftime(l_shipdate, '%b') AS month, round(sum(l_discount), 2) / count(*) AS factor
+  SELECT p_type AS region_market, strftime(l_shipdate, '%b') AS month, floor(round(sum(l_discount), 2) / count(*) * 10000e0 + 0.5e0) / 10000e0 AS factor
   FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type IN ('PROMO', 'SMALL') GROUP BY 1, 2
   UNION ALL
-  SELECT n_name, strftime(l_shipdate, '%b'), round(sum(l_discount), 2) / count(*)
+  SELECT n_name, strftime(l_shipdate, '%b'), floor(round(sum(l_discount), 2) / count(*) * 10000e0 + 0.5e0) / 10000e0
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2)"""),
     "hierarchy": ((), """hierarchy AS (
   SELECT 'Entity' AS dimension, 'Parent' AS member_type, r_name AS name, r_name AS x1, NULL::VARCHAR AS x2, NULL::VARCHAR AS x3 FROM region
