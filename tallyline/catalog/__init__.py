@@ -11,9 +11,7 @@ MODULES = [
     "close", "pnl", "bridge", "daily", "fx", "hierarchy", "reconcile", "growth", "people", "ops",
 ]
 
-import os as _os
-
-for _module in (_m for _m in MODULES if _os.path.exists(_os.path.join(_os.path.dirname(__file__), _m + ".py"))):
+for _module in MODULES:
     import_module(f"tallyline.catalog.{_module}")
 
 __all__ = ["ORACLES", "QUERIES"]
