@@ -182,8 +182,8 @@ def unit_overview(unit: str) -> str:
 @query("V9_consolidation", given("facts", stacked=f"{unit_overview('first')} UNION ALL {unit_overview('second')}") + f"""
     SELECT CASE WHEN contains(category, 'PROMO') THEN 'Service Upgrade' ELSE category END AS category, vendor, {', '.join(m(f'coalesce(sum({c}), 0)', c) for c in ALL_WINDOWS)} FROM stacked GROUP BY 1, 2""")
 def _(t: Tables):
-    units = [close.statement_overview(facts(t).filter(F.col("unit") == u), LATE) for u in ("first", "second")]
-    return rounded(close.consolidate(units, merged=("PROMO", "Service Upgrade")), ALL_WINDOWS)
+    units = close.statement_overview(facts(t), LATE, by=("unit", "category")).drop("unit")
+    return rounded(close.consolidate([units], merged=("PROMO", "Service Upgrade")), ALL_WINDOWS)
 
 
 @query("V10_detailed_report", given("ledger", "amortization", **lines_sql(True, False), amort=AMORT_SQL, c=CLOSE_SQL, other=
@@ -239,8 +239,7 @@ def _(t: Tables):
 
 @query("V13_consolidated_table", given("facts", f="SELECT * FROM facts WHERE year(period) = 1999") + f"SELECT category, type, {overview_cells()} FROM f GROUP BY 1, 2")
 def _(t: Tables):
-    year = year_facts(t)
-    return rounded(close.consolidated([year.filter(F.col("type") == k) for k in ("actuals", "op", "fcast")]), MONTH_CELLS)
+    return rounded(close.consolidated([year_facts(t)]), MONTH_CELLS)
 
 
 @query("V13_detailed_table", given("ledger", "amortization", "planned", **lines_sql(True, False), amort=AMORT_SQL) + f"""

@@ -16,14 +16,12 @@ MEASURES = {"actuals": "FO", "qr": "F", "op": "O", "cp": "P", "lowtarget": "FP",
 
 
 def day_measures(t: Tables):
-    rows = buyers(t).select(
+    """Long rows: an order counts for every measure whose statuses include its own."""
+    names = F.array_compact(F.array(*[F.when(F.col("o_orderstatus").isin(list(statuses)), F.lit(name)) for name, statuses in MEASURES.items()]))
+    return buyers(t).select(
         F.col("r_name").alias("region"), F.col("o_orderpriority").alias("category"), F.year("o_orderdate").alias("year"),
-        F.concat(F.lit("d"), F.dayofyear("o_orderdate").cast("string")).alias("day_code"), "o_orderstatus", "o_totalprice",
+        F.concat(F.lit("d"), F.dayofyear("o_orderdate").cast("string")).alias("day_code"), F.col("o_totalprice").alias("value"), F.explode(names).alias("measure"),
     )
-    return {
-        name: rows.filter(F.col("o_orderstatus").isin(list(statuses))).groupBy(*KEYS).agg(F.sum("o_totalprice").alias(name))
-        for name, statuses in MEASURES.items()
-    }
 
 
 DAY_SUMS = "SELECT r_name AS region, o_orderpriority AS category, year(o_orderdate)::INT AS year, 'd' || dayofyear(o_orderdate) AS day_code, " + ", ".join(
@@ -35,7 +33,7 @@ DAY_SUMS = "SELECT r_name AS region, o_orderpriority AS category, year(o_orderda
     FROM g LEFT JOIN cal ON day_code = 'd' || dayofyear(data_date)""")
 def _(t: Tables):
     days = calendar(t.spark, "1996-01-01", "1996-12-31")
-    return rounded(plan.daily_perspective(day_measures(t), KEYS, days), list(MEASURES))
+    return rounded(plan.daily_perspective(day_measures(t), list(MEASURES), KEYS, days), list(MEASURES))
 
 
 def month_targets(t: Tables):
@@ -68,8 +66,11 @@ def sales(t: Tables):
 
 
 def targets(t: Tables):
-    forecast = plan.forecast_perspective(month_targets(t), ["region", "category", "year", "period"])
-    return rounded(forecast.select("region", "category", "year", F.col("month_day").alias("month"), "fcast", "budget", "posted"), ["fcast", "budget", "posted"])
+    """The monthly targets of month_targets out of one pass over the orders."""
+    kinds = {"fcast": "F", "budget": "O", "posted": "P"}
+    sums = [F.round(F.sum(F.when(F.col("o_orderstatus") == status, F.col("o_totalprice"))), 2).alias(name) for name, status in kinds.items()]
+    keys = [F.col("r_name").alias("region"), F.col("o_orderpriority").alias("category"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")]
+    return buyers(t).groupBy(*keys).agg(*sums).filter(F.col("fcast").isNotNull())
 
 
 TRACK = {

@@ -162,17 +162,29 @@ WIDE_CELLS = [f"{a}_{x}" for a in ACCOUNT_FILTERS for x in MONTH_ABBREVIATIONS]
 COMPRESSED = {"cw": "SELECT segment, upper(region) AS region, lc, entity, " + ", ".join(f"coalesce(sum(CASE WHEN month = '{x}' THEN {a} END), 0) AS {a}_{x}" for a in ACCOUNT_FILTERS for x in MONTH_ABBREVIATIONS) + f" FROM j WHERE segment <> 'HQ' GROUP BY 1, 2, 3, 4 HAVING {' + '.join(WIDE_CELLS)} <> 0"}
 
 
+BUSINESS = {"sganda": "PROMO", "ocos": "SMALL", "sgm": "LARGE"}
+
+
+def account_rows(t: Tables):
+    segment = F.when(F.col("region") == "EUROPE", "HQ").otherwise("Core")
+    return transactional(t).withColumn("segment", segment).withColumn("region", F.lower("region"))
+
+
 def account_tables(t: Tables):
-    rows = transactional(t).withColumn("segment", F.when(F.col("region") == "EUROPE", "HQ").otherwise("Core")).withColumn("region", F.lower("region"))
-    business = {"sganda": "PROMO", "ocos": "SMALL", "sgm": "LARGE"}
+    """One table per account, as they are landed."""
+    rows = account_rows(t)
     return {
-        a: (rows.filter(F.col("business") == business[a]) if a in business else rows).groupBy(*ACCOUNT_KEYS).agg(F.sum("transactional_fx").alias(a))
+        a: (rows.filter(F.col("business") == BUSINESS[a]) if a in BUSINESS else rows).groupBy(*ACCOUNT_KEYS).agg(F.sum("transactional_fx").alias(a))
         for a in ACCOUNT_FILTERS
     }
 
 
 def compressed(t: Tables):
-    return fx.compress_accounts(account_tables(t), ACCOUNT_KEYS, excluded_segments=["HQ"])
+    """The same accounts from long rows, in one pass: a line counts as net sales and for its own account."""
+    own = [F.when(F.col("business") == b, F.lit(a)) for a, b in BUSINESS.items()]
+    measures = F.array_compact(F.array(F.lit("netsales"), *own))
+    long = account_rows(t).select(*ACCOUNT_KEYS, F.col("transactional_fx").alias("value"), F.explode(measures).alias("measure"))
+    return fx.compress_long(long, list(ACCOUNT_FILTERS), ACCOUNT_KEYS, excluded_segments=["HQ"])
 
 
 @query("X9_account_compression", given("transactional", **ACCOUNT_SQL, **JOINED, **COMPRESSED) + f"SELECT segment, region, lc, entity, {ms(*WIDE_CELLS)} FROM cw")
@@ -182,7 +194,8 @@ def _(t: Tables):
 
 @query("X9_month_of_compression", given("transactional", **ACCOUNT_SQL, **JOINED, **COMPRESSED) + f"SELECT entity, {ms('netsales_Aug', 'sganda_Aug', 'ocos_Aug', 'sgm_Aug')} FROM cw")
 def _(t: Tables):
-    return rounded(fx.month_columns(compressed(t), "Aug"), ["netsales_Aug", "sganda_Aug", "ocos_Aug", "sgm_Aug"])
+    landed = fx.compress_accounts(account_tables(t), ACCOUNT_KEYS, excluded_segments=["HQ"])
+    return rounded(fx.month_columns(landed, "Aug"), ["netsales_Aug", "sganda_Aug", "ocos_Aug", "sgm_Aug"])
 
 
 @query("X9_categorised_entities", given("transactional", **ACCOUNT_SQL, **JOINED, **COMPRESSED) + """

@@ -66,18 +66,18 @@ def _(t: Tables):
 @query("L2_measures_by_scenario", given("pl", **STEPS) + " UNION ALL ".join(
     f"SELECT region, channel, product, ref_date, account, '{x}' AS scenario, {s(x, 'value', 4)} FROM lines" for x in SC))
 def _(t: Tables):
-    lines = pnl.report_lines(pnl.compare_scenarios(pl(t)))
+    lines = pnl.report_lines(pnl.post(pl(t)))
     return four(pnl.measures_by_scenario(lines), ["value"])
 
 
 @query("L3_variances", given("pl", **STEPS) + f"SELECT region, channel, product, ref_date, account, {variance_sql()} FROM lines")
 def _(t: Tables):
-    return four(pnl.variances(pnl.report_lines(pnl.compare_scenarios(pl(t)))), VALUES)
+    return four(pnl.variances(pnl.report_lines(pnl.post(pl(t)))), VALUES)
 
 
 @query("L4_report_order", given("pl", **STEPS) + f"SELECT DISTINCT {RANK}::INT AS indicative, {SHOWN} AS account, count(*) OVER (PARTITION BY account) AS n FROM lines")
 def _(t: Tables):
-    shown = pnl.present(pnl.report_lines(pnl.compare_scenarios(pl(t))))
+    shown = pnl.present(pnl.report_lines(pnl.post(pl(t))))
     return shown.groupBy("indicative", "account").agg(F.count(F.lit(1)).alias("n")).orderBy("indicative")
 
 
@@ -88,7 +88,8 @@ def _(t: Tables):
 
 @query("L5_newest_month_statement", given("pl", **STEPS) + STATEMENT + " WHERE ref_date = (SELECT max(ref_date) FROM pl)")
 def _(t: Tables):
-    return four(pnl.newest_statement(pl(t)), VALUES)
+    newest = pnl.newest_month(t.lineitem, "l_shipdate")
+    return four(pnl.newest_statement(pl(t, pnl.months_needed(newest)), newest), VALUES)
 
 
 @query("L6_next_month_rows", given("pl") + """
@@ -96,4 +97,5 @@ def _(t: Tables):
       month(ref_date + INTERVAL 1 MONTH)::INT AS month, strftime(ref_date + INTERVAL 1 MONTH, '%B') AS period, 'FY' || strftime(ref_date + INTERVAL 1 MONTH, '%y') AS years
     FROM pl WHERE ref_date = (SELECT max(ref_date) FROM pl)""")
 def _(t: Tables):
-    return pnl.next_month_rows(pl(t))
+    newest = pnl.newest_month(t.lineitem, "l_shipdate")
+    return pnl.next_month_rows(pl(t, [newest]), newest)

@@ -122,10 +122,20 @@ def account_of_size() -> Column:
     return F.element_at(F.array(*[F.lit(a) for a in ACCOUNTS]), slot)
 
 
-def pl(t: Tables) -> DataFrame:
+def within_months(column: str, months) -> Column:
+    """Ranges on the raw column, so that the scan skips row groups of other months."""
+    hit = F.lit(False)
+    for first in months:
+        after = first.replace(year=first.year + first.month // 12, month=first.month % 12 + 1)
+        hit = hit | ((F.col(column) >= F.lit(str(first)).cast("timestamp_ntz")) & (F.col(column) < F.lit(str(after)).cast("timestamp_ntz")))
+    return hit
+
+
+def pl(t: Tables, months=None) -> DataFrame:
     """Posted P&L lines by region, channel, product, account, scenario and month."""
     heads = buyers(t).select("o_orderkey", "r_name", "c_mktsegment")
-    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_returnflag", "l_shipdate", "l_extendedprice")
+    posted = t.lineitem if months is None else t.lineitem.filter(within_months("l_shipdate", months))
+    lines = posted.select("l_orderkey", "l_partkey", "l_returnflag", "l_shipdate", "l_extendedprice")
     parts = t.part.select("p_partkey", "p_type", "p_size")
     return (
         lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))

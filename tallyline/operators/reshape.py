@@ -68,23 +68,34 @@ def gather(df: DataFrame, ids: Sequence[str], names_to: str, values_to: str, col
     return df.unpivot(list(ids), cells, names_to, values_to)
 
 
+def stack_measures(tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Several one-measure tables as long rows: keys, measure, value."""
+    parts = [table.select(*keys, F.lit(name).alias("measure"), F.col(name).cast("double").alias("value")) for name, table in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def fold_measures(long: DataFrame, keys: Sequence[str], measures: Sequence[str], all_keys: bool = False) -> DataFrame:
+    """Long measures side by side, one row per key.
+
+    Left-join semantics: the keys of the first measure decide the rows, unless all_keys is set.
+    """
+    def of(name: str) -> Column:
+        return F.col("measure") == name
+
+    cells = [F.sum(F.when(of(name), F.col("value"))).alias(name) for name in measures]
+    folded = long.groupBy(*keys).agg(*cells, F.max(of(measures[0])).alias("__first"))
+    if not all_keys:
+        folded = folded.filter("__first")
+    return folded.drop("__first")
+
+
 def align_measures(tables: dict[str, DataFrame], keys: Sequence[str], all_keys: bool = False) -> DataFrame:
-    """Put the measures of several tables side by side, one row per key.
+    """Put the measures of several tables side by side, one row per key of the first table.
 
-    Left-join semantics: the keys of the first table decide the rows, unless all_keys is set.
     Instead of one join per table the tables are stacked and folded in a single aggregation,
     so the data is shuffled once no matter how many tables there are.
     """
-    measures = list(tables)
-    parts = []
-    for place, (name, table) in enumerate(tables.items()):
-        cells = [F.col(name) if m == name else F.lit(None).cast("double").alias(m) for m in measures]
-        parts.append(table.select(*keys, *cells, F.lit(place).alias("__place")))
-    stacked = reduce(lambda a, b: a.unionByName(b), parts)
-    folded = stacked.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures], F.min("__place").alias("__place"))
-    if not all_keys:
-        folded = folded.filter(F.col("__place") == 0)
-    return folded.drop("__place")
+    return fold_measures(stack_measures(tables, keys), keys, list(tables), all_keys)
 
 
 def shift_years(

@@ -102,7 +102,8 @@ def flatten_text(
     whole text: no task ever holds more than one part, and nothing is cut off.
     """
     sort_key = order or item
-    rows = df.filter(F.col(item).isNotNull()).select(*keys, item, *([order] if order else []))
+    # The rows are used up to three times, so they are written once instead of being recomputed.
+    rows = cut_lineage(df.filter(F.col(item).isNotNull()).select(*keys, item, *([order] if order else [])))
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     hidden = sizes.withColumnsRenamed({k: f"__{k}" for k in keys})
     on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]

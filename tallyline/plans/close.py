@@ -119,16 +119,18 @@ def ledger_actuals(
     line that holds all clearing amounts of a month.
     """
     upto = lines.filter(F.col("period") <= F.lit(as_of))
-    actuals = upto.groupBy("category", "period").agg(strict_sum("gross").alias("value"))
+    own = F.struct(F.col("category"), F.col("gross").alias("value"))
     if replaced:
-        actuals = actuals.filter(lacks("category", replaced))
-    parts = [actuals]
-    if amortization is not None:
-        parts.append(amortization.filter(F.col("period") <= F.lit(as_of)))
+        own = F.when(lacks("category", replaced), own)
+    entries = [own]
     if capitalized:
-        months = upto.groupBy("period").agg(strict_sum("clearing_account").alias("value"))
-        parts.append(months.select(F.lit(capitalized).alias("category"), "period", "value"))
-    return as_facts(union_all(*parts), "actuals")
+        entries.append(F.struct(F.lit(capitalized).alias("category"), F.col("clearing_account").alias("value")))
+    # Both lines of a posting go through the same aggregation, so the close lines are built once.
+    booked = upto.select("period", F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.category", "period", "e.value")
+    actuals = booked.groupBy("category", "period").agg(strict_sum("value").alias("value"))
+    if amortization is not None:
+        actuals = union_all(actuals, amortization.filter(F.col("period") <= F.lit(as_of)))
+    return as_facts(actuals, "actuals")
 
 
 # ---------------------------------------------------------------- plan and forecast
@@ -234,9 +236,12 @@ def overview(facts: DataFrame, keys: Sequence[str] = ("category", "type"), fill:
 
 
 def consolidated(frames: Sequence[DataFrame], fill: float = 0.0) -> DataFrame:
-    """Overviews of all types stacked, missing amounts as 0, months then quarters."""
+    """Overviews of all types in one table, missing amounts as 0, months then quarters.
+
+    The facts are stacked first, so all types share one aggregation.
+    """
     cells = MONTH_ABBREVIATIONS + [f"Q{q}" for q in range(1, 5)]
-    return union_all(*[overview(f) for f in frames]).fillna(fill, subset=cells).select("category", "type", *cells)
+    return overview(union_all(*frames), fill=fill).select("category", "type", *cells)
 
 
 def cross_table(wide: DataFrame, first: str = "actuals", others: Sequence[str] = ("op", "fcast")) -> DataFrame:

@@ -11,17 +11,17 @@ from pyspark.sql import functions as F
 from tallyline.functions.nulls import ratio_or_null, zero
 from tallyline.functions.periods import MONTH_ABBREVIATIONS, month_number, month_of, quarter_label
 from tallyline.operators.joins import join_named
-from tallyline.operators.reshape import align_measures
+from tallyline.operators.reshape import align_measures, fold_measures
 
 DIMS = ("region", "category")
 
 
-def daily_perspective(measures: dict[str, DataFrame], keys: Sequence[str], days: DataFrame) -> DataFrame:
-    """Daily measures side by side, with calendar columns found by the day code.
+def daily_perspective(long: DataFrame, measures: Sequence[str], keys: Sequence[str], days: DataFrame) -> DataFrame:
+    """Daily measures (long rows: keys, measure, value) side by side, with calendar columns found by the day code.
 
     The rows are those of the first measure; the calendar holds one row per day code.
     """
-    aligned = align_measures(measures, keys)
+    aligned = fold_measures(long, keys, measures)
     return join_named(aligned, days.withColumnRenamed("day_code", "calendar_day"), {"day_code": "calendar_day"})
 
 

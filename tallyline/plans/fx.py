@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import lacks, matches, mean_over_rows, none_of, one_of, zero
 from tallyline.functions.periods import MONTH_ABBREVIATIONS
-from tallyline.operators.columns import drop_zero_rows, rename_all, row_total
-from tallyline.operators.joins import join_named, lookup_with_fallback, missing_both_ways, natural_join
-from tallyline.operators.reshape import spread
+from tallyline.operators.columns import drop_zero_rows, rename_all
+from tallyline.operators.joins import lookup_with_fallback, missing_both_ways
+from tallyline.operators.reshape import spread, stack_measures
 from tallyline.operators.totals import add_totals
 
 
@@ -124,12 +124,30 @@ def tie_out(tracked: DataFrame, reported: DataFrame, tracked_value: str, reporte
 
 
 def compress_accounts(tables: dict[str, DataFrame], keys: Sequence[str], months: Sequence[str] = MONTH_ABBREVIATIONS, excluded_segments: Sequence[str] = ()) -> DataFrame:
-    """Several account tables joined on their common columns, wide by month, all-zero rows dropped."""
-    joined = natural_join(tables.values()).fillna(0.0, subset=list(tables))
+    """Several account tables (one value column each) wide by month; see compress_long."""
+    return compress_long(stack_measures(tables, keys), list(tables), keys, months, excluded_segments)
+
+
+def compress_long(
+    long: DataFrame, accounts: Sequence[str], keys: Sequence[str], months: Sequence[str] = MONTH_ABBREVIATIONS, excluded_segments: Sequence[str] = ()
+) -> DataFrame:
+    """Accounts (long rows: keys with month, measure, value) wide by month, all-zero rows dropped.
+
+    The first account decides which (key, month) rows exist, as in a chain of left joins. That test
+    and the spread over accounts and months run in one aggregation instead of one join per account.
+    """
     ids = [k for k in keys if k != "month"]
-    wide = spread(joined, ids, "month", list(months), list(tables), fill=0.0)
-    cells = [f"{a}_{m}" for a in tables for m in months]
-    kept = wide.filter(row_total(cells) != 0).filter(none_of("segment", excluded_segments))
+
+    def at(account: str, month: str) -> Column:
+        return (F.col("measure") == account) & (F.col("month") == month)
+
+    cells = []
+    for account in accounts:
+        for month in months:
+            total = F.sum(F.when(at(account, month), F.col("value")))
+            cells.append(F.coalesce(F.when(F.max(at(accounts[0], month)), total), F.lit(0.0)).alias(f"{account}_{month}"))
+    wide = long.filter(none_of("segment", excluded_segments)).groupBy(*ids).agg(*cells)
+    kept = drop_zero_rows(wide, [f"{a}_{m}" for a in accounts for m in months])
     return kept.withColumn("region", F.upper("region"))
 
 

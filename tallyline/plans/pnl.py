@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,25 +53,39 @@ def compare_scenarios(pl: DataFrame, dims: Sequence[str] = DIMS, scenarios: Sequ
 
     The posted lines are summed to the cube first; the prior years are attached to the cube.
     """
-    cube = spread(pl, [*dims, "account", "ref_date"], "scenario", list(scenarios), "result")
+    cube = post(pl, dims, scenarios)
     return shift_years(cube, "ref_date", [*dims, "account"], "actual", PRIOR, carried=[s for s in scenarios if s != "actual"])
 
 
-def report_lines(compared: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts()) -> DataFrame:
+def post(pl: DataFrame, dims: Sequence[str] = DIMS, scenarios: Sequence[str] = SCENARIOS) -> DataFrame:
+    """The posted lines summed to one row per (dims, account, month), scenarios as columns."""
+    return spread(pl, [*dims, "account", "ref_date"], "scenario", list(scenarios), "result")
+
+
+def report_lines(cube: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts()) -> DataFrame:
     """Posted accounts and derived measures as lines, one column per scenario.
 
     The organic base of a scenario is the net sales one year before it: py for the current-year
-    scenarios, ppy for py and pppy for ppy. All accounts and scenarios are spread in one
-    aggregation, the measures are row-wise arithmetic on it.
+    scenarios, ppy for py and pppy for ppy. The cube rows are re-dated to the years in which they
+    serve as prior years, and one aggregation brings all accounts, scenarios and years together; the
+    measures are row-wise arithmetic on it. A prior year counts only where the account is posted in
+    the month itself.
     """
     def cell(account: str, scenario: str) -> str:
         return f"{accounts.listed().index(account)}__{scenario}"
 
-    sums = [
-        F.sum(F.when(F.col("account") == a, F.col(s))).alias(cell(a, s))
-        for a in accounts.listed() for s in (*COMPARED, "pppy") if s != "pppy" or a == accounts.net_sales
-    ]
-    wide = compared.groupBy(*dims, "ref_date").agg(*sums)
+    back = F.col("__back")
+    years = F.array(*[F.lit(k) for k in range(len(PRIOR) + 1)])
+    copies = cube.withColumn("__back", F.explode(years)).withColumn("ref_date", F.add_months(F.col("ref_date"), back * 12))
+    sums = []
+    for account in accounts.listed():
+        here = F.col("account") == account
+        sums += [F.sum(F.when(here & (back == 0), F.col(s))).alias(cell(account, s)) for s in SCENARIOS]
+        sums += [
+            F.when(F.max(here & (back == 0)), F.sum(F.when(here & (back == k), F.col("actual")))).alias(cell(account, name))
+            for k, name in enumerate(PRIOR, 1) if name != "pppy" or account == accounts.net_sales
+        ]
+    wide = copies.groupBy(*dims, "ref_date").agg(*sums, F.max(back == 0).alias("__own")).filter("__own")
 
     def lines(scenario: str) -> dict[str, Column]:
         def posted(account: str) -> Column:
@@ -120,23 +135,27 @@ def present(report: DataFrame) -> DataFrame:
 
 def statement(pl: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts()) -> DataFrame:
     """The whole book: every date and combination of dimensions in one job."""
-    report = present(variances(report_lines(compare_scenarios(pl, dims), dims, accounts), dims))
+    report = present(variances(report_lines(post(pl, dims), dims, accounts), dims))
     return report.select(F.year("ref_date").alias("observation"), month_name(F.month("ref_date")).alias("period"), quarter_label("ref_date").alias("quarter"), *report.columns)
 
 
-def newest_statement(pl: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts()) -> DataFrame:
-    """The statement of the newest month only; just that month and its prior years are read."""
-    newest = pl.agg(F.max("ref_date")).scalar()
-    needed = F.col("ref_date") == newest
-    for k in range(1, len(PRIOR) + 1):
-        needed = needed | (F.col("ref_date") == F.add_months(newest, -12 * k))
-    return statement(pl.filter(needed), dims, accounts).filter(F.col("ref_date") == newest)
+def months_needed(newest: date) -> list[date]:
+    """A month and the same month of the prior years a statement looks back to."""
+    return [date(newest.year - k, newest.month, 1) for k in range(len(PRIOR) + 1)]
+
+
+def newest_statement(pl: DataFrame, newest: date, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts()) -> DataFrame:
+    """The statement of one month; just that month and its prior years are read.
+
+    The months are literals, so a table partitioned by ref_date is pruned when the plan is made.
+    """
+    needed = pl.filter(F.col("ref_date").isin(months_needed(newest)))
+    return statement(needed, dims, accounts).filter(F.col("ref_date") == F.lit(newest))
 
 
-def next_month_rows(pl: DataFrame) -> DataFrame:
+def next_month_rows(pl: DataFrame, newest: date) -> DataFrame:
     """Rows of the newest month moved on by one month, with all period labels rebuilt and no result."""
-    newest = pl.agg(F.max("ref_date")).scalar()
-    moved = pl.filter(F.col("ref_date") == newest).drop("result").withColumn("ref_date", F.add_months("ref_date", 1))
+    moved = pl.filter(F.col("ref_date") == F.lit(newest)).drop("result").withColumn("ref_date", F.add_months("ref_date", 1))
     return moved.withColumns({
         "quarter": quarter_label("ref_date"),
         "observation": F.year("ref_date"),
@@ -144,3 +163,8 @@ def next_month_rows(pl: DataFrame) -> DataFrame:
         "period": month_name(F.month("ref_date")),
         "years": fiscal_label(F.year("ref_date")),
     })
+
+
+def newest_month(dates: DataFrame, column: str) -> date:
+    """First day of the newest month of a date column: one aggregate, one value to the driver."""
+    return dates.agg(F.trunc(F.max(column).cast("date"), "MM").alias("m")).first()["m"]

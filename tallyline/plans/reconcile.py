@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import half_even, lacks, matches, to_number, zero
 from tallyline.functions.text import pad_code, piece
-from tallyline.operators.joins import common_keys, containing_any, join_named, keep_members, membership
+from tallyline.operators.joins import containing_any, join_named, keep_members, membership
 from tallyline.operators.reshape import spread, union_all
 from tallyline.operators.totals import sum_numeric
 from tallyline.operators.windows import flatten_text
@@ -43,19 +43,18 @@ def compress(df: DataFrame, keys: Sequence[str], identifiers: Sequence[str] = ()
 def sales_vs_billing(billing: DataFrame, sales: DataFrame, excluded: str | None = None) -> DataFrame:
     """Shipment and cost per code and brand from both sources, with deltas and a match flag.
 
-    Both tables have code, brand, shipped, cost; only codes found in both are compared. The sums
-    per (source, code, brand) are formed before codes are compared, so raw rows are shuffled once.
+    Both tables have code, brand, shipped, cost; only codes found in both are compared. Both sources
+    are stacked and summed in one aggregation; the codes are compared on distinct values.
     """
     def side(df: DataFrame, name: str) -> DataFrame:
-        summed = df.groupBy("code", "brand").agg(F.sum("shipped").alias("shipped"), F.sum("cost").alias("cost"))
-        return summed.withColumn("source", F.lit(name))
+        return df.select("code", "brand", "shipped", "cost", F.lit(name).alias("source"))
 
-    bills, sold = side(billing, "bills"), side(sales, "sales")
-    common = common_keys(bills, "code", sold, "code", "code")
+    both = side(billing, "bills").unionByName(side(sales, "sales"))
     if excluded:
-        common = common.filter(lacks("code", excluded))
-    both = bills.unionByName(sold).join(common, "code", "left_semi")
-    wide = spread(both, ["code", "brand"], "source", ["bills", "sales"], ["shipped", "cost"])
+        both = both.filter(lacks("code", excluded))
+    found = F.col("source") == "bills"
+    common = both.groupBy("code").agg(F.max(found).alias("billed"), F.max(~found).alias("sold")).filter("billed AND sold").select("code")
+    wide = spread(both, ["code", "brand"], "source", ["bills", "sales"], ["shipped", "cost"]).join(common, "code", "left_semi")
     deltas = wide.withColumn("delta_shipped", F.col("shipped_bills") - F.col("shipped_sales")).withColumn("delta_cost", F.col("cost_bills") - F.col("cost_sales"))
     filled = deltas.fillna(0.0)
     total = F.col("delta_cost") + F.col("delta_shipped")
@@ -100,10 +99,12 @@ def entity_map(rejects: DataFrame, account_map: DataFrame, account_prefix: str =
     """
     padded = rejects.withColumn("account", F.concat(F.lit(pad), F.col("account")))
     padded = padded.withColumn("plain_account", F.replace(F.col("report_account"), F.lit(account_prefix), F.lit("")))
+    # One distinct table serves all three tests, so its shuffle is shared.
+    wanted = padded.select("account", "plain_account", "business_area").distinct()
     source = account_map.withColumn("source_account", F.concat(F.lit(pad), F.col("source_account")))
-    focus = keep_members(source, "source_account", padded, "account")
-    focus = keep_members(focus, "account", padded, "plain_account")
-    focus = containing_any(focus, "partner", padded, "business_area")
+    focus = keep_members(source, "source_account", wanted, "account")
+    focus = keep_members(focus, "account", wanted, "plain_account")
+    focus = containing_any(focus, "partner", wanted, "business_area")
     entities = focus.select("source_account", "entity").distinct()
     found = join_named(padded, entities, {"account": "source_account"}).distinct()
     return found.withColumn("report_entity", pad_code("entity", 4, "E", "E0")).drop("entity", "report_function", "error_columns")
