@@ -89,7 +89,7 @@ TRACK_MONEY = ["actuals", "py_actuals", "mtd_actuals", "py_mtd_actuals", "fcast"
 
 @query("D2_single_day_tracking", given("daily", **TRACK) + f"SELECT region, category, year, month, day_no, {ms(*TRACK_MONEY)}, {ss('qr', 'op')} FROM tracked WHERE year = 1998 AND month = 3 AND day_no = 17")
 def _(t: Tables):
-    return rounded(plan.track_day(sales(t), targets(t), date(1998, 3, 17)), TRACK_MONEY, ["qr", "op"])
+    return rounded(plan.track_day(sales(t.ordered("1997-03-01", "1998-04-01")), targets(t.ordered("1997-01-01", "1999-01-01")), date(1998, 3, 17)), TRACK_MONEY, ["qr", "op"])
 
 
 def per(a: str, b: str) -> str:

@@ -51,7 +51,7 @@ def file_tree(t: Tables) -> str:
     """One folder per team, scenario and month, each with a table named after its kind."""
     root = scratch_folder(t.spark, "tree")
     for place, kind in TREE.items():
-        writers.write_delimited(people(t).filter(F.col("segment") != "NA").coalesce(1), f"{root}/{place}/{kind}.csv")
+        writers.write_delimited(people(t).filter(F.col("segment") != "NA"), f"{root}/{place}/{kind}.csv")
     return root
 
 
@@ -65,7 +65,7 @@ def _(t: Tables):
     return files.select(
         "team", "scenario", "month_folder", "table_name", kind.alias("kind"), F.substring("month_folder", 1, 2).cast("int").alias("month"),
         F.substring("month_folder", 4, 4).cast("int").alias("year"), (F.col("length") > 0).alias("has_bytes"),
-    )
+    ).distinct()
 
 
 @query("S5_many_file_union", """
@@ -92,14 +92,11 @@ def _(t: Tables):
 
 @query("S7_header_promotion", "SELECT s_suppkey::VARCHAR AS supplier_key, s_name AS supplier_name, s_nationkey::VARCHAR AS nation FROM supplier")
 def _(t: Tables):
-    path = f"{scratch_folder(t.spark, 'header')}/report"
-    line = F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string"))
-    body = t.supplier.select(line.alias("value"), (F.col("s_suppkey") + 3).alias("at"))
+    root = scratch_folder(t.spark, "header")
     top = t.spark.range(1).select(F.explode(F.array(F.lit("Report,,"), F.lit("Supplier Key,Supplier.Name,Nation"))).alias("value"))
-    top = top.withColumn("at", F.when(F.col("value").startswith("Report"), 1).otherwise(2).cast("bigint"))
-    # The report is one sorted file, as a spreadsheet export is.
-    top.unionByName(body).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
-    return readers.promote_header(t.spark, path, row=2)
+    top.write.text(f"{root}/top")
+    t.supplier.select(F.concat_ws(",", F.col("s_suppkey").cast("string"), "s_name", F.col("s_nationkey").cast("string")).alias("value")).write.text(f"{root}/body")
+    return readers.promote_header(t.spark, f"{root}/body", row=2, header_path=f"{root}/top")
 
 
 @query("S8_report_sink", f"SELECT 'segments' AS table_name, c_mktsegment AS line, {m('sum(c_acctbal)', 'value')} FROM customer GROUP BY 2 UNION ALL SELECT 'brands', p_brand, {m('sum(p_retailprice)')} FROM part GROUP BY 2")
@@ -145,11 +142,11 @@ def _(t: Tables):
     SELECT 'customer' AS kind, 'key,name,team' AS columns, 3 AS n_columns, FALSE AS lacks_required UNION ALL SELECT 'supplier', 'key,balance', 2, TRUE""")
 def _(t: Tables):
     root = scratch_folder(t.spark, "audit")
-    writers.write_delimited(t.customer.select(F.col("c_custkey").alias("Key"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Team")).coalesce(1), f"{root}/customer")
-    writers.write_delimited(t.supplier.select(F.col("s_suppkey").alias("Key"), F.col("s_acctbal").alias("Balance")).coalesce(1), f"{root}/supplier")
+    writers.write_delimited(t.customer.select(F.col("c_custkey").alias("Key"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Team")), f"{root}/customer")
+    writers.write_delimited(t.supplier.select(F.col("s_suppkey").alias("Key"), F.col("s_acctbal").alias("Balance")), f"{root}/supplier")
     audited = readers.schema_audit(t.spark, root, "team")
     kind = F.when(F.col("n_columns") == 3, "customer").otherwise("supplier")
-    return audited.select(kind.alias("kind"), "columns", "n_columns", "lacks_required")
+    return audited.select(kind.alias("kind"), "columns", "n_columns", "lacks_required").distinct()
 
 
 REFRESHED = """SELECT geo, region, channel, type, ref_date, sum(result) AS result FROM organics WHERE ref_date < DATE '1998-06-01' GROUP BY 1, 2, 3, 4, 5

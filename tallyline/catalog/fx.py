@@ -49,7 +49,7 @@ MATRIX_DAYS = [f"1998-03-{d:02d}" for d in range(2, 32) if d not in (7, 8, 14, 1
 @query("X4_rate_matrix", given("rates", d=DAILY) + "SELECT from_ccy, " + ", ".join(f"""(round(sum(CASE WHEN date = DATE '{d}' THEN inverse_spot_rate END), 12) + 0e0) AS "{d}" """ for d in MATRIX_DAYS) + """
     FROM d WHERE date BETWEEN DATE '1998-03-02' AND DATE '1998-03-31' GROUP BY 1""")
 def _(t: Tables):
-    matrix = fx.rate_matrix(business_rates(t), MATRIX_DAYS)
+    matrix = fx.rate_matrix(business_rates(t.ordered("1998-03-01", "1998-04-01")), MATRIX_DAYS)
     return matrix.withColumns({d: F.round(F.col(f"`{d}`"), 12) for d in MATRIX_DAYS})
 
 

@@ -43,7 +43,7 @@ def _(t: Tables):
 
 @query("E2_new_heads", given(**HEADS) + "SELECT name, ee_number, cost_center, unit, date, quarter FROM hd WHERE date = DATE '2000-08-01' AND name NOT IN (SELECT name FROM hd WHERE year(date) = 2000 AND date <> DATE '2000-08-01')")
 def _(t: Tables):
-    year = heads(t).filter(F.year("date") == 2000)
+    year = heads(t.ordered("2000-01-01", "2001-01-01"))
     return people.new_heads(year, "2000-08-01")
 
 
@@ -51,7 +51,7 @@ def _(t: Tables):
     SELECT hd.*, earning_code, {m('regular', 'regular')}, {m('round(regular, 2) * 12', 'year_estimate')} FROM hd LEFT JOIN pay ON pay.ee_number = hd.ee_number WHERE date = DATE '1998-09-01'""")
 def _(t: Tables):
     payroll = t.orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_custkey").cast("string").alias("ee_number"), F.col("o_orderpriority").alias("earning_code"), F.col("o_totalprice").alias("earnings"))
-    september = heads(t).filter(F.col("date") == F.lit("1998-09-01").cast("date"))
+    september = heads(t.ordered("1998-09-01", "1998-10-01"))
     estimated = people.pay_estimate(september, payroll)
     return rounded(estimated, ["regular", "year_estimate"])
 
@@ -105,7 +105,7 @@ COSTS = {
 
 
 def costs(t: Tables):
-    month = ledger(t).filter((F.col("year") == 1998) & (F.col("period") == 3)).withColumnRenamed("offset_account", "document_header")
+    month = ledger(t.shipped("1998-03-01", "1998-04-01")).withColumnRenamed("offset_account", "document_header")
     return people.cost_by_category(month, COST_RULES, excluded=["13", "17"], header_rule=("00007", "Funded"))
 
 

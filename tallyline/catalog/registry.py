@@ -34,14 +34,28 @@ SCHEMAS = {
 class Tables:
     """The parquet tables of one folder, as attributes."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, ranges: dict[str, tuple[str, str, str]] | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._ranges = ranges or {}
+
+    def shipped(self, first: str, before: str) -> Tables:
+        """The same tables with the lines of a date range only; the range reaches the parquet scan."""
+        return Tables(self.spark, self.folder, {**self._ranges, "lineitem": ("l_shipdate", first, before)})
+
+    def ordered(self, first: str, before: str) -> Tables:
+        """The same tables with the orders of a date range only."""
+        return Tables(self.spark, self.folder, {**self._ranges, "orders": ("o_orderdate", first, before)})
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
+        if name in self._ranges:
+            column, first, before = self._ranges[name]
+            low, high = (F.lit(d).cast("timestamp_ntz") for d in (first, before))
+            table = table.filter((F.col(column) >= low) & (F.col(column) < high))
+        return table
 
 
 def query(name: str, sql: str | None = None):

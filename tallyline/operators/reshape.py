@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import as_col, strict_sum_where
 
-# Up to this many output cells a spread runs as conditional sums: one aggregation, one shuffle.
-# Beyond it the generated code would grow too large and Spark's two-step pivot is used.
+# Up to this many output cells a spread runs as conditional sums straight on the rows: one shuffle.
+# Beyond it the rows are summed per (ids, name) first, since every row would otherwise visit every cell.
+DIRECT_CELLS = 16
+# Beyond this many cells the conditional form generates too much code and Spark's pivot is used.
 CONDITIONAL_CELLS = 120
 
 
@@ -39,7 +41,10 @@ def spread(
     def title(measure: str, value) -> str:
         return f"{prefix}{measure}_{label_for(value)}" if many else f"{prefix}{label_for(value)}"
 
-    if len(values) * len(listed) <= CONDITIONAL_CELLS:
+    n_cells = len(values) * len(listed)
+    if n_cells > DIRECT_CELLS and not strict:
+        df = df.groupBy(*ids, names_from).agg(*[F.sum(m).alias(m) for m in listed])
+    if n_cells <= CONDITIONAL_CELLS:
         cells = []
         for measure in listed:
             for value in values:

@@ -33,14 +33,18 @@ def span(first: str, last: str) -> Column:
     return F.concat_ws(" : ", F.col(first).cast("string"), F.col(last).cast("string"))
 
 
+def week_number(label: str) -> Column:
+    """3 for 'Week 3'. As a number it can be kept in a hash aggregation, which text cannot."""
+    return F.trim(F.replace(F.col(label), F.lit("Week"), F.lit(""))).try_cast("int")
+
+
 def weekly_rates(rates: DataFrame) -> DataFrame:
     """Mean rate per currency and week of a month, with the covered days."""
     weekly = rates.groupBy("from_ccy", "week", "month", "year").agg(
         F.count(F.lit(1)).alias("n_periods_per_week"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         mean_over_rows("inverse_spot_rate").alias("average"),
     )
-    number = F.trim(F.replace(F.col("week"), F.lit("Week"), F.lit(""))).try_cast("int")
-    return weekly.withColumn("date_range", span("first_date", "last_date")).withColumn("week", number).drop("first_date", "last_date")
+    return weekly.withColumn("date_range", span("first_date", "last_date")).withColumn("week", week_number("week")).drop("first_date", "last_date")
 
 
 def monthly_rates(rates: DataFrame, by_year: bool = False) -> DataFrame:
@@ -50,13 +54,14 @@ def monthly_rates(rates: DataFrame, by_year: bool = False) -> DataFrame:
     together unless by_year is set.
     """
     keys = ["from_ccy", "month"] + (["year"] if by_year else [])
+    number = week_number("week")
     monthly = rates.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_periods"), F.min("date").alias("first_date"), F.max("date").alias("last_date"),
-        F.min_by("week", "date").alias("first_week"), F.max_by("week", "date").alias("last_week"),
+        F.min_by(number, "date").alias("first_week"), F.max_by(number, "date").alias("last_week"),
         mean_over_rows("inverse_spot_rate").alias("avg"),
     )
     return monthly.select(
-        *keys, "n_periods", "avg", span("first_date", "last_date").alias("date_range"), span("first_week", "last_week").alias("week_range"),
+        *keys, "n_periods", "avg", span("first_date", "last_date").alias("date_range"), F.concat(F.lit("Week "), F.col("first_week").cast("string"), F.lit(" : Week "), F.col("last_week").cast("string")).alias("week_range"),
         F.month("first_date").alias("month_n"),
     )
 
@@ -134,19 +139,21 @@ def compress_long(
     """Accounts (long rows: keys with month, measure, value) wide by month, all-zero rows dropped.
 
     The first account decides which (key, month) rows exist, as in a chain of left joins. That test
-    and the spread over accounts and months run in one aggregation instead of one join per account.
+    and the spread over accounts and months run in one wide aggregation instead of one join per account.
     """
     ids = [k for k in keys if k != "month"]
 
     def at(account: str, month: str) -> Column:
         return (F.col("measure") == account) & (F.col("month") == month)
 
+    # One row per (ids, month, account) before the wide aggregation, whose every row visits every cell.
+    rows = long.filter(none_of("segment", excluded_segments)).groupBy(*ids, "month", "measure").agg(F.sum("value").alias("value"))
     cells = []
     for account in accounts:
         for month in months:
             total = F.sum(F.when(at(account, month), F.col("value")))
             cells.append(F.coalesce(F.when(F.max(at(accounts[0], month)), total), F.lit(0.0)).alias(f"{account}_{month}"))
-    wide = long.filter(none_of("segment", excluded_segments)).groupBy(*ids).agg(*cells)
+    wide = rows.groupBy(*ids).agg(*cells)
     kept = drop_zero_rows(wide, [f"{a}_{m}" for a in accounts for m in months])
     return kept.withColumn("region", F.upper("region"))
 

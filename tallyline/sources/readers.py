@@ -82,12 +82,13 @@ def read_many(spark: SparkSession, paths, sep: str = ",") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def promote_header(spark: SparkSession, path: str, row: int = 1, sep: str = ",") -> DataFrame:
+def promote_header(spark: SparkSession, path: str, row: int = 1, sep: str = ",", header_path: str | None = None) -> DataFrame:
     """Delimited file whose header stands in a given line (from 1); lines up to it are dropped.
 
-    Only the first lines travel to the driver. A data line identical to a dropped one goes too.
+    A table split over several files names the file with the top lines as header_path. Only the
+    first lines travel to the driver. A data line identical to a dropped one goes too.
     """
-    top = [r["value"] for r in spark.read.text(path).limit(row).collect()]
+    top = [r["value"] for r in spark.read.text(header_path or path).limit(row).collect()]
     names = clean_headers(top[row - 1].split(sep))
     raw = spark.read.csv(path, sep=sep, header=False, schema=", ".join(f"`c{i}` string" for i in range(len(names))), nullValue="")
     whole = F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
