@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, fine, m, ms, query, rounded, s
+from tallyline.catalog.registry import Tables, m, ms, query, rounded, s
 from tallyline.catalog.views import given, net_sales, organics
 from tallyline.operators.rules import rank_of
 from tallyline.operators.totals import residual_line

@@ -6,8 +6,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, cents, m, ms, query, rounded
-from tallyline.catalog.views import FACT_TYPES, amortization, facts, given, ledger, planned
+from tallyline.catalog.registry import Tables, m, ms, query, rounded
+from tallyline.catalog.views import amortization, facts, given, ledger, planned
 from tallyline.functions.periods import MONTH_ABBREVIATIONS
 from tallyline.operators.reshape import spread, union_all
 from tallyline.plans import close

@@ -6,9 +6,9 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, fine, m, ms, query, rounded, s, ss
+from tallyline.catalog.registry import Tables, fine, ms, query, rounded, s, ss
 from tallyline.catalog.views import buyers, daily, given
-from tallyline.functions.periods import calendar, month_start
+from tallyline.functions.periods import calendar
 from tallyline.plans import daily as plan
 
 KEYS = ["region", "category", "year", "day_code"]

@@ -6,10 +6,9 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, m, ms, query, rounded
+from tallyline.catalog.registry import Tables, m, query, rounded
 from tallyline.catalog.views import given, organics
 from tallyline.operators.reshape import union_all
-from tallyline.plans import bridge
 from tallyline.session import scratch_folder
 from tallyline.sources import readers, writers
 

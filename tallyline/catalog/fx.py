@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, cents, fine, m, ms, query, rounded, s
-from tallyline.catalog.views import buyers, fx_factors, given, pnl_rates, rates, transactional
+from tallyline.catalog.registry import Tables, fine, m, ms, query, rounded, s
+from tallyline.catalog.views import fx_factors, given, pnl_rates, rates, transactional
 from tallyline.functions.periods import MONTH_ABBREVIATIONS, calendar
-from tallyline.operators.joins import missing_both_ways
 from tallyline.plans import fx
 
 

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, cents, fine, m, query, rounded, s
-from tallyline.catalog.views import buyers, daily, fx_factors, given, transactional
-from tallyline.functions.nulls import zero
+from tallyline.catalog.registry import Tables, cents, m, query, rounded, s
+from tallyline.catalog.views import daily, fx_factors, given, transactional
 from tallyline.functions.periods import MONTH_NAMES, calendar, fiscal_label, month_number, month_of
 from tallyline.operators import joins
 from tallyline.operators.reshape import shift_years, union_all
 from tallyline.operators.rules import rank_of
-from tallyline.operators.totals import add_totals, overlap_counts
+from tallyline.operators.totals import overlap_counts
 
 
 @query("J1_left_join_many_keys", given(

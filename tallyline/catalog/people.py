@@ -115,7 +115,7 @@ def _(t: Tables):
 
 
 @query("E6_pay_difference", given("ledger", **COSTS, d="""SELECT round(sum(amount), 2) AS actual, (SELECT round(sum(s_acctbal), 2) FROM supplier) AS forecast FROM cg WHERE category = 'C&B'""") + f"""
-    SELECT {m('actual', 'actual')}, {m('forecast', 'forecast')}, {m('actual - forecast', 'difference')}, {s('(actual - forecast) / 174729.46e0', 'share', 6)} FROM d""")
+    SELECT {m('actual', 'actual')}, {m('forecast', 'forecast')}, {m('actual - forecast', 'difference')}, {s('(actual - forecast) / 175000e0', 'share', 6)} FROM d""")
 def _(t: Tables):
-    gap = people.pay_difference(costs(t), "C&B", t.supplier, "s_acctbal", 174729.46)
+    gap = people.pay_difference(costs(t), "C&B", t.supplier, "s_acctbal", 175000.0)
     return rounded(gap, ["actual", "forecast", "difference"]).withColumn("share", F.round("share", 6))

@@ -83,7 +83,7 @@ def _(t: Tables):
 
 @query("L5_whole_book_statement", given("pl", **STEPS) + STATEMENT)
 def _(t: Tables):
-    return four(pnl.statement(pl(t)), VALUES)
+    return four(pnl.statement(pl(t), ordered=True), VALUES)
 
 
 @query("L5_newest_month_statement", given("pl", **STEPS) + STATEMENT + " WHERE ref_date = (SELECT max(ref_date) FROM pl)")

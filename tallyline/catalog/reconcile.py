@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, cents, m, ms, query, rounded
+from tallyline.catalog.registry import Tables, m, query, rounded
 from tallyline.catalog.views import given
 from tallyline.plans import reconcile
 
@@ -35,7 +35,7 @@ def _(t: Tables):
 @query("K1_divergences", given(**SIDES) + f"SELECT team, initiative, month, {m('ruled', 'ruled_value')}, {m('cloud', 'cloud_value')}, round_even(round(divergence, 2), 0) + 0e0 AS divergence FROM j WHERE divergence <> 0")
 def _(t: Tables):
     exact = rounded(diagnosed(t), ["ruled_value", "cloud_value", "divergence"])
-    return reconcile.divergences(exact)
+    return reconcile.divergences(exact, PLAN_KEYS)
 
 
 TRADE = {

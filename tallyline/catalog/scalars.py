@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.catalog.registry import Tables, cents, fine, m, query, s
+from tallyline.catalog.registry import Tables, cents, m, query
 from tallyline.catalog.views import daily, given
 from tallyline.functions import nulls, periods, text
 from tallyline.operators.reshape import union_all
-from tallyline.operators.rules import flag
 
 
 @query("F1_text_tests", r"""

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.nulls import holds, lacks, matches, strict_sum, to_number, zero
-from tallyline.functions.periods import MONTH_NAMES, month_number, month_of, quarter_label
-from tallyline.operators.columns import keep_any_present, pick_names, restore_label
-from tallyline.operators.reshape import gather, spread, union_all
+from tallyline.functions.nulls import lacks, matches, strict_sum, to_number, zero
+from tallyline.functions.periods import MONTH_NAMES, month_number
+from tallyline.operators.columns import keep_any_present, restore_label
+from tallyline.operators.reshape import gather, union_all
 from tallyline.operators.rules import Rules, categorise, flag, flag_in, split_measure
 from tallyline.operators.totals import add_totals, sum_numeric
 from tallyline.operators.windows import first_rows

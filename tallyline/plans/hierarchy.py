@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.nulls import holds, lacks, matches, one_of
+from tallyline.functions.nulls import holds, lacks, matches
 from tallyline.operators.joins import without
 from tallyline.operators.totals import add_totals
 from tallyline.operators.windows import flatten_text
@@ -87,7 +87,3 @@ def region_tie_out(tracked: DataFrame, value: str, excluded: str, reported: floa
     return add_totals(summed, "region").withColumn(
         "difference", F.when(F.col("region") == "Total", F.lit(float(reported)) - F.col(value))
     )
-
-
-def restrict(tables: DataFrame, names: Sequence[str]) -> DataFrame:
-    return tables.filter(one_of("name", names))

@@ -9,15 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import matches, one_of, to_number, zero
-from tallyline.functions.periods import LATE_ORIGIN, free_text_day, from_serial, month_number
+from tallyline.functions.periods import LATE_ORIGIN, MONTH_ABBREVIATIONS, free_text_day, from_serial, month_number
 from tallyline.functions.text import slice_text
 from tallyline.operators.columns import row_total
-from tallyline.operators.joins import join_named
 from tallyline.operators.reshape import spread
-from tallyline.operators.rules import relabel, signed
+from tallyline.operators.rules import signed
 from tallyline.operators.totals import add_totals
 from tallyline.operators.windows import fill_down, flatten_text
 
+# Columns of the order meter in report order.
 METER = (
     "country", "super_sbu", "gpp_sbu", "super_demand_group", "shipments", "shipments_py", "pd_shipments", "target",
     "total_projection", "new_business", "open_orders", "region", "super_region",
@@ -131,8 +131,11 @@ def policy_table(
 
 
 def event_calendar(events: DataFrame, text: str) -> DataFrame:
-    """Free-text dates parsed to month and day and put in calendar order."""
+    """Free-text dates parsed to month and day and put in calendar order.
+
+    All columns follow as tie-breakers, so that a day with many events is sorted by several tasks.
+    """
     month, day = free_text_day(text)
     parsed = events.withColumn("period", month).withColumn("day", day)
-    number = month_number("period", ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"])
-    return parsed.filter(F.col("period").isNotNull()).orderBy(number, "day")
+    number = month_number("period", MONTH_ABBREVIATIONS)
+    return parsed.filter(F.col("period").isNotNull()).orderBy(number, "day", *events.columns)

@@ -61,7 +61,7 @@ def missing_people(forecast: DataFrame, roster: DataFrame) -> DataFrame:
 def payments_of_missing(roster: DataFrame, forecast: DataFrame, payroll: DataFrame) -> DataFrame:
     """Pay lines of people on the roster whose last name the forecast lacks, largest first."""
     absent = without(roster, forecast, ["last"]).dropna()
-    return join_named(absent, payroll, {"ee_number": "payroll_number"}).orderBy(F.desc_nulls_last("earnings"))
+    return join_named(absent, payroll, {"ee_number": "payroll_number"}).orderBy(F.desc_nulls_last("earnings"), *absent.columns)
 
 
 def growth_hires(rows: DataFrame, statuses: Sequence[str], blank: Sequence[str] = (), fixed: dict | None = None, layout: Sequence[str] = ()) -> DataFrame:

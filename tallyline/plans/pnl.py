@@ -22,7 +22,7 @@ DIMS = ("region", "channel", "product")
 
 @dataclass(frozen=True)
 class Accounts:
-    """Names of the posted accounts the measures are built from."""
+    """Names of the posted accounts the measures are built from (fixed values of the report)."""
 
     net_sales: str = "Net Sales"
     sales_fx: str = "Sales FX"
@@ -133,10 +133,12 @@ def present(report: DataFrame) -> DataFrame:
     return report.withColumn("indicative", rank_of("account", LINE_ORDER)).withColumn("account", relabel("account", DISPLAY))
 
 
-def statement(pl: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts()) -> DataFrame:
-    """The whole book: every date and combination of dimensions in one job."""
+def statement(pl: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts(), ordered: bool = False) -> DataFrame:
+    """The whole book: every date and combination of dimensions in one job; report order on request."""
     report = present(variances(report_lines(post(pl, dims), dims, accounts), dims))
-    return report.select(F.year("ref_date").alias("observation"), month_name(F.month("ref_date")).alias("period"), quarter_label("ref_date").alias("quarter"), *report.columns)
+    labels = [F.year("ref_date").alias("observation"), month_name(F.month("ref_date")).alias("period"), quarter_label("ref_date").alias("quarter")]
+    labelled = report.select(*labels, *report.columns)
+    return labelled.orderBy("ref_date", "indicative", *dims) if ordered else labelled
 
 
 def months_needed(newest: date) -> list[date]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions.nulls import half_even, lacks, matches, to_number, zero
+from tallyline.functions.nulls import half_even, lacks, matches, to_number
 from tallyline.functions.text import pad_code, piece
 from tallyline.operators.joins import containing_any, join_named, keep_members, membership
 from tallyline.operators.reshape import spread, union_all
@@ -28,10 +28,10 @@ def plan_vs_collected(plan: DataFrame, collected: DataFrame, keys: Sequence[str]
     return summed.filter(F.col("ruled_value").isNotNull()).withColumn("divergence", F.col("cloud_value") - F.col("ruled_value"))
 
 
-def divergences(diagnosed: DataFrame) -> DataFrame:
-    """Non-zero divergences in whole units, largest first."""
+def divergences(diagnosed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Non-zero divergences in whole units, largest first; the keys break ties."""
     found = diagnosed.filter(F.col("divergence") != 0)
-    return found.withColumn("divergence", half_even("divergence")).orderBy(F.desc("divergence"))
+    return found.withColumn("divergence", half_even("divergence")).orderBy(F.desc("divergence"), *keys)
 
 
 def compress(df: DataFrame, keys: Sequence[str], identifiers: Sequence[str] = ()) -> DataFrame:
@@ -156,7 +156,3 @@ def cross_check(requisitions: DataFrame, stores: dict[str, tuple[DataFrame, str]
 def pending(requisitions: DataFrame, checked: DataFrame) -> DataFrame:
     """Requisitions whose number was found nowhere."""
     return requisitions.join(checked.filter(F.col("found") == 0).select("number"), "number", "left_semi")
-
-
-def zero_filled(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({n: zero(n) for n in names})

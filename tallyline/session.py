@@ -27,6 +27,8 @@ def build_session(app: str = "tallyline", cpus: str = "*", shuffle_partitions: i
         .config("spark.driver.memory", "16g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Wide reports build thousands of column objects; recording a call site for each takes longer than planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return tune(builder.getOrCreate())
 
