@@ -12,7 +12,7 @@ from tallyline.operators.reshape import union_all
 
 
 @query("F1_text_tests", r"""
-    SELECT doc_id, regexp_matches(text, '(?i)license|copyright') AS is_legal, contains(text, '@') AS has_at, length(text) - length(replace(text, ',', '')) AS commas, length(text) AS n_chars FROM documents""")
+    SELECT doc_id, regexp_matches(text, '(?i)license|copyright') AS is_legal, contains(text, '@') AS has_at, (length(text) - length(replace(text, ',', '')))::INT AS commas, length(text)::INT AS n_chars FROM documents""")
 def _(t: Tables):
     body = F.col("text")
     return t.documents.select(
@@ -109,12 +109,12 @@ def _(t: Tables):
 
 
 @query("F11_free_text_date", """
-    SELECT DISTINCT CASE WHEN day(o_orderdate) % 2 = 0 THEN 'Week Of ' ELSE '' END || strftime(o_orderdate, '%B') || ' ' || day(o_orderdate) ||
+    SELECT DISTINCT CASE WHEN day(o_orderdate) < 15 THEN 'Week Of ' ELSE '' END || strftime(o_orderdate, '%B') || ' ' || day(o_orderdate) ||
       CASE WHEN day(o_orderdate) IN (1, 21, 31) THEN 'st' ELSE 'th' END AS original, strftime(o_orderdate, '%b') AS period, day(o_orderdate)::INT AS day FROM orders""")
 def _(t: Tables):
     n = F.dayofmonth("o_orderdate")
     written = F.concat(
-        F.when(n % 2 == 0, "Week Of ").otherwise(""), F.date_format("o_orderdate", "MMMM"), F.lit(" "), n.cast("string"), F.when(n.isin(1, 21, 31), "st").otherwise("th")
+        F.when(n < 15, "Week Of ").otherwise(""), F.date_format("o_orderdate", "MMMM"), F.lit(" "), n.cast("string"), F.when(n.isin(1, 21, 31), "st").otherwise("th")
     )
     month, day = periods.free_text_day("original")
     return t.orders.select(written.alias("original")).distinct().select("original", month.alias("period"), day.alias("day"))

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables
-from tallyline.functions.periods import SPREADSHEET_ORIGIN, month_start
+from tallyline.functions.periods import MONTH_NAMES, SPREADSHEET_ORIGIN, month_start
+from tallyline.operators.reshape import spread
 
 # The statement date used by the registered queries.
 AS_OF = "1998-03-01"
@@ -307,9 +308,6 @@ def hierarchy(t: Tables) -> DataFrame:
 
 def growth_wide(t: Tables) -> DataFrame:
     """Initiative lines with one column per month; a month without lines stays missing."""
-    from tallyline.functions.periods import MONTH_NAMES
-    from tallyline.operators.reshape import spread
-
     parts = t.part.select("p_partkey", "p_type", "p_brand")
     lines = t.lineitem.select("l_partkey", "l_returnflag", "l_linestatus", "l_shipdate", "l_extendedprice")
     long = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(

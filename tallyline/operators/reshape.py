@@ -12,7 +12,7 @@ from tallyline.functions.nulls import as_col, strict_sum_where
 
 # Up to this many output cells a spread runs as conditional sums straight on the rows: one shuffle.
 # Beyond it the rows are summed per (ids, name) first, since every row would otherwise visit every cell.
-DIRECT_CELLS = 16
+DIRECT_CELLS = 24
 # Beyond this many cells the conditional form generates too much code and Spark's pivot is used.
 CONDITIONAL_CELLS = 120
 

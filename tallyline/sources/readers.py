@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import piece
@@ -116,8 +116,6 @@ def read_history(spark: SparkSession, path: str, date: str) -> DataFrame:
     """
     log = spark.read.parquet(path)
     runs = log.select("run", "moment").distinct()
-    from pyspark.sql import Window
-
     later = Window.orderBy("run").rowsBetween(1, Window.unboundedFollowing)
     limits = runs.select("run", F.min("moment").over(later).alias("__until"))
     visible = F.col("__until").isNull() | (F.col(date) < F.col("__until"))
