@@ -104,11 +104,12 @@ def _(t: Tables):
 
 
 @query("J10_contains_any_code", """
-    SELECT page_id, url FROM pages WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT lower(n) AS code FROM (
-      SELECT substring(text, 1, 4) AS n FROM benchmark UNION ALL SELECT substring(text, 1, 2) || '.' FROM benchmark)) WHERE contains(url, code))""")
+    SELECT page_id, url FROM pages WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT lower(word) AS code FROM (SELECT unnest(string_split_regex(text, '[^A-Za-z]+')) AS word FROM benchmark) WHERE length(word) >= 5)
+      WHERE contains(url, code))""")
 def _(t: Tables):
-    codes = t.benchmark.select(F.explode(F.array(F.substring("text", 1, 4), F.concat(F.substring("text", 1, 2), F.lit(".")))).alias("code"))
-    return joins.containing_any(t.pages.select("page_id", "url"), "url", codes.select(F.lower("code").alias("code")), "code")
+    words = t.benchmark.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("code"))
+    codes = words.filter(F.length("code") >= 5).select(F.lower("code").alias("code"))
+    return joins.containing_any(t.pages.select("page_id", "url"), "url", codes, "code")
 
 
 @query("J11_business_days_only", given("daily") + f"""
