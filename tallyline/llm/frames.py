@@ -47,18 +47,24 @@ def fold(key: Column, parts: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % parts, F.lit(0))
 
 
-def bounded_sample(df: DataFrame, per_class: Column, key: Column, most: int) -> DataFrame:
-    """About `most` rows of each class, the same ones at every run.
+def class_sizes(df: DataFrame, column: str, most: int) -> dict:
+    """How many rows each class has; more than `most` classes are an error."""
+    found = df.groupBy(column).agg(F.count("*").alias("n")).limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return {r[0]: r[1] for r in found}
 
-    The rows of a class are counted (one aggregation without the texts), and a row stays if the hash of its key
-    falls below most / count; a class of at most `most` rows stays whole. Nothing is sorted or gathered by class.
+
+def bounded_sample(df: DataFrame, column: str, sizes: dict, key: Column, most: int) -> DataFrame:
+    """About `most` rows of each class, the same ones at every run: those whose key's hash is below most / size.
+
+    A class of at most `most` rows stays whole. It is a filter: nothing is shuffled, sorted or gathered.
     """
-    cls, n, part = fresh(df, "class", "n", "part")
-    marked = df.withColumn(cls, per_class)
-    sizes = marked.groupBy(cls).agg(F.count("*").alias(n))
-    share = F.lit(float(most)) / F.col(n)
-    spot = (F.xxhash64(key.cast("string"), F.lit("sample")) / F.lit(2.0**64)) + F.lit(0.5)
-    return marked.join(sizes.withColumnRenamed(cls, part), F.col(cls).eqNullSafe(F.col(part))).filter(spot < share).select(*df.columns)
+    if not sizes:
+        return df.filter(F.lit(False))
+    share = F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, most / n)])[F.col(column)]
+    spot = F.xxhash64(key.cast("string"), F.lit("sample")) / F.lit(2.0**64) + F.lit(0.5)
+    return df.filter(spot < share)
 
 
 def total(df: DataFrame, *sums: Column) -> tuple:

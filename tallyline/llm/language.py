@@ -19,10 +19,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.frames import bounded_sample, columns_of
-from tallyline.llm.words import grams_of, per_text, words_of
+from tallyline.llm.frames import bounded_sample, class_sizes, columns_of
+from tallyline.llm.words import by_piece, grams_of, per_text, pieces, words_of
 
 UNDETERMINED = "und"
+FOUND = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 SIZES = (1, 2, 3)
 BUCKETS = 1 << 15
 #: Labelled rows to learn from, for each language.
@@ -42,19 +43,17 @@ class Model:
 def gram_counts(batches, sizes, buckets):
     """For the texts of one task: how often each bucket occurs in each language."""
     sums: dict[str, np.ndarray] = {}
-    for batch in batches:
-        languages = batch.column("lang").to_pylist()
+    for batch in (piece for batch in batches for piece in pieces(batch, "text")):
+        languages = np.array(batch.column("lang").to_pylist(), object)
         words = words_of(batch.column("text"))
         if not len(words.codes):
             continue
-        ids, starts = grams_of(words.vocabulary, sizes, buckets)
-        owner = np.repeat(np.arange(len(words.vocabulary)), np.diff(starts))
-        text_of_word = np.repeat(np.arange(len(languages)), np.diff(words.starts))
-        for language in set(languages):
-            mine = np.fromiter((x == language for x in languages), bool, len(languages))
-            times = np.bincount(words.codes[mine[text_of_word]], minlength=len(words.vocabulary))
-            found = np.bincount(ids, weights=times[owner], minlength=buckets)
-            sums[language] = sums.get(language, 0) + found
+        of_word = np.repeat(np.arange(len(languages)), np.diff(words.starts))
+        times = {x: np.bincount(words.codes[(languages == x)[of_word]], minlength=len(words.vocabulary)) for x in set(languages)}
+        for ids, starts in grams_of(words.vocabulary, sizes, buckets):
+            owner = np.repeat(np.arange(len(words.vocabulary)), np.diff(starts))
+            for language, count in times.items():
+                sums[language] = sums.get(language, 0) + np.bincount(ids, weights=count[owner], minlength=buckets)
     for language, found in sums.items():
         full = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
@@ -69,11 +68,9 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS,
     count all rows. Laplace smoothing with 0.5.
     """
     labelled = columns_of(rows, doc_id="string", text="string", lang="string").filter("text IS NOT NULL AND lang IS NOT NULL")
-    sizes_by = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes_by) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    sizes_by = class_sizes(labelled, "lang", MOST_LANGUAGES)
     languages = sorted(sizes_by)
-    sample = bounded_sample(labelled, F.col("lang"), F.col("doc_id"), rows_per_language).select("text", "lang")
+    sample = bounded_sample(labelled, "lang", sizes_by, F.col("doc_id"), rows_per_language).select("text", "lang")
     grams = tuple(sizes)
     found = (
         sample.mapInArrow(lambda batches: gram_counts(batches, grams, buckets), "lang string, bucket int, n bigint")
@@ -92,10 +89,11 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS,
 
 def log_scores(words, log_prob: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
     """Log-likelihood of every text under every class."""
-    ids, starts = grams_of(words.vocabulary, sizes, len(log_prob))
-    by_word = np.stack([per_text(np.add, np.ascontiguousarray(log_prob[:, c])[ids], starts, 0.0) for c in range(log_prob.shape[1])], axis=1)
-    columns = [per_text(np.add, by_word[:, c].astype(np.float64)[words.codes], words.starts, 0.0) for c in range(log_prob.shape[1])]
-    return np.stack(columns, axis=1)
+    by_word = np.zeros((len(words.vocabulary), log_prob.shape[1]))
+    for ids, starts in grams_of(words.vocabulary, sizes, len(log_prob)) if words.vocabulary else ():
+        for c in range(log_prob.shape[1]):
+            by_word[:, c] += per_text(np.add, np.ascontiguousarray(log_prob[:, c])[ids], starts, np.float32(0))
+    return np.stack([per_text(np.add, by_word[:, c][words.codes], words.starts, 0.0) for c in range(log_prob.shape[1])], axis=1)
 
 
 def predicted(texts: pa.Array, model: dict) -> pa.StructArray:
@@ -117,7 +115,7 @@ def predictor(df: DataFrame, model: Model):
 
     @F.arrow_udf("lang_pred string, score double")
     def language(texts: pa.Array) -> pa.Array:
-        return predicted(texts, sent.value)
+        return by_piece(texts, lambda piece: predicted(piece, sent.value), FOUND)
 
     return language
 

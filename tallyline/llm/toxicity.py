@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import language
-from tallyline.llm.frames import bounded_sample, columns_of
-from tallyline.llm.words import GOLD, mixed, words_of
+from tallyline.llm.frames import bounded_sample, class_sizes, columns_of
+from tallyline.llm.words import GOLD, by_piece, mixed, words_of
 
 #: Labelled rows to learn from, for each of the two labels.
 ROWS_PER_LABEL = 2_000
@@ -28,6 +28,8 @@ CUT = 0.7
 BUCKETS, WIDTH, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4)
 EPOCHS, BATCH, RATE = 5, 64, 0.05
+#: A small sample is gone over more often, until so many batches are done.
+LEAST_BATCHES = 200
 #: Words per step of the forward pass; a longer text is a step of its own.
 STEP = 20_000
 
@@ -118,7 +120,7 @@ def trained(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> dict:
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     first_table = np.cumsum([0, *WIDTHS])
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, -(-LEAST_BATCHES * BATCH // len(texts)))):
         order = draw.permutation(len(texts))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
@@ -178,7 +180,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL
     Four of five sampled rows fit the weights, the others the thresholds. None if either label is missing.
     """
     known = columns_of(labels, doc_id="bigint", toxic="int").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    sample = bounded_sample(known, F.col("toxic"), F.col("doc_id"), rows_per_label)
+    known = known.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    sample = bounded_sample(known, "toxic", class_sizes(known, "toxic", 2), F.col("doc_id"), rows_per_label)
     rows = columns_of(docs, doc_id="bigint", text="string", lang="string").join(F.broadcast(sample), "doc_id")
     found = rows.select("doc_id", "text", "toxic", "lang").orderBy("doc_id", "text").collect()  # a bounded number of rows
     toxic = np.array([int(r["toxic"] > 0) for r in found], float)
@@ -222,6 +225,6 @@ def score(df: DataFrame, model: dict | None, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def toxicity(texts: pa.Array) -> pa.Array:
-        return scored(texts, sent.value)
+        return by_piece(texts, lambda piece: scored(piece, sent.value), pa.float64())
 
     return toxicity(text)

@@ -87,25 +87,34 @@ def per_text(ufunc, values: np.ndarray, starts: np.ndarray, empty) -> np.ndarray
     return out
 
 
-def grams_of(strings: list[str], sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the hashed character n-grams of every string, string by string, and where each string's begin.
+def grams_of(strings: list[str], sizes: tuple[int, ...], buckets: int):
+    """For every n-gram size: buckets of the hashed character n-grams, string by string, and where each string's begin.
 
-    Each string counts as if a space stood on either side; an empty one has no n-gram.
+    Each string counts as if a space stood on either side.
     """
     joined = np.frombuffer("".join(f" {s} " for s in strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     lengths = np.fromiter((len(s) + 2 for s in strings), np.int64, len(strings))
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    owner = np.repeat(np.arange(len(strings)), lengths)
-    ends = starts[1:][owner] if len(strings) else np.zeros(0, np.int64)
-    ids, owners = [], []
+    left = np.repeat(np.cumsum(lengths), lengths) - np.arange(len(joined))  # characters from here to the end of the string
     value = np.zeros(len(joined), np.uint64)
     for n in range(1, max(sizes) + 1):
         value = value[: len(joined) - n + 1] * np.uint64(0x100000001B3) + (joined[n - 1 :] + np.uint64(1)) * GOLD
         if n in sizes:
-            inside = np.arange(len(value)) + n <= ends[: len(value)]
-            ids.append((mixed(value[inside] + np.uint64(n)) >> np.uint64(40)) % np.uint64(buckets))
-            owners.append(owner[: len(value)][inside])
-    owners, ids = np.concatenate(owners), np.concatenate(ids).astype(np.int64)
-    order = np.argsort(owners, kind="stable")
-    counts = np.bincount(owners, minlength=len(strings)) if len(strings) else np.zeros(0, np.int64)
-    return ids[order], np.concatenate([[0], np.cumsum(counts)])
+            inside = left[: len(value)] >= n
+            ids = (mixed(value[inside] + np.uint64(n)) >> np.uint64(40)) % np.uint64(buckets)
+            yield ids.astype(np.int64), np.concatenate([[0], np.cumsum(np.maximum(lengths - n + 1, 0))])
+
+
+def pieces(batch, column: str | None = None, most: int = 6 << 20):
+    """A batch (or an array of texts) in runs of rows with about `most` bytes of text, so that memory stays bounded."""
+    texts = batch if column is None else batch.column(column)
+    size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(size, (size[first - 1] if first else 0) + most, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
+def by_piece(texts: pa.Array, plan, kind: pa.DataType) -> pa.Array:
+    """plan(texts) over the pieces of an array, put together again."""
+    return pa.concat_arrays([pa.array([], kind), *(plan(piece) for piece in pieces(texts))])
