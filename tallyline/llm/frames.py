@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.session import cut_lineage
+from tallyline.session import scratch_folder
 
 # What a model or an index may weigh before it is sent to every executor.
 BROADCAST_BYTES = 32 << 20
@@ -37,9 +37,16 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
     return out
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """Written once to the shared folder; what follows reads the files, so a lost executor repeats nothing."""
-    return cut_lineage(df)
+def settled(df: DataFrame, label: str = "step") -> DataFrame:
+    """Written once as Parquet in the shared folder and read back: a lost executor repeats nothing before it."""
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it has no more than `most_rows` rows."""
+    return F.broadcast(df) if df.count() <= most_rows else df
 
 
 def fold(key: Column, parts: int) -> Column:

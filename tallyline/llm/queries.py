@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import language, toxicity
+from tallyline.llm import decontaminate, language, line_dedup, mixing, ngram_join, tokens, toxicity
 from tallyline.llm.frames import columns_of, fold, table
+from tallyline.session import scratch_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,38 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, labels.filter(fold(F.col("doc_id"), 3) != 1))
     scored = docs.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), toxicity.score(docs, model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
+@registered
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class and its number of links."""
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items that occur in it."""
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", *[c.alias(name) for name, c in decontaminate.verdict(F.col("found")).items()])
+
+
+@registered
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, read back from the token file of all documents."""
+    path = scratch_folder(spark, "tokens")
+    tokens.write(table(spark, sf_dir, "documents"), path)
+    return tokens.read(spark, path)
+
+
+@registered
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its source's weight and its number of copies in the mixture."""
+    docs = columns_of(table(spark, sf_dir, "documents"), doc_id="bigint", source="string", text="string")
+    mixed = mixing.mixed(docs)
+    return mixed.select("doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "copies")
+
+
+@registered
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the runs of lines that occurred before."""
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import toxicity
+from tallyline.llm import decontaminate, mixing, ngram_join, tokens, toxicity
 from tallyline.llm.frames import columns_of, fresh, table
 from tallyline.session import scratch_folder
 
@@ -25,4 +25,39 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept.select(*[f"`{c}`" for c in docs.columns])
 
 
-STAGES = [("toxicity", without_toxic)]
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one with the smallest doc_id; of rows that repeat an id, one.
+
+    Rows without id stay.
+    """
+    kept_id, row = fresh(docs, "kept_id", "row")
+    kept = ngram_join.join(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(kept_id))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)).filter(F.col(f"{row}.doc_id").isNotNull())
+    one = named.join(kept, F.col(f"{row}.doc_id") == F.col(kept_id)).groupBy(kept_id).agg(F.min(row).alias(row))
+    return one.select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no benchmark item occurs."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def in_proportion(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mixture asks for, at least once."""
+    names = fresh(docs, "n_tokens", "weight", "copies")
+    mixed = mixing.mixed(docs, names=tuple(names))
+    turn, = fresh(mixed, "turn")
+    return mixed.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(names[2])))).select(*[f"`{c}`" for c in docs.columns])
+
+
+def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token file of the corpus, read back: doc_id, start, n_tokens and ids_crc32 of every row."""
+    path = scratch_folder(spark, "tokens")
+    tokens.write(docs, path)
+    return tokens.read(spark, path)
+
+
+STAGES = [
+    ("toxicity", without_toxic), ("near_duplicates", without_near_duplicates), ("decontamination", without_benchmark),
+    ("mixing", in_proportion), ("tokens", as_tokens),
+]

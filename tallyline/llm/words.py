@@ -1,21 +1,18 @@
 """Words, word hashes and character n-grams of whole Arrow batches, without a Python loop over words.
 
-A word is what stands between white space, in lower case. `plain=True` also drops every character that is
-neither a letter nor a digit, and the words of which nothing stays. Hashes are 64 bits wide.
+A word is what stands between white space, in lower case. Hashes are 64 bits wide.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
-_NOT_WORD = re.compile(r"[\W_]+")
+BASE = 0x9E3779B97F4A7C15
 
 
 @dataclass
@@ -26,13 +23,8 @@ class Words:
     starts: np.ndarray
     vocabulary: list[str]
 
-    def hashes(self) -> np.ndarray:
-        """The hash of every word."""
-        one = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in self.vocabulary), np.uint64, len(self.vocabulary))
-        return one[self.codes] if len(one) else np.zeros(0, np.uint64)
 
-
-def words_of(texts: pa.Array, plain: bool = False) -> Words:
+def words_of(texts: pa.Array) -> Words:
     """The words of a batch of texts; a missing text has none."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
@@ -42,8 +34,6 @@ def words_of(texts: pa.Array, plain: bool = False) -> Words:
     coded = flat.cast(pa.large_string()).dictionary_encode()
     codes = np.asarray(coded.indices, np.int64)
     vocabulary = coded.dictionary.to_pylist()
-    if plain:
-        vocabulary = [_NOT_WORD.sub("", w) for w in vocabulary]
     keep = np.fromiter((bool(w) for w in vocabulary), bool, len(vocabulary))
     if not keep.all():
         stays = keep[codes]
@@ -60,6 +50,43 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x * GOLD
 
 
+def powers(base: int, count: int) -> np.ndarray:
+    """base**0, base**1, ... modulo 2**64."""
+    out = np.full(count, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def hashed_words(texts: pa.Array, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word of every text, and where each text's words begin; only ASCII white space parts words.
+
+    `plain` also drops all ASCII characters but letters and digits, and words of which nothing stays. A missing text
+    has no word. A word's hash is a polynomial in its bytes, taken from running sums over the whole batch.
+    """
+    texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    code = np.arange(256)
+    blank = (code == 32) | ((code >= 9) & (code <= 13))
+    if plain:
+        letter = (code >= 128) | ((code >= 97) & (code <= 122)) | ((code >= 48) & (code <= 57))
+        kept = (letter | blank)[data]
+        data, offsets = data[kept], np.concatenate([[0], np.cumsum(kept)])[offsets]
+    inside = ~blank[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    first[edges] |= inside[edges]
+    last[edges - 1] |= inside[edges - 1]
+    first, last = np.flatnonzero(first), np.flatnonzero(last) + 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)))])
+    value = (sums[last] - sums[first]) * powers(pow(BASE, -1, 1 << 64), len(data) + 1)[first]
+    return mixed(value + (last - first).astype(np.uint64)), np.searchsorted(first, offsets)
+
+
 def shingles_of(hashes: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every n consecutive words of each text, and where each text's begin.
 
