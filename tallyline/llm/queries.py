@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontaminate, language, line_dedup, mixing, ngram_join, tokens, toxicity
+from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, tokens, toxicity
 from tallyline.llm.frames import columns_of, fold, table
 from tallyline.session import scratch_folder
 
@@ -70,3 +70,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the runs of lines that occurred before."""
     return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of links and its component."""
+    return multi_index.join(table(spark, sf_dir, "embeddings"))
