@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, secret_scan, tokens, toxicity
+from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, secret_scan, tokens, toxicity, wrappers
 from tallyline.llm.frames import columns_of, fold, table
 from tallyline.session import scratch_folder
 
@@ -85,3 +85,9 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).select(
         "doc_id", *[secret_scan.count_of(spans, kind).alias(f"n_{kind}") for kind in secret_scan.KINDS],
         F.sha2(secret_scan.digest(spans, base_only=True).cast("binary"), 256).alias("base_sha256"), secret_scan.digest(spans, base_only=False).alias("spans"))
+
+
+@registered
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
