@@ -37,9 +37,9 @@ def banding(threshold: float, recall: float, most_hashes: int = MOST_HASHES) ->
     best = None
     for rows in range(1, most_hashes + 1):
         miss = 1 - threshold**rows
-        bands = 1 if miss <= 0 else int(np.ceil(np.log(1 - recall) / np.log(miss)))
-        if bands * rows <= most_hashes:
-            best = (bands, rows)
+        needed = 1.0 if miss <= 0 else np.inf if miss >= 1 else np.ceil(np.log(1 - recall) / np.log(miss))
+        if needed * rows <= most_hashes:
+            best = (int(needed), rows)
     if best is None:
         raise ValueError("the recall needs more hashes")
     return best

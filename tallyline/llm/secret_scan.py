@@ -166,17 +166,21 @@ def _spans(rows) -> pa.Array:
     return pa.array([[dict(zip(("kind", "first", "last", "value"), s, strict=True)) for s in row] for row in rows], SPAN)
 
 
-@F.arrow_udf(SPANS_SQL)
-def located(texts: pa.Array) -> pa.Array:
-    """Base spans and candidates of every text."""
-    out = [pa.array([], SPAN)]
-    for piece in pieces(texts):
-        found = []
-        for text in piece.to_pylist():
-            base = base_spans(text or "")
-            found.append(base + candidates(text or "", base))
-        out.append(_spans(found))
-    return pa.concat_arrays(out)
+def located(text: Column) -> Column:
+    """Base spans and candidates of a text."""
+
+    @F.arrow_udf(SPANS_SQL)
+    def locate(texts: pa.Array) -> pa.Array:
+        out = [pa.array([], SPAN)]
+        for piece in pieces(texts):
+            found = []
+            for text in piece.to_pylist():
+                base = base_spans(text or "")
+                found.append(base + candidates(text or "", base))
+            out.append(_spans(found))
+        return pa.concat_arrays(out)
+
+    return locate(text)
 
 
 def learned(found: DataFrame, values_per_kind: int = VALUES_PER_KIND) -> list[Automaton]:

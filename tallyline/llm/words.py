@@ -27,14 +27,14 @@ class Words:
 def words_of(texts: pa.Array) -> Words:
     """The words of a batch of texts; a missing text has none."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+    lists = pc.utf8_split_whitespace(pc.utf8_trim_whitespace(pc.utf8_lower(texts)))
     starts = np.asarray(lists.offsets, np.int64)
     flat = lists.values.slice(starts[0], starts[-1] - starts[0])
     starts = starts - starts[0]
     coded = flat.cast(pa.large_string()).dictionary_encode()
     codes = np.asarray(coded.indices, np.int64)
     vocabulary = coded.dictionary.to_pylist()
-    keep = np.fromiter((bool(w) for w in vocabulary), bool, len(vocabulary))
+    keep = np.fromiter((bool(w) and not w.isspace() for w in vocabulary), bool, len(vocabulary))
     if not keep.all():
         stays = keep[codes]
         starts = np.concatenate([[0], np.cumsum(stays)])[starts]
