@@ -98,7 +98,7 @@ ORGANIC_SELECT = f"""ref_date, year(ref_date)::INT AS observation, month(ref_dat
 
 @query("R6_organics_summary", given("organics", o=ORGANIC_SQL) + f"SELECT region_channel, {ORGANIC_SELECT} FROM o")
 def _(t: Tables):
-    return rounded(bridge.organics_summary(organics(t.shipped("1995-01-01", "1998-03-01")), date(1998, 3, 15)), ORGANIC_CELLS)
+    return rounded(bridge.organics_summary(organics(t.shipped(None, "1998-03-01")), date(1998, 3, 15)), ORGANIC_CELLS)
 
 
 @query("R6_organics_report_layout", given("organics", o=ORGANIC_SQL, lay=f"SELECT unnest({ORGANIC_LINES!r}) AS region_channel, unnest(range(1, 5))::INT AS ord") + f"""
@@ -106,4 +106,4 @@ def _(t: Tables):
 def _(t: Tables):
     lines = t.spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in ORGANIC_LINES])).alias("region_channel"))
     lines = lines.withColumn("ord", rank_of("region_channel", ORGANIC_LINES))
-    return rounded(bridge.organics_summary(organics(t.shipped("1995-01-01", "1998-03-01")), date(1998, 3, 15), lines), ORGANIC_CELLS).orderBy("ord", "ref_date")
+    return rounded(bridge.organics_summary(organics(t.shipped(None, "1998-03-01")), date(1998, 3, 15), lines), ORGANIC_CELLS).orderBy("ord", "ref_date")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyline.catalog.registry import Tables, m, ms, query, rounded
 from tallyline.catalog.views import amortization, facts, given, ledger, planned
 from tallyline.functions.periods import MONTH_ABBREVIATIONS
-from tallyline.operators.reshape import spread, union_all
+from tallyline.operators.reshape import spread_found, union_all
 from tallyline.plans import close
 
 AS_OF = date(1998, 3, 1)
@@ -205,41 +205,33 @@ def overview_cells(condition: str = "TRUE", suffix: str = "") -> str:
     return ", ".join(cells + [m(f"coalesce(sum(CASE WHEN {condition} AND quarter(period) = {q} THEN value END), 0)", f"Q{q}{suffix}") for q in range(1, 5)])
 
 
-def year_facts(t: Tables):
-    return facts(t.shipped("1999-01-01", "2000-01-01"))
-
-
-@query("V11_cross_table", given("facts", f="SELECT * FROM facts WHERE year(period) = 1999") + f"""
-    SELECT category, {', '.join(overview_cells(f"type = '{k}'", f"_{k}") for k in ("actuals", "op", "fcast"))} FROM f GROUP BY 1 HAVING count(*) FILTER (type = 'actuals') > 0""")
+@query("V11_cross_table", given("facts") + f"""
+    SELECT category, year(period)::INT AS year, {', '.join(overview_cells(f"type = '{k}'", f"_{k}") for k in ("actuals", "op", "fcast"))} FROM facts GROUP BY 1, 2 HAVING count(*) FILTER (type = 'actuals') > 0""")
 def _(t: Tables):
-    wide = close.overview(year_facts(t), fill=0.0)
+    wide = close.overview(facts(t), fill=0.0)
     table = close.cross_table(wide)
-    cells = [c for c in table.columns if c != "category"]
+    cells = [c for c in table.columns if c not in ("category", "year")]
     return rounded(table.fillna(0.0, subset=cells), cells)
 
 
-@query("V12_wide_report_to_long", given("facts", f="SELECT * FROM facts WHERE year(period) = 1999 AND type = 'actuals'", w=f"SELECT category, {overview_cells()} FROM f GROUP BY 1")
-       + " UNION ALL ".join(f"SELECT category, '{n}' AS period, {m(n, 'value')} FROM w" for n in MONTH_ABBREVIATIONS))
+@query("V12_wide_report_to_long", given("facts", f="SELECT * FROM facts WHERE type = 'actuals'", w=f"SELECT category, year(period)::INT AS year, {overview_cells()} FROM f GROUP BY 1, 2")
+       + " UNION ALL ".join(f"SELECT category, year, '{n}' AS period, {m(n, 'value')} FROM w" for n in MONTH_ABBREVIATIONS))
 def _(t: Tables):
-    return rounded(close.refeed(close.overview(year_facts(t), fill=0.0)), ["value"])
-
-
-SERIALS = [36161 + d for d in (0, 31, 59, 90)]  # first days of January to April 1999
+    return rounded(close.refeed(close.overview(facts(t), fill=0.0)), ["value"])
 
 
 @query("V12_serial_columns_to_long", given("facts") + f"""
-    SELECT category, p.period, {m('sum(value)', 'value')} FROM (SELECT DISTINCT category FROM facts WHERE year(period) = 1999 AND month(period) <= 4) c
-    CROSS JOIN (SELECT DISTINCT period FROM facts WHERE year(period) = 1999 AND month(period) <= 4) p LEFT JOIN facts f USING (category, period) GROUP BY 1, 2""")
+    SELECT category, p.period, {m('sum(value)', 'value')} FROM (SELECT DISTINCT category FROM facts) c
+    CROSS JOIN (SELECT DISTINCT period FROM facts) p LEFT JOIN facts f USING (category, period) GROUP BY 1, 2""")
 def _(t: Tables):
     serial = F.date_diff("period", F.lit("1899-12-30").cast("date")).cast("string")
-    early = facts(t.shipped("1999-01-01", "1999-05-01")).withColumn("serial", serial)
-    wide = spread(early, ["category"], "serial", [str(s) for s in SERIALS], "value")
+    wide = spread_found(facts(t).withColumn("serial", serial), ["category"], "serial", "value")
     return rounded(close.refeed_serial(wide), ["value"])
 
 
-@query("V13_consolidated_table", given("facts", f="SELECT * FROM facts WHERE year(period) = 1999") + f"SELECT category, type, {overview_cells()} FROM f GROUP BY 1, 2")
+@query("V13_consolidated_table", given("facts") + f"SELECT category, type, year(period)::INT AS year, {overview_cells()} FROM facts GROUP BY 1, 2, 3")
 def _(t: Tables):
-    return rounded(close.consolidated([year_facts(t)]), MONTH_CELLS)
+    return rounded(close.consolidated([facts(t)]), MONTH_CELLS)
 
 
 @query("V13_detailed_table", given("ledger", "amortization", "planned", **lines_sql(True, False), amort=AMORT_SQL) + f"""

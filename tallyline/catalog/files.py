@@ -44,26 +44,21 @@ def _(t: Tables):
     return t.spark.read.parquet(path)
 
 
-TREE = {"NA/Actuals/08-2021": "NonCB", "NA/Actuals/09-2021": "CB", "EMEA/Forecast/09-2021": "Capex"}
-
-
-def file_tree(t: Tables) -> str:
-    """One folder per team, scenario and month, each with a table named after its kind."""
-    root = scratch_folder(t.spark, "tree")
-    for place, kind in TREE.items():
-        writers.write_delimited(people(t).filter(F.col("segment") != "NA"), f"{root}/{place}/{kind}.csv")
-    return root
-
-
-@query("S4_file_inventory", "SELECT * FROM (VALUES " + ", ".join(
-    "(" + ", ".join(f"'{x}'" for x in [*place.split("/"), f"{kind}.csv", kind]) + f", {int(place[-7:-5])}, {place[-4:]}, TRUE)" for place, kind in TREE.items()) + ") v(team, scenario, month_folder, table_name, kind, month, year, has_bytes)")
+@query("S4_file_inventory", """
+    SELECT c_mktsegment AS team, c_nationkey AS nation, CASE WHEN c_mktsegment LIKE '%A%' THEN 'with A' ELSE c_mktsegment END AS kind, count(*) AS n_rows, TRUE AS has_bytes FROM customer GROUP BY 1, 2""")
 def _(t: Tables):
-    files = readers.file_inventory(t.spark, file_tree(t), ["team", "scenario", "month_folder", "table_name"], glob="*.csv")
-    kind = categorise("table_name", [("NonCB", "NonCB"), ("CB", "CB"), ("Capex", "Capex"), ("SalesSGM", "SalesSGM")])
-    return files.select(
-        "team", "scenario", "month_folder", "table_name", kind.alias("kind"), F.substring("month_folder", 1, 2).cast("int").alias("month"),
-        F.substring("month_folder", 4, 4).cast("int").alias("year"), (F.col("length") > 0).alias("has_bytes"),
-    ).distinct()
+    """A folder per segment and nation as the tables have them; every file is listed and its rows are counted."""
+    root = f"{scratch_folder(t.spark, 'tree')}/people"
+    rows = t.customer.select(F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name").alias("value"), "c_mktsegment", "c_nationkey")
+    rows.repartition("c_mktsegment", "c_nationkey").write.partitionBy("c_mktsegment", "c_nationkey").text(root)
+    files = readers.file_inventory(t.spark, root, ["team", "nation"], glob="*.txt")
+    held = t.spark.read.option("recursiveFileLookup", "true").text(root).groupBy(F.col("_metadata.file_path").alias("held")).agg(F.count(F.lit(1)).alias("rows"))
+    plain = F.regexp_extract("path", "[^/]+/[^/]+/[^/]+$", 0)
+    found = files.withColumn("place", plain).join(held.select(F.regexp_extract("held", "[^/]+/[^/]+/[^/]+$", 0).alias("at"), "rows"), F.col("place") == F.col("at"))
+    after = lambda c: F.regexp_extract(c, "=(.*)$", 1)
+    team = F.replace(after("team"), F.lit("%20"), F.lit(" "))
+    by = found.groupBy(team.alias("team"), after("nation").cast("int").alias("nation")).agg(F.sum("rows").alias("n_rows"), F.min(F.col("length") > 0).alias("has_bytes"))
+    return by.withColumn("kind", categorise("team", [("A", "with A")]))
 
 
 @query("S5_many_file_union", """
@@ -81,11 +76,11 @@ def _(t: Tables):
 
 
 @query("S6_newest_source", """
-    SELECT printf('POST_NA_C11_%s_%06d.csv', strftime(o_orderdate, '%Y%m%d'), o_orderkey) AS file, strftime(o_orderdate, '%Y%m%d')::INT AS stamp, o_orderkey::INT AS code FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""")
+    SELECT printf('POST_NA_C11_%s_%06d.csv', strftime(o_orderdate, '%Y%m%d'), o_orderkey) AS file, strftime(o_orderdate, '%Y%m%d')::INT AS stamp, o_orderkey AS code FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""")
 def _(t: Tables):
-    name = F.concat(F.lit("POST_NA_C11_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), F.lpad(F.col("o_orderkey").cast("string"), 6, "0"), F.lit(".csv"))
+    name = F.concat(F.lit("POST_NA_C11_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), F.format_string("%06d", "o_orderkey"), F.lit(".csv"))
     files = t.orders.select(name.alias("file")).withColumn("path", F.concat(F.lit("feed/"), F.col("file")))
-    return readers.newest_source(files, r"_(\d{8})_", r"_(\d{6})\.").drop("path")
+    return readers.newest_source(files, r"_(\d{8})_", r"_(\d+)\.").drop("path").withColumn("code", F.col("code").cast("bigint"))
 
 
 @query("S7_header_promotion", "SELECT s_suppkey::VARCHAR AS supplier_key, s_name AS supplier_name, s_nationkey::VARCHAR AS nation FROM supplier")
@@ -112,21 +107,21 @@ def _(t: Tables):
 HISTORY = f"""SELECT region, ref_date, run, {m('sum(result)', 'result')} FROM (
     SELECT region, ref_date, 'r1' AS run, result FROM organics WHERE ref_date < DATE '1998-06-01'
     UNION ALL SELECT region, ref_date, 'r2', result * 2 FROM organics WHERE ref_date >= DATE '1998-06-01' AND ref_date < DATE '1999-02-01'
-    UNION ALL SELECT region, ref_date, 'r3', result * 3 FROM organics WHERE ref_date >= DATE '1999-02-01' AND ref_date < DATE '1999-06-01') GROUP BY 1, 2, 3"""
+    UNION ALL SELECT region, ref_date, 'r3', result * 3 FROM organics WHERE ref_date >= DATE '1999-02-01') GROUP BY 1, 2, 3"""
 
 
 def history(t: Tables) -> str:
-    """Three refreshes: the first up to 1998, the others from a moment on with new amounts."""
+    """Three refreshes of the whole table: the first up to 1998, the others from a moment on with new amounts."""
     path = f"{scratch_folder(t.spark, 'history')}/organics"
     rows = organics(t).groupBy("geo", "region", "channel", "type", "ref_date").agg(F.sum("result").alias("result"))
+    day = F.col("ref_date")
 
-    def between(first: str, last: str, times: int):
-        picked = rows.filter((F.col("ref_date") >= F.lit(first).cast("date")) & (F.col("ref_date") < F.lit(last).cast("date")))
-        return picked.withColumn("result", F.col("result") * times)
+    def refresh(condition, times: int, run: str, moment: date) -> None:
+        writers.append_run(rows.filter(condition).withColumn("result", F.col("result") * times), path, run, moment, "ref_date")
 
-    writers.append_run(between("1995-01-01", "1999-01-01", 1), path, "r1", date(1995, 1, 1))
-    writers.append_run(between("1998-06-01", "1999-06-01", 2), path, "r2", date(1998, 6, 1))
-    writers.append_run(between("1999-02-01", "1999-06-01", 3), path, "r3", date(1999, 2, 1))
+    refresh(day < F.lit("1999-01-01").cast("date"), 1, "r1", date(1900, 1, 1))
+    refresh(day >= F.lit("1998-06-01").cast("date"), 2, "r2", date(1998, 6, 1))
+    refresh(day >= F.lit("1999-02-01").cast("date"), 3, "r3", date(1999, 2, 1))
     return path
 
 
@@ -137,19 +132,19 @@ def _(t: Tables):
 
 
 @query("S10_schema_audit", """
-    SELECT 'customer' AS kind, 'key,name,team' AS columns, 3 AS n_columns, FALSE AS lacks_required UNION ALL SELECT 'supplier', 'key,balance', 2, TRUE""")
+    SELECT 'key,name,team' AS columns, 3 AS n_columns, FALSE AS lacks_required, count(*) AS n_rows FROM customer
+    UNION ALL SELECT 'key,balance', 2, TRUE, count(*) FROM supplier""")
 def _(t: Tables):
     root = scratch_folder(t.spark, "audit")
     writers.write_delimited(t.customer.select(F.col("c_custkey").alias("Key"), F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Team")), f"{root}/customer")
     writers.write_delimited(t.supplier.select(F.col("s_suppkey").alias("Key"), F.col("s_acctbal").alias("Balance")), f"{root}/supplier")
     audited = readers.schema_audit(t.spark, root, "team")
-    kind = F.when(F.col("n_columns") == 3, "customer").otherwise("supplier")
-    return audited.select(kind.alias("kind"), "columns", "n_columns", "lacks_required").distinct()
+    return audited.groupBy("columns", "n_columns", "lacks_required").agg(F.sum("n_lines").alias("n_rows"))
 
 
 REFRESHED = """SELECT geo, region, channel, type, ref_date, sum(result) AS result FROM organics WHERE ref_date < DATE '1998-06-01' GROUP BY 1, 2, 3, 4, 5
     UNION ALL SELECT geo, region, channel, type, ref_date, sum(result) * 2 FROM organics WHERE ref_date >= DATE '1998-06-01' AND ref_date < DATE '1999-02-01' GROUP BY 1, 2, 3, 4, 5
-    UNION ALL SELECT geo, region, channel, type, ref_date, sum(result) * 3 FROM organics WHERE ref_date >= DATE '1999-02-01' AND ref_date < DATE '1999-06-01' GROUP BY 1, 2, 3, 4, 5"""
+    UNION ALL SELECT geo, region, channel, type, ref_date, sum(result) * 3 FROM organics WHERE ref_date >= DATE '1999-02-01' GROUP BY 1, 2, 3, 4, 5"""
 
 
 @query("R7_snapshot_refresh", given("organics", h=REFRESHED) + f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables, fine, m, ms, query, rounded, s
 from tallyline.catalog.views import fx_factors, given, pnl_rates, rates, transactional
-from tallyline.functions.periods import MONTH_ABBREVIATIONS, calendar
+from tallyline.functions.periods import MONTH_ABBREVIATIONS, calendar_of
 from tallyline.plans import fx
 
 
@@ -17,7 +17,7 @@ def sources(t: Tables):
 
 
 def business_rates(t: Tables):
-    return fx.daily_rates(sources(t), calendar(t.spark, "1995-01-01", "2001-12-31", business_days_only=True))
+    return fx.daily_rates(sources(t), calendar_of(t.orders, "o_orderdate", business_days_only=True))
 
 
 DAILY = "SELECT from_ccy, date, inverse_spot_rate, day(date)::INT AS day, 'Week ' || ((day(date) - 1) // 7 + 1) AS week, strftime(date, '%b') AS month, year(date)::VARCHAR AS year FROM rates WHERE isodow(date) <= 5"

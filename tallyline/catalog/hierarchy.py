@@ -56,17 +56,25 @@ SALES = "SELECT business AS segment, lc, entity, month, sum(transactional_fx) AS
 GAPS = {
     "sl": SALES,
     "mi": "SELECT * FROM sl WHERE entity NOT IN (SELECT s_name FROM supplier WHERE s_acctbal > 3000) AND value <> 0 AND lc <> 'C1'",
-    "g": "SELECT segment, lc, month, sum(value) AS v, string_agg(DISTINCT entity, ',' ORDER BY entity) AS entities FROM mi GROUP BY 1, 2, 3",
+    "g": "SELECT segment, lc, month, sum(value) AS v, string_agg(DISTINCT entity, ',' ORDER BY entity) AS entities, count(DISTINCT entity) AS n_entities FROM mi GROUP BY 1, 2, 3",
 }
 
 
+def gap_sources(t: Tables):
+    sales = transactional(t).groupBy(F.col("business").alias("segment"), "lc", "entity", "month").agg(cents(F.sum("transactional_fx"), "value"))
+    return sales, t.supplier.filter(F.col("s_acctbal") > 3000).select(F.col("s_name").alias("entity"))
+
+
 @query("H5_gap_report", given("transactional", **GAPS) + f"""
-    SELECT segment, lc, month, {m('v', 'v')}, {m('v * 1000', 'f')}, 0::BIGINT AS part, entities FROM g WHERE v <> 0
-    UNION ALL SELECT 'Total', '-', '-', {m('sum(v)')}, {m('sum(v) * 1000')}, 0, '-' FROM g""")
+    SELECT segment, lc, month, {m('v', 'v')}, {m('v * 1000', 'f')}, n_entities FROM g WHERE v <> 0
+    UNION ALL SELECT 'Total', '-', '-', {m('sum(v)')}, {m('sum(v) * 1000')}, sum(n_entities)::BIGINT FROM g""")
 def _(t: Tables):
-    sales = transactional(t).groupBy(F.col("business").alias("segment"), "lc", "entity", "month").agg(cents(F.sum("transactional_fx"), "value"))
-    listed = t.supplier.filter(F.col("s_acctbal") > 3000).select(F.col("s_name").alias("entity"))
-    return rounded(plan.gap_report(sales, listed, home_currency="C1", unit=1000.0), ["v", "f"])
+    return rounded(plan.gap_report(*gap_sources(t), home_currency="C1", unit=1000.0), ["v", "f"])
+
+
+@query("H5_gap_names", given("transactional", **GAPS) + "SELECT segment, lc, month, 0::BIGINT AS part, entities, n_entities AS n_items FROM g")
+def _(t: Tables):
+    return plan.gap_names(*gap_sources(t), home_currency="C1")
 
 
 @query("H6_region_tie_out", given("transactional", g="SELECT region, sum(transactional_fx) AS v FROM transactional WHERE region NOT LIKE '%MIDDLE%' GROUP BY 1") + f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables, cents, m, query, rounded, s
 from tallyline.catalog.views import daily, fx_factors, given, transactional
-from tallyline.functions.periods import MONTH_NAMES, calendar, fiscal_label, month_number, month_of
+from tallyline.functions.periods import MONTH_NAMES, calendar_of, fiscal_label, month_number, month_of
 from tallyline.operators import joins
 from tallyline.operators.reshape import shift_years, union_all
 from tallyline.operators.rules import rank_of
@@ -116,7 +116,7 @@ def _(t: Tables):
     SELECT day, 'd' || dayofyear(day) AS day_code, strftime(day, '%b') AS month, 'Q' || quarter(day) AS quarter, {m('sum(value)', 'value')}
     FROM daily WHERE isodow(day) <= 5 GROUP BY 1""")
 def _(t: Tables):
-    days = calendar(t.spark, "1995-01-01", "2001-12-31", business_days_only=True).withColumnRenamed("data_date", "day_date").drop("day", "week")
+    days = calendar_of(daily(t), "day", business_days_only=True).withColumnRenamed("data_date", "day_date").drop("day", "week")
     sums = daily(t).groupBy("day").agg(cents(F.sum("value"), "value"))
     return joins.join_named(sums, days, {"day": "day_date"}, "inner")
 

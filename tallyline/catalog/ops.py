@@ -106,7 +106,7 @@ CONTROLS = {
     "fd": "SELECT *, last_value(k IGNORE NULLS) OVER (PARTITION BY doc ORDER BY position ROWS UNBOUNDED PRECEDING) AS policy FROM kd",
     "pr": "SELECT DISTINCT doc, trim(replace(trim(criteria), 'Related to', '')) AS criteria, k AS policy FROM kd WHERE k IS NOT NULL",
     "tx": "SELECT doc, policy, trim(control, ' ') AS body, min(position) AS position FROM fd WHERE policy IS NOT NULL AND trim(control, ' ') <> '' GROUP BY 1, 2, 3",
-    "cn": "SELECT doc, policy, string_agg(body, ' ' ORDER BY position, body) AS controls FROM tx GROUP BY 1, 2",
+    "cn": "SELECT doc, policy, string_agg(body, ' ' ORDER BY position, body) AS controls, count(*) AS n_controls FROM tx GROUP BY 1, 2",
     "ts": "SELECT DISTINCT doc, policy, trim(test, ' ') AS test, trim(coalesce(result, 'No deviations noted.'), ' ') AS result FROM fd WHERE policy IS NOT NULL AND test IS NOT NULL",
 }
 
@@ -123,11 +123,16 @@ def documents(t: Tables):
 
 
 @query("T5_policy_table", given(**CONTROLS) + """
-    SELECT pr.doc, pr.criteria, pr.policy, 0::BIGINT AS part, controls, test, result FROM pr JOIN cn ON pr.doc = cn.doc AND pr.policy = cn.policy LEFT JOIN ts ON pr.doc = ts.doc AND pr.policy = ts.policy""")
+    SELECT pr.doc, pr.criteria, pr.policy, n_controls, test, result FROM pr JOIN cn ON pr.doc = cn.doc AND pr.policy = cn.policy LEFT JOIN ts ON pr.doc = ts.doc AND pr.policy = ts.policy""")
 def _(t: Tables):
     return ops.policy_table(documents(t))
 
 
+@query("T5_control_texts", given(**CONTROLS) + "SELECT doc, policy, 0::BIGINT AS part, controls, n_controls AS n_items FROM cn")
+def _(t: Tables):
+    return ops.control_texts(documents(t))
+
+
 @query("T5_criteria_descriptions", given(**CONTROLS) + """
     SELECT doc, trim(replace(criteria, 'Related to', '')) AS criteria, 0::BIGINT AS part, string_agg(test, '' ORDER BY position) AS criteria_description, count(*) AS n_items FROM doc WHERE test IS NOT NULL GROUP BY doc, criteria""")
 def _(t: Tables):

@@ -36,15 +36,14 @@ def _(t: Tables):
     return heads(t)
 
 
-@query("E1_head_matrix", given(**HEADS) + "SELECT unit, " + ", ".join(f"""sum((strftime(date, '%b %Y') = '{x}')::INT)::BIGINT AS "{x}" """ for x in YEAR_MONTHS) + " FROM hd GROUP BY 1")
+@query("E1_head_matrix", given(**HEADS) + "SELECT unit, " + ", ".join(f"""sum((strftime(date, '%b %Y') = '{x}')::INT)::BIGINT AS "{x}" """ for x in YEAR_MONTHS) + ", count(*) AS all_months FROM hd GROUP BY 1")
 def _(t: Tables):
     return people.head_matrix(heads(t), YEAR_MONTHS)
 
 
-@query("E2_new_heads", given(**HEADS) + "SELECT name, ee_number, cost_center, unit, date, quarter FROM hd WHERE date = DATE '2000-08-01' AND name NOT IN (SELECT name FROM hd WHERE year(date) = 2000 AND date <> DATE '2000-08-01')")
+@query("E2_new_heads", given(**HEADS) + "SELECT name, ee_number, cost_center, unit, date, quarter FROM hd WHERE date = DATE '2000-08-01' AND name NOT IN (SELECT name FROM hd WHERE date <> DATE '2000-08-01')")
 def _(t: Tables):
-    year = heads(t.ordered("2000-01-01", "2001-01-01"))
-    return people.new_heads(year, "2000-08-01")
+    return people.new_heads(heads(t), "2000-08-01")
 
 
 @query("E3_pay_estimate", given(**HEADS, pay="SELECT o_custkey::VARCHAR AS ee_number, o_orderpriority AS earning_code, sum(o_totalprice) AS regular FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2") + f"""

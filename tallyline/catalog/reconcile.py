@@ -162,7 +162,7 @@ def _(t: Tables):
     SELECT * FROM g WHERE center NOT IN (SELECT s_suppkey::VARCHAR FROM supplier WHERE s_acctbal > 2000)""")
 def _(t: Tables):
     current = t.supplier.filter(F.col("s_acctbal") > 2000).select(F.col("s_suppkey").cast("string").alias("current_center"))
-    return reconcile.unmapped_centers(reconcile.functions_per_center(center_pairs(t), "center", "fn"), "center", current, "current_center")
+    return reconcile.functions_per_center(reconcile.unmapped_centers(center_pairs(t), "center", current, "current_center"), "center", "fn")
 
 
 REQUESTS = {

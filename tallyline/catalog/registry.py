@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.session import tune
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -34,12 +32,12 @@ SCHEMAS = {
 class Tables:
     """The parquet tables of one folder, as attributes."""
 
-    def __init__(self, spark: SparkSession, folder: str, ranges: dict[str, tuple[str, str, str]] | None = None):
+    def __init__(self, spark: SparkSession, folder: str, ranges: dict[str, tuple[str, str | None, str]] | None = None):
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._ranges = ranges or {}
 
-    def shipped(self, first: str, before: str) -> Tables:
+    def shipped(self, first: str | None, before: str) -> Tables:
         """The same tables with the lines of a date range only; the range reaches the parquet scan."""
         return Tables(self.spark, self.folder, {**self._ranges, "lineitem": ("l_shipdate", first, before)})
 
@@ -53,8 +51,9 @@ class Tables:
         table = self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
         if name in self._ranges:
             column, first, before = self._ranges[name]
-            low, high = (F.lit(d).cast("timestamp_ntz") for d in (first, before))
-            table = table.filter((F.col(column) >= low) & (F.col(column) < high))
+            if first is not None:
+                table = table.filter(F.col(column) >= F.lit(first).cast("timestamp_ntz"))
+            table = table.filter(F.col(column) < F.lit(before).cast("timestamp_ntz"))
         return table
 
 
@@ -66,7 +65,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"{name} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return plan(Tables(tune(spark), folder))
+            return plan(Tables(spark, folder))
 
         run.__name__ = name
         QUERIES[name] = run

@@ -23,7 +23,7 @@ LATE_ORIGIN = "1899-12-31"
 
 def from_serial(serial: ColumnOrName, origin: str = SPREADSHEET_ORIGIN) -> Column:
     """Date for a spreadsheet serial number; fractions of a day are dropped."""
-    return F.date_add(F.lit(origin).cast("date"), as_col(serial).cast("int"))
+    return F.date_add(F.lit(origin).cast("date"), as_col(serial).try_cast("double").try_cast("int"))
 
 
 def month_start(day: ColumnOrName) -> Column:
@@ -35,8 +35,9 @@ def month_label(day: ColumnOrName) -> Column:
 
 
 def month_of(year: ColumnOrName, month: ColumnOrName) -> Column:
-    """First day of a month; NULL when the month number is missing."""
-    return F.make_date(as_col(year).cast("int"), as_col(month).cast("int"), F.lit(1))
+    """First day of a month; NULL when year or month is missing, no number or no month."""
+    number = as_col(month).try_cast("int")
+    return F.when(number.between(1, 12), F.make_date(as_col(year).try_cast("int"), number, F.lit(1)))
 
 
 def quarter_label(day: ColumnOrName) -> Column:
@@ -88,6 +89,14 @@ def calendar(spark: SparkSession, first: str, last: str, business_days_only: boo
     )
 
 
+def calendar_of(df: DataFrame, date: str, business_days_only: bool = False) -> DataFrame:
+    """Calendar from the first to the last date of a table; one row of bounds is read first."""
+    first, last = df.agg(F.min(F.col(date).cast("date")).cast("string"), F.max(F.col(date).cast("date")).cast("string")).first()
+    if first is None:
+        return calendar(df.sparkSession, "2000-01-01", "2000-01-01", business_days_only).filter(F.lit(False))
+    return calendar(df.sparkSession, first, last, business_days_only)
+
+
 def close_ranges(days: DataFrame) -> DataFrame:
     """First and last day of every month of a calendar."""
     return (

@@ -29,8 +29,11 @@ def clean_headers(headers: Iterable[str]) -> list[str]:
     taken: list[str] = []
     for header in headers:
         name = snake_case(header)
-        seen[name] = seen.get(name, 0) + 1
-        taken.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+        free = name
+        while free in taken:
+            seen[name] = seen.get(name, 1) + 1
+            free = f"{name}_{seen[name]}"
+        taken.append(free)
     return taken
 
 
@@ -66,7 +69,7 @@ def drop_matching(df: DataFrame, **patterns) -> DataFrame:
 
 def numeric_columns(df: DataFrame, besides: Iterable[str] = ()) -> list[str]:
     kinds = ("double", "float", "int", "bigint", "smallint", "tinyint", "decimal")
-    return [c for c, kind in df.dtypes if kind.startswith(kinds) and c not in set(besides)]
+    return [c for c, kind in df.dtypes if kind.split("(")[0] in kinds and c not in set(besides)]
 
 
 def rename_all(df: DataFrame, rename: Callable[[str], str], besides: Iterable[str] = ()) -> DataFrame:

@@ -35,7 +35,7 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def without(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the left table whose key is absent on the right; missing keys match missing keys."""
-    return join_null_safe(left, right.select(*keys), keys, "left_anti")
+    return join_null_safe(left, right.select(*keys).distinct(), keys, "left_anti")
 
 
 def missing_both_ways(left: DataFrame, right: DataFrame, keys: Sequence[str], names=("left", "right")) -> DataFrame:
@@ -60,11 +60,9 @@ def natural_join(tables: Iterable[DataFrame], how: str = "left") -> DataFrame:
 
 
 def common_keys(left: DataFrame, left_key: str, right: DataFrame, right_key: str, name: str) -> DataFrame:
-    """Distinct key values found on both sides."""
-    return (
-        left.select(F.col(left_key).alias(name)).distinct()
-        .join(right.select(F.col(right_key).alias(name)).distinct(), name, "inner")
-    )
+    """Distinct key values found on both sides; a value missing on both is common to them."""
+    found = left.select(F.col(left_key).alias(name), F.lit(0).alias("__side")).unionByName(right.select(F.col(right_key).alias(name), F.lit(1).alias("__side")))
+    return found.groupBy(name).agg(F.min("__side").alias("__lo"), F.max("__side").alias("__hi")).filter(F.col("__lo") != F.col("__hi")).select(name)
 
 
 def membership(df: DataFrame, column: str, other: DataFrame, other_column: str, flag: str) -> DataFrame:
@@ -83,7 +81,7 @@ def membership(df: DataFrame, column: str, other: DataFrame, other_column: str,
 
 def keep_members(df: DataFrame, column: str, other: DataFrame, other_column: str, negate: bool = False) -> DataFrame:
     """Filter by membership in another table's column."""
-    keys = other.select(F.col(other_column).alias("__key"))
+    keys = other.select(F.col(other_column).alias("__key")).distinct()
     condition = F.col(column).eqNullSafe(F.col("__key"))
     return df.join(keys, condition, "left_anti" if negate else "left_semi")
 
@@ -113,18 +111,15 @@ def lookup_with_fallback(
 def containing_any(df: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
     """Rows whose text contains at least one of the codes as a substring.
 
-    Exact and free of a nested loop: every distinct text is cut into the substrings that have the
-    length of some code and these are matched by equality.
+    Exact and free of a nested loop: every distinct text is cut into the distinct substrings that have the length of
+    the shortest code; those that begin some code are kept, and the codes they begin are looked for in the text.
     """
     wanted = codes.select(F.col(code).alias("__code")).filter(F.length("__code") > 0).distinct()
-    lengths = wanted.agg(F.collect_set(F.length("__code")).alias("n")).scalar()
+    shortest = wanted.agg(F.min(F.length("__code")).alias("n")).scalar()
+    heads = wanted.withColumn("__head", F.substring("__code", F.lit(1), shortest))
     texts = df.select(F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).distinct()
-    hits = (
-        texts.withColumn("__length", F.explode(lengths))
-        .withColumn("__code", F.explode(grams("__text", F.col("__length"))))
-        .join(wanted, "__code", "left_semi")
-        .select("__text")
-    )
+    cut = texts.withColumn("__n", F.explode(F.array(shortest))).withColumn("__part", F.explode(grams("__text", F.col("__n"))))
+    hits = cut.join(heads, F.col("__part") == F.col("__head")).filter(F.contains("__text", "__code")).select("__text").distinct()
     return df.join(hits, F.col(text) == F.col("__text"), "left_semi")
 
 

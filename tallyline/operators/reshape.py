@@ -30,13 +30,18 @@ def spread(
     fill: float | None = None,
     prefix: str = "",
     strict: bool = False,
+    total: str | None = None,
 ) -> DataFrame:
     """Long to wide with sums. The values are given, so the schema is fixed and no job runs to find it.
 
-    With one measure the columns are named after the values, with several `{measure}_{value}`.
+    With one measure the columns are named after the values, with several `{measure}_{value}`. Rows of other values
+    keep their ids in the result; `total` names a column with the sum of one measure over all rows, listed or not,
+    which tells what the listed columns leave out. Cells have the type of the measure's sum, filled or not.
     """
     many = not isinstance(measures, str)
     listed = list(measures) if many else [measures]
+    if total and (many or strict):
+        raise ValueError("a total needs one measure that skips missing values")
 
     def title(measure: str, value) -> str:
         return f"{prefix}{measure}_{label_for(value)}" if many else f"{prefix}{label_for(value)}"
@@ -44,27 +49,34 @@ def spread(
     n_cells = len(values) * len(listed)
     if n_cells > DIRECT_CELLS and not strict:
         df = df.groupBy(*ids, names_from).agg(*[F.sum(m).alias(m) for m in listed])
-    if n_cells <= CONDITIONAL_CELLS:
+    titles = [title(measure, value) for measure in listed for value in values]
+    if n_cells <= CONDITIONAL_CELLS or strict or total:
         cells = []
         for measure in listed:
             for value in values:
                 hit = F.col(names_from) == F.lit(value)
-                total = strict_sum_where(measure, hit) if strict else F.sum(F.when(hit, F.col(measure)))
-                total = total if fill is None else F.coalesce(total, F.lit(fill))
-                cells.append(total.alias(title(measure, value)))
-        return df.groupBy(*ids).agg(*cells)
-
-    if strict:
-        raise ValueError("a strict spread is limited to the conditional form")
-    wide = df.groupBy(*ids).pivot(names_from, list(values)).agg(*[F.sum(m).alias(m) for m in listed])
-    renamed = {}
-    for value in values:
-        for measure in listed:
-            # Spark names the cells '{value}' for one measure and '{value}_{measure}' for several.
-            source = f"{label_for(value)}_{measure}" if many and len(listed) > 1 else label_for(value)
-            renamed[source] = title(measure, value)
-    wide = wide.withColumnsRenamed(renamed)
-    return wide if fill is None else wide.fillna(fill, subset=list(renamed.values()))
+                cell = strict_sum_where(measure, hit) if strict else F.sum(F.when(hit, F.col(measure)))
+                cells.append(cell.alias(title(measure, value)))
+        wide = df.groupBy(*ids).agg(*cells, *([F.sum(listed[0]).alias(total)] if total else []))
+    else:
+        wide = df.groupBy(*ids).pivot(names_from, list(values)).agg(*[F.sum(m).alias(m) for m in listed])
+        # Spark names the cells '{value}' for one measure and '{value}_{measure}' for several.
+        wide = wide.withColumnsRenamed({
+            f"{label_for(value)}_{measure}" if len(listed) > 1 else label_for(value): title(measure, value) for value in values for measure in listed})
+    return wide if fill is None else wide.fillna(fill, subset=[*titles, *([total] if total else [])])
+
+
+def spread_found(
+    df: DataFrame, ids: Sequence[str], names_from: str, measures: str | Sequence[str], most: int = 1000, **options
+) -> DataFrame:
+    """Long to wide with a column for every name that occurs, in order.
+
+    The names are found first (one small job); more than `most` of them are an error, since they become columns.
+    """
+    found = [r[0] for r in df.select(names_from).filter(F.col(names_from).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{names_from} has more than {most} values")
+    return spread(df, ids, names_from, sorted(found), measures, **options)
 
 
 def gather(df: DataFrame, ids: Sequence[str], names_to: str, values_to: str, columns: Iterable[str] | None = None) -> DataFrame:
@@ -113,7 +125,12 @@ def shift_years(
     `carried` lists further numeric columns of the row itself to keep.
     """
     years = F.array(*[F.lit(k) for k in range(len(names) + 1)])
-    copies = df.withColumn("__back", F.explode(years)).withColumn(date, F.add_months(F.col(date), F.col("__back") * 12))
+    moved = F.add_months(F.col(date), F.col("__back") * 12)
+    # Going back a year from 29 February leads to 28 February: the 28th serves both days, the 29th only another 29th.
+    serves = F.when(F.dayofmonth(moved) == F.dayofmonth(date), moved)
+    leap_day = F.when((F.month(date) == 2) & (F.dayofmonth(F.last_day(date)) == 28) & (F.dayofmonth(date) == 28) & (F.dayofmonth(F.last_day(moved)) == 29), F.last_day(moved))
+    copies = df.withColumn("__back", F.explode(years)).filter(F.col(date).isNotNull() | (F.col("__back") == 0)).withColumn(
+        date, F.explode(F.when(F.col(date).isNull(), F.array(date)).otherwise(F.array_compact(F.array(serves, leap_day)))))
     own = F.col("__back") == 0
     cells = [F.sum(F.when(own, F.col(c))).alias(c) for c in (value, *carried)]
     cells += [F.sum(F.when(F.col("__back") == k, F.col(value))).alias(n) for k, n in enumerate(names, 1)]

@@ -20,7 +20,7 @@ def add_totals(df: DataFrame, label: str, title: str = "Total", filler: str = "-
     """Append a totals row: the title in the label column, sums below numbers, a filler elsewhere.
 
     The detail is normally an aggregate; its shuffle is reused for the total, so the source is
-    scanned once.
+    scanned once. Summed columns take the type of their sum, which is wide enough for the total.
     """
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in numeric_columns(df, besides=[label])]
     summed = {c for c in numeric_columns(df, besides=[label])}
@@ -30,10 +30,11 @@ def add_totals(df: DataFrame, label: str, title: str = "Total", filler: str = "-
         if name == label:
             cells.append(F.lit(title).alias(name))
         elif name in summed:
-            cells.append(F.col(name).cast(kind).alias(name))
+            cells.append(F.col(name))
         else:
             cells.append((F.lit(filler) if kind == "string" else F.lit(None).cast(kind)).alias(name))
-    return df.withColumn(label, F.col(label).cast("string")).unionByName(total.select(*cells))
+    wide = {name: F.col(name).cast(kind) for name, kind in total.dtypes if name in summed}
+    return df.withColumns({**wide, label: F.col(label).cast("string")}).unionByName(total.select(*cells))
 
 
 def subtotals(df: DataFrame, group: str, detail: str, measures: dict[str, Column], sub="TOTAL", grand="GRAND TOTAL") -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.session import cut_lineage
+from tallyline.session import written
 
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
@@ -19,11 +19,11 @@ _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above the
 def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "index", start: int = 1) -> DataFrame:
     """Running number over the whole table in a given order, computed in parallel.
 
-    The table is range-partitioned and sorted, then written once (reliable checkpoint) so that
+    The table is range-partitioned and sorted, then written once to the shared folder so that
     partition number and position cannot change between the two uses. The start of each partition
     is a prefix sum over one count per partition. The order must be unique.
     """
-    placed = cut_lineage(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
+    placed = written(df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()), "index")
     part = F.shiftright(F.col("__id"), _POSITION_BITS)
     position = F.col("__id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     # One row per partition of the sorted table: its size is the partition count, not the data.
@@ -39,20 +39,22 @@ def row_index(df: DataFrame, order: Sequence[Column | str], name: str = "index",
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
-    """First n rows per key. Spark keeps only n rows per key in every task before the shuffle."""
+    """First n rows per key. Spark keeps only n rows per key in every task before the shuffle.
+
+    It does so up to spark.sql.optimizer.windowGroupLimitThreshold rows (1000); raise that setting for a larger n.
+    """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rank", F.row_number().over(window)).filter(F.col("__rank") <= n).drop("__rank")
 
 
 def latest_per_group(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
-    """All rows of the newest date per key, ties included.
+    """All rows of the newest date per key, ties included; rows without date never.
 
-    A max per key joined back: the max is pre-aggregated and AQE can split a hot key in the join.
+    Every task keeps only the rows of its own newest date per key before the shuffle, so a hot key is small by then.
     """
-    newest = df.groupBy(*keys).agg(F.max(date).alias("__newest"))
-    renamed = newest.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys] + [F.col(date) == F.col("__newest")]
-    return df.join(renamed, on, "inner").drop("__newest", *[f"__{k}" for k in keys])
+    window = Window.partitionBy(*keys).orderBy(F.col(date).desc())
+    ranked = df.filter(F.col(date).isNotNull()).withColumn("__rank", F.rank().over(window))
+    return ranked.filter(F.col("__rank") <= 1).drop("__rank")
 
 
 def latest_rows(df: DataFrame, date: str) -> DataFrame:
@@ -95,37 +97,31 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: str, name
 def flatten_text(
     df: DataFrame, keys: Sequence[str], item: str, name: str, separator: str = ",", part_items: int = 10000, order: str | None = None
 ) -> DataFrame:
-    """Join the items of each group into one text, in item order (or the order of a position column).
+    """Join the items of each group into texts of `part_items` items, in item order (or that of a position column).
 
-    Columns: the keys, `part`, the text, `n_items`. A group of up to `part_items` items gives one
-    row (part 0). A larger group gives several rows whose texts, in the order of `part`, make up the
-    whole text: no task ever holds more than one part, and nothing is cut off.
+    Columns: the keys, `part` (from 0), the text, `n_items` of the part; the texts of a group, in the order of
+    `part`, make up the whole text. One path for every size: items are dealt by ranges of (keys, order), so a hot
+    group lies in many ranges; the place of an item follows from one count per group and range, and no task holds
+    more of a group than a range or a part. To put a fact beside other columns join `group_sizes`, which has one row
+    per group, not the parts.
     """
     sort_key = order or item
-    # The rows are used up to three times, so they are written once instead of being recomputed.
-    rows = cut_lineage(df.filter(F.col(item).isNotNull()).select(*keys, item, *([order] if order else [])))
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hidden = sizes.withColumnsRenamed({k: f"__{k}" for k in keys})
-    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    large = hidden.filter(F.col("__n") > part_items)
-
-    entry = F.struct(F.col(sort_key).alias("s"), F.col(item).alias("v"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["v"]), separator)
-    counted = [text.alias(name), F.count(F.lit(1)).alias("n_items")]
-
-    def whole(some: DataFrame) -> DataFrame:
-        one = some.groupBy(*keys).agg(*counted)
-        return one.select(*keys, F.lit(0).cast("bigint").alias("part"), name, "n_items")
-
-    if large.isEmpty():
-        return whole(rows)
-
-    hot = row_index(rows.join(large, on, "left_semi"), [*keys, sort_key, item], "__at", 0)
-    first = hot.groupBy(*keys).agg(F.min("__at").alias("__first")).withColumnsRenamed({k: f"__{k}" for k in keys})
-    parts = (
-        hot.join(first, on, "inner")
-        .withColumn("part", F.floor((F.col("__at") - F.col("__first")) / part_items))
+    rows = df.filter(F.col(item).isNotNull()).select(*keys, F.col(item).alias("__v"), F.col(sort_key).alias("__s"))
+    # Equal items may lie in several ranges: the last column makes every row different.
+    ranged = rows.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(*keys, "__s", "__v", "__row")
+    entry = F.struct("__s", "__v", "__row")
+    runs = ranged.withColumn("__range", F.spark_partition_id()).groupBy(*keys, "__range").agg(F.array_sort(F.collect_list(entry)).alias("__items"))
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = runs.withColumn("__before", F.coalesce(F.sum(F.size("__items")).over(before), F.lit(0)))
+    each = placed.select(*keys, "__before", F.posexplode("__items").alias("__at", "__item"))
+    at = F.col("__before") + F.col("__at")
+    return (
+        each.select(*keys, F.floor(at / part_items).alias("part"), F.struct(at.alias("at"), F.col("__item.__v").alias("v")).alias("e"))
         .groupBy(*keys, "part")
-        .agg(*counted)
+        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["v"]), separator).alias(name), F.count(F.lit(1)).alias("n_items"))
     )
-    return whole(rows.join(large, on, "left_anti")).unionByName(parts.select(*keys, "part", name, "n_items"))
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str], item: str, name: str = "n_items") -> DataFrame:
+    """How many items each group has: the one-row-per-group companion of flatten_text."""
+    return df.filter(F.col(item).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))

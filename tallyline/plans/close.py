@@ -228,10 +228,10 @@ def detailed_report(classes: dict[str, DataFrame]) -> DataFrame:
 
 
 def overview(facts: DataFrame, keys: Sequence[str] = ("category", "type"), fill: float | None = None) -> DataFrame:
-    """Months and quarters of one year as columns, in one aggregation."""
+    """Months and quarters as columns, one row per keys and year, in one aggregation."""
     cells = [F.sum(F.when(F.month("period") == i, F.col("value"))).alias(n) for i, n in enumerate(MONTH_ABBREVIATIONS, 1)]
     cells += [F.sum(F.when(F.quarter("period") == q, F.col("value"))).alias(f"Q{q}") for q in range(1, 5)]
-    wide = facts.groupBy(*keys).agg(*cells)
+    wide = facts.groupBy(*keys, F.year("period").alias("year")).agg(*cells)
     return wide if fill is None else wide.fillna(fill, subset=MONTH_ABBREVIATIONS + [f"Q{q}" for q in range(1, 5)])
 
 
@@ -241,18 +241,18 @@ def consolidated(frames: Sequence[DataFrame], fill: float = 0.0) -> DataFrame:
     The facts are stacked first, so all types share one aggregation.
     """
     cells = MONTH_ABBREVIATIONS + [f"Q{q}" for q in range(1, 5)]
-    return overview(union_all(*frames), fill=fill).select("category", "type", *cells)
+    return overview(union_all(*frames), fill=fill).select("category", "type", "year", *cells)
 
 
 def cross_table(wide: DataFrame, first: str = "actuals", others: Sequence[str] = ("op", "fcast")) -> DataFrame:
-    """Amounts of several types side by side for the categories of the first type.
+    """Amounts of several types side by side for the categories and years of the first type.
 
     The types are spread in one aggregation instead of one join per type.
     """
-    cells = [c for c in wide.columns if c not in ("category", "type")]
+    cells = [c for c in wide.columns if c not in ("category", "type", "year")]
     kinds = [first, *others]
     spread_cells = [F.sum(F.when(F.col("type") == k, F.col(c))).alias(f"{c}_{k}") for k in kinds for c in cells]
-    folded = wide.groupBy("category").agg(*spread_cells, F.max(F.col("type") == first).alias("__first"))
+    folded = wide.groupBy("category", "year").agg(*spread_cells, F.max(F.col("type") == first).alias("__first"))
     return folded.filter("__first").drop("__first")
 
 
@@ -260,7 +260,7 @@ def refeed(wide: DataFrame, kind: str | None = "actuals", drop: Sequence[str] =
     """Month columns of a wide report back to long rows."""
     kept = wide.filter(F.col("type") == kind).drop("type") if kind else wide
     kept = kept.drop(*drop)
-    return gather(kept, ["category"], "period", "value")
+    return gather(kept, ["category", *(["year"] if "year" in kept.columns else [])], "period", "value")
 
 
 def refeed_serial(wide: DataFrame, origin: str = SPREADSHEET_ORIGIN) -> DataFrame:

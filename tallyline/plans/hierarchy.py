@@ -59,26 +59,30 @@ def complement(all_members: DataFrame, part: DataFrame, key: str) -> DataFrame:
     return without(all_members, part, [key])
 
 
+GAP_KEYS = ["segment", "lc", "month"]
+
+
 def gap_report(
-    sales: DataFrame, listed: DataFrame, home_currency: str = "USD", unit: float = 1_000_000.0, part_items: int = 10000
+    sales: DataFrame, listed: DataFrame, home_currency: str = "USD", unit: float = 1_000_000.0
 ) -> DataFrame:
     """Amounts of entities absent from a list, by segment, currency and month, with totals.
 
-    `sales` has segment, lc, entity, month, value. The entity names of a group are joined into one
-    text; a group of more than `part_items` entities is spread over several rows (column part), of
-    which only part 0 carries the amount. The total is taken before the names are attached.
+    `sales` has segment, lc, entity, month, value. `n_entities` counts the entities of a group; `gap_names` has
+    their names.
     """
-    missing = without(sales, listed, ["entity"]).filter((F.col("value") != 0) & (F.col("lc") != home_currency))
-    keys = ["segment", "lc", "month"]
-    summed = missing.groupBy(*keys).agg(F.sum("value").alias("v")).withColumn("f", F.col("v") * unit)
-    totals = add_totals(summed, "segment").filter(F.col("f") != 0)
-    names = flatten_text(missing.select(*keys, "entity").distinct(), keys, "entity", "entities", part_items=part_items)
-    joined = totals.join(names, keys, "left")
-    first = F.coalesce(F.col("part"), F.lit(0)) == 0
-    return joined.select(
-        *keys, F.when(first, F.col("v")).alias("v"), F.when(first, F.col("f")).alias("f"),
-        F.coalesce("part", F.lit(0)).alias("part"), F.coalesce("entities", F.lit("-")).alias("entities"),
-    )
+    per_entity = _gaps(sales, listed, home_currency).groupBy(*GAP_KEYS, "entity").agg(F.sum("value").alias("v"))
+    summed = per_entity.groupBy(*GAP_KEYS).agg(F.sum("v").alias("v"), F.count("entity").alias("n_entities")).withColumn("f", F.col("v") * unit)
+    return add_totals(summed, "segment").filter(F.col("f") != 0).select(*GAP_KEYS, "v", "f", "n_entities")
+
+
+def gap_names(sales: DataFrame, listed: DataFrame, home_currency: str = "USD", part_items: int = 10000) -> DataFrame:
+    """Names of the entities absent from a list, joined per segment, currency and month into texts of at most `part_items`."""
+    missing = _gaps(sales, listed, home_currency).select(*GAP_KEYS, "entity").distinct()
+    return flatten_text(missing, GAP_KEYS, "entity", "entities", part_items=part_items)
+
+
+def _gaps(sales: DataFrame, listed: DataFrame, home_currency: str) -> DataFrame:
+    return without(sales, listed, ["entity"]).filter((F.col("value") != 0) & (F.col("lc") != home_currency))
 
 
 def region_tie_out(tracked: DataFrame, value: str, excluded: str, reported: float) -> DataFrame:

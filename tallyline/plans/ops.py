@@ -11,11 +11,10 @@ from pyspark.sql import functions as F
 from tallyline.functions.nulls import matches, one_of, to_number, zero
 from tallyline.functions.periods import LATE_ORIGIN, MONTH_ABBREVIATIONS, free_text_day, from_serial, month_number
 from tallyline.functions.text import slice_text
-from tallyline.operators.columns import row_total
 from tallyline.operators.reshape import spread
 from tallyline.operators.rules import signed
 from tallyline.operators.totals import add_totals
-from tallyline.operators.windows import fill_down, flatten_text
+from tallyline.operators.windows import fill_down, flatten_text, group_sizes
 
 # Columns of the order meter in report order.
 METER = (
@@ -70,9 +69,8 @@ def results_by_direction(trades: DataFrame, symbol: str, years: Sequence[int]) -
 
 
 def results_by_symbol(trades: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Results of every symbol by year with the overall result."""
-    wide = spread(trades, ["symbol"], "year", list(years), "net_usd", fill=0.0)
-    return wide.withColumn("overview", row_total([f"`{y}`" for y in years]))
+    """Results of every symbol by year with the overall result of all years, listed or not."""
+    return spread(trades, ["symbol"], "year", list(years), "net_usd", fill=0.0, total="overview")
 
 
 def cash_movements(moves: DataFrame, statuses: Sequence[str] = ("Completed", "Approved"), negative: str = "Deposit") -> DataFrame:
@@ -109,27 +107,42 @@ def section_key(text: str, width: int, mark: str):
     return F.when(matches(head, mark), F.trim(F.replace(head, F.lit(":"), F.lit(""))))
 
 
+def _sections(rows: DataFrame, doc: str, mark: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with the key of a heading, and the rows of every section under the key that opened it."""
+    keyed = rows.withColumn("__key", section_key("control", width, mark))
+    filled = fill_down(keyed, [doc], "position", "__key", "policy").filter(F.col("policy").isNotNull())
+    return keyed, filled
+
+
+def _control_lines(filled: DataFrame, doc: str) -> DataFrame:
+    """Every control text of a policy once, at its first position."""
+    return filled.filter(F.trim("control") != "").groupBy(doc, "policy", F.trim("control").alias("text")).agg(F.min("position").alias("position"))
+
+
 def policy_table(
-    rows: DataFrame, doc: str = "doc", mark: str = "CT", width: int = 9, default: str = "No deviations noted.", noise: str = "Related to", part_items: int = 10000
+    rows: DataFrame, doc: str = "doc", mark: str = "CT", width: int = 9, default: str = "No deviations noted.", noise: str = "Related to"
 ) -> DataFrame:
     """Controls and test results per criterion and policy.
 
     `rows` has doc, position, criteria, control, test, result. A control text that starts with a policy
-    key opens a section; the key is carried down the rows of the document. Control texts of a policy are
-    joined in document order, test results are attached by policy.
+    key opens a section; the key is carried down the rows of the document. `n_controls` counts the control
+    texts of a policy, which `control_texts` joins; test results are attached by policy.
     """
-    keyed = rows.withColumn("__key", section_key("control", width, mark))
+    keyed, filled = _sections(rows, doc, mark, width)
     criteria = F.trim(F.replace(F.trim("criteria"), F.lit(noise), F.lit("")))
     pairs = keyed.filter(F.col("__key").isNotNull()).select(doc, criteria.alias("criteria"), F.col("__key").alias("policy")).distinct()
-
-    filled = fill_down(keyed, [doc], "position", "__key", "policy").filter(F.col("policy").isNotNull())
-    texts = filled.filter(F.trim("control") != "").groupBy(doc, "policy", F.trim("control").alias("text")).agg(F.min("position").alias("position"))
-    controls = flatten_text(texts, [doc, "policy"], "text", "controls", separator=" ", part_items=part_items, order="position").drop("n_items")
+    controls = group_sizes(_control_lines(filled, doc), [doc, "policy"], "text", "n_controls")
     tested = filled.filter(F.col("test").isNotNull())
     tests = tested.select(doc, "policy", F.trim("test").alias("test"), F.trim(F.coalesce("result", F.lit(default))).alias("result")).distinct()
     return pairs.join(controls, [doc, "policy"], "inner").join(tests, [doc, "policy"], "left")
 
 
+def control_texts(rows: DataFrame, doc: str = "doc", mark: str = "CT", width: int = 9, part_items: int = 10000) -> DataFrame:
+    """Control texts of every policy joined in document order, in texts of at most `part_items` lines."""
+    _, filled = _sections(rows, doc, mark, width)
+    return flatten_text(_control_lines(filled, doc), [doc, "policy"], "text", "controls", separator=" ", part_items=part_items, order="position")
+
+
 def event_calendar(events: DataFrame, text: str) -> DataFrame:
     """Free-text dates parsed to month and day and put in calendar order.
 

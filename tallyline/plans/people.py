@@ -25,9 +25,9 @@ def heads(rosters: DataFrame, centers: dict[str, str]) -> DataFrame:
 
 
 def head_matrix(rows: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Heads per unit with one column per month label; a month without heads shows 0."""
+    """Heads per unit with one column per month label and all heads listed; a month without heads shows 0."""
     counted = rows.select("unit", month_label("date").alias("label"), F.lit(1).alias("n"))
-    return spread(counted, ["unit"], "label", list(months), "n", fill=0)
+    return spread(counted, ["unit"], "label", list(months), "n", fill=0, total="all_months")
 
 
 def new_heads(rows: DataFrame, month: str, key: str = "name") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import half_even, lacks, matches, to_number
 from tallyline.functions.text import pad_code, piece
-from tallyline.operators.joins import containing_any, join_named, keep_members, membership
+from tallyline.operators.joins import containing_any, join_named, join_null_safe, keep_members, membership
 from tallyline.operators.reshape import spread, union_all
 from tallyline.operators.totals import sum_numeric
 from tallyline.operators.windows import flatten_text
@@ -120,7 +120,7 @@ def reject_total(rejects: DataFrame, amounts: str = "amount") -> DataFrame:
 
 
 def functions_per_center(pairs: DataFrame, center: str, function: str, part_items: int = 10000) -> DataFrame:
-    """Distinct functions of a cost centre as one text, with their number."""
+    """Distinct functions of a cost centre joined into texts of at most `part_items` of them."""
     known = pairs.filter(F.col(function).isNotNull()).select(center, function).distinct()
     return flatten_text(known, [center], function, "functions", part_items=part_items)
 
@@ -154,5 +154,6 @@ def cross_check(requisitions: DataFrame, stores: dict[str, tuple[DataFrame, str]
 
 
 def pending(requisitions: DataFrame, checked: DataFrame) -> DataFrame:
-    """Requisitions whose number was found nowhere."""
-    return requisitions.join(checked.filter(F.col("found") == 0).select("number"), "number", "left_semi")
+    """Requisitions whose number was found nowhere; that holds for those without number too, if they were checked."""
+    absent = checked.filter(F.col("found") == 0).select("number").distinct()
+    return join_null_safe(requisitions, absent, ["number"], "left_semi")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,47 +16,30 @@ RUNTIME_OPTIONS = {
 }
 
 
-def build_session(app: str = "tallyline", cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """A local session for tests and the bench; on a cluster the launcher supplies one."""
+def build_session(app: str = "tallyline", cpus: str = "*", shuffle_partitions: int = 8, shared: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; on a cluster the launcher supplies one. shared: its checkpoint folder."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # Wide reports build thousands of column objects; recording a call site for each takes longer than planning.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    return tune(builder.getOrCreate())
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime options to a session someone else started."""
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in RUNTIME_OPTIONS.items():
-        spark.conf.set(key, value)
-    return spark
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in spark.checkpoint.dir.
-
-    Only where the setting is absent (a plain local session) a temporary folder takes its place.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(named)
-        return named
-    existing = spark.sparkContext.getCheckpointDir()
-    if existing:
-        return existing
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    """A folder all executors can reach: spark.checkpoint.dir, or the warehouse where that is not set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -65,7 +47,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tallyline-{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages read the shared files, so a lost executor loses nothing."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The table written once as Parquet and read back: later uses see the same rows, and a lost executor loses nothing."""
+    path = scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import piece
@@ -47,76 +46,96 @@ def _quoted(text: str) -> str:
 
 
 def newest_source(files: DataFrame, date_pattern: str, code_pattern: str) -> DataFrame:
-    """The file with the newest embedded date and, among those, the highest run code; one row."""
+    """The file with the newest embedded date and, among those, the highest run code; one row. Codes are whole numbers of any length."""
     stamped = files.withColumn("stamp", F.regexp_extract("file", date_pattern, 1).try_cast("int")).withColumn(
-        "code", F.regexp_extract("file", code_pattern, 1).try_cast("int")
+        "code", F.regexp_extract("file", code_pattern, 1).try_cast("decimal(38,0)")
     )
     known = stamped.filter(F.col("stamp").isNotNull() & F.col("code").isNotNull())
     return known.agg(F.max_by(F.struct("path", "file", "stamp", "code"), F.struct("stamp", "code")).alias("f")).select("f.*")
 
 
+def cells_of(line: Column, sep: str = ",") -> Column:
+    """The cells of a delimited line; a quoted cell may hold the separator, and a doubled quote is one quote. Lines end a cell."""
+    mark = _quoted(sep)
+    quoted = f'{mark}("(?:[^"]|"")*"|(?:(?!{mark}).)*)'
+    raw = F.regexp_extract_all(F.concat(F.lit(sep), line), F.lit(quoted), 1)
+    return F.transform(raw, lambda c: F.when(c.rlike('^".*"$'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def _lines(spark: SparkSession, paths) -> DataFrame:
+    """file, start of the block, place of the line in the scan, value. The same files give the same places in every scan."""
+    return spark.read.option("recursiveFileLookup", "true").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), "value")
+
+
 def header_lines(spark: SparkSession, paths) -> DataFrame:
-    """First line of every text file: file, header. Only rows of a file's first block compete."""
-    lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
-    )
-    first = lines.filter(F.col("start") == 0).withColumn("at", F.monotonically_increasing_id())
-    return first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    """First line of every text file and its place in the scan: file, header, at."""
+    first = _lines(spark, paths).filter(F.col("start") == 0)
+    return first.groupBy("file").agg(F.min_by("value", "at").alias("header"), F.min("at").alias("at"))
+
+
+def _typed(cells: Column, names: Sequence[str]) -> list[Column]:
+    """Named text columns out of an array of cells; an empty or absent cell is missing."""
+    return [F.nullif(F.get(cells, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
 
 
 def read_many(spark: SparkSession, paths, sep: str = ",") -> DataFrame:
-    """Files with differing columns as one table that keeps the file name.
+    """Files with differing columns as one table that keeps the file name; a column a file lacks is NULL.
 
-    Files are grouped by header on the driver (file names only), read with one scan per distinct
-    layout and united by name; a column a file lacks is NULL. All cells are text.
+    Only the distinct layouts travel to the driver, whatever the number of files, and all layouts are read in one
+    scan beside the one that finds the headers. All cells are text; a cell doesn't span lines.
     """
-    layouts: dict[str, list[str]] = {}
-    for row in header_lines(spark, paths).collect():
-        layouts.setdefault(row["header"], []).append(row["file"])
-    frames = []
-    for header, files in sorted(layouts.items()):
-        names = clean_headers(header.split(sep))
-        schema = ", ".join(f"`{n}` string" for n in names)
-        rows = spark.read.csv(files, sep=sep, header=True, schema=schema, nullValue="")
-        frames.append(rows.select(*names, F.col("_metadata.file_name").alias("file_name")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    headers = header_lines(spark, paths).select(F.col("file").alias("__file"), "header", F.col("at").alias("__first"))
+    layouts = {r["header"]: clean_headers(r["cells"]) for r in headers.select("header").distinct().select("header", cells_of(F.col("header"), sep).alias("cells")).collect()}
+    names = list(dict.fromkeys(n for header in sorted(layouts) for n in layouts[header]))
+    if not names:
+        raise ValueError("no file has a header")
+    of_layout = F.create_map(*[c for header, own in layouts.items() for c in (F.lit(header), F.array(*[F.lit(n) for n in own]))])
+    lines = _lines(spark, paths).join(headers, F.col("file") == F.col("__file")).filter((F.col("at") != F.col("__first")) & (F.col("value") != ""))
+    parsed = lines.select("file", F.map_from_arrays(of_layout[F.col("header")], F.transform(
+        F.sequence(F.lit(0), F.size(of_layout[F.col("header")]) - 1), lambda i: F.get(cells_of(F.col("value"), sep), i))).alias("row"))
+    return parsed.select(*[F.nullif(F.col("row")[n], F.lit("")).alias(n) for n in names], F.regexp_extract("file", "[^/]+$", 0).alias("file_name"))
 
 
 def promote_header(spark: SparkSession, path: str, row: int = 1, sep: str = ",", header_path: str | None = None) -> DataFrame:
-    """Delimited file whose header stands in a given line (from 1); lines up to it are dropped.
+    """Delimited file whose header stands in a given line (from 1); the lines up to it are dropped, by their place.
 
-    A table split over several files names the file with the top lines as header_path. Only the
-    first lines travel to the driver. A data line identical to a dropped one goes too.
+    A table split over several files names the file with the top lines as header_path, and no line of it is dropped
+    but those. Only the first lines travel to the driver. A cell doesn't span lines.
     """
-    top = [r["value"] for r in spark.read.text(header_path or path).limit(row).collect()]
-    names = clean_headers(top[row - 1].split(sep))
-    raw = spark.read.csv(path, sep=sep, header=False, schema=", ".join(f"`c{i}` string" for i in range(len(names))), nullValue="")
-    whole = F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in raw.columns])
-    padded = [sep.join((line.split(sep) + [""] * len(names))[: len(names)]) for line in top]
-    return raw.filter(~whole.isin(padded)).toDF(*names)
+    top = _lines(spark, header_path or path).filter(F.col("start") == 0).orderBy("at").limit(row).withColumn("cells", cells_of(F.col("value"), sep)).collect()
+    top.sort(key=lambda r: r["at"])
+    names = clean_headers(top[row - 1]["cells"])
+    body = _lines(spark, path)
+    if header_path is None:
+        body = body.filter(~F.col("at").isin([r["at"] for r in top]))
+    return body.filter(F.col("value") != "").select(*_typed(cells_of(F.col("value"), sep), names))
 
 
 def schema_audit(spark: SparkSession, paths, required: str, sep: str = ",") -> DataFrame:
-    """Columns of every file as text, and whether a required column is missing."""
-    headers = header_lines(spark, paths)
-    columns = F.transform(F.split("header", sep), lambda c: F.lower(F.trim(c)))
+    """Columns of every file as text, whether a required column is missing, and the number of data lines."""
+    lines = _lines(spark, paths)
+    # One pass: the line at the smallest place of a file's first block is its header.
+    first = F.when(F.col("start") == 0, F.col("at"))
+    headers = lines.groupBy("file").agg(F.min_by("value", first).alias("header"), (F.count(F.lit(1)) - 1).alias("n_lines"))
+    columns = F.transform(cells_of(F.col("header"), sep), lambda c: F.lower(F.trim(c)))
     return headers.select(
-        F.regexp_extract("file", "[^/]+$", 0).alias("file"),
-        F.array_join(columns, ",").alias("columns"),
-        F.size(columns).alias("n_columns"),
-        (~F.array_contains(columns, required)).alias("lacks_required"),
+        F.regexp_extract("file", "[^/]+$", 0).alias("file"), F.array_join(columns, ",").alias("columns"), F.size(columns).alias("n_columns"),
+        (~F.array_contains(columns, required)).alias("lacks_required"), "n_lines",
     )
 
 
 def read_history(spark: SparkSession, path: str, date: str) -> DataFrame:
     """Rows of a run log that no later run replaced.
 
-    A run replaces everything from its moment on. The moment from which a run counts as replaced is
-    the smallest moment of the runs after it: a window over one row per run, taken from partition values.
+    A run replaces everything from its moment on. The moment from which a run counts as replaced is the smallest
+    moment of the runs after it: a window over one row per run. Of a run only its last write counts. A range on
+    `__day`, which holds the same value as the date column, prunes whole folders.
     """
-    log = spark.read.parquet(path)
-    runs = log.select("run", "moment").distinct()
+    root = path.rstrip("/")
+    runs = spark.read.parquet(f"{root}/runs").groupBy("run").agg(F.max_by(F.struct("moment", "write"), "write").alias("w")).select("run", "w.*")
     later = Window.orderBy("run").rowsBetween(1, Window.unboundedFollowing)
-    limits = runs.select("run", F.min("moment").over(later).alias("__until"))
+    limits = runs.select(F.col("write").alias("__write"), F.min("moment").over(later).alias("__until"))
+    log = spark.read.parquet(f"{root}/data")
     visible = F.col("__until").isNull() | (F.col(date) < F.col("__until"))
-    return log.join(limits, "run", "left").filter(visible).drop("__until", "moment")
+    return log.join(limits, F.col("write") == F.col("__write")).filter(visible).drop("__until", "__write", "write", "__day")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -25,14 +27,17 @@ def write_report(tables: dict[str, DataFrame], root: str) -> list[str]:
     return paths
 
 
-def append_run(rows: DataFrame, path: str, run: str, moment: date) -> None:
-    """Add one refresh to a run log.
+def append_run(rows: DataFrame, path: str, run: str, moment: date, day: str) -> None:
+    """Add one refresh to a run log: rows under `data`, by day and write, and a line about the run under `runs`.
 
-    The rows replace all earlier rows from `moment` on when the log is read; nothing written before
-    is rewritten. A repeated run replaces only its own partition.
+    The rows replace all earlier rows from `moment` on when the log is read, also if there are none; nothing written
+    before is rewritten. Of several writes of a run the last one counts, with its moment.
     """
-    stamped = rows.withColumn("run", F.lit(run)).withColumn("moment", F.lit(moment))
-    stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run", "moment").parquet(path)
+    write = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    stamped = rows.withColumns({"run": F.lit(run), "write": F.lit(write), "__day": F.col(day)})
+    stamped.write.mode("append").partitionBy("__day", "write").parquet(f"{path.rstrip('/')}/data")
+    line = rows.sparkSession.range(1).select(F.lit(run).alias("run"), F.lit(moment).alias("moment"), F.lit(write).alias("write"))
+    line.write.mode("append").parquet(f"{path.rstrip('/')}/runs")
 
 
 def stamp_run(rows: DataFrame, exec_day: date, at: datetime) -> DataFrame:

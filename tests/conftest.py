@@ -6,8 +6,8 @@ from tallyline.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tallyline-tests", "8", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    session = build_session("tallyline-tests", "8", shuffle_partitions=4, shared=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -159,5 +159,8 @@ def test_policy_table_with_one_long_document(spark):
     out = ops.policy_table(df).collect()
     assert len(out) == 60 + 2
     row = next(r for r in out if r["doc"] == "hot" and r["policy"] == "CT00003")
-    assert row["controls"] == "CT00003: text 15 more 16 more 17 more 18 more 19"
+    assert row["n_controls"] == 5
+    for size in (1, 2, 1000):
+        parts = sorted((r for r in ops.control_texts(df, part_items=size).collect() if (r["doc"], r["policy"]) == ("hot", "CT00003")), key=lambda r: r["part"])
+        assert " ".join(r["controls"] for r in parts) == "CT00003: text 15 more 16 more 17 more 18 more 19"
     assert (row["criteria"], row["test"], row["result"]) == ("C0", "test 17", "No deviations noted.")

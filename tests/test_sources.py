@@ -55,9 +55,9 @@ def test_later_runs_replace_from_their_moment_on(spark, root):
     def feed(values):
         return spark.createDataFrame([(date(2022, m, 1), v) for m, v in values], "ref_date date, v int")
 
-    writers.append_run(feed([(1, 10), (2, 20), (3, 30)]), root, "r1", date(2022, 1, 1))
-    writers.append_run(feed([(2, 21)]), root, "r2", date(2022, 2, 1))
-    writers.append_run(feed([(2, 22)]), root, "r2", date(2022, 2, 1))
+    writers.append_run(feed([(1, 10), (2, 20), (3, 30)]), root, "r1", date(2022, 1, 1), "ref_date")
+    writers.append_run(feed([(2, 21)]), root, "r2", date(2022, 2, 1), "ref_date")
+    writers.append_run(feed([(2, 22)]), root, "r2", date(2022, 2, 1), "ref_date")
     out = readers.read_history(spark, root, "ref_date")
     assert sorted((r["ref_date"].month, r["v"], r["run"]) for r in out.collect()) == [(1, 10, "r1"), (2, 22, "r2")]
 
@@ -67,3 +67,39 @@ def test_audit_flags_files_without_the_column(spark, root):
     writers.write_delimited(spark.createDataFrame([(1, 2)], "Q1 int, Q2 int"), f"{root}/bad")
     out = {r["columns"]: r["lacks_required"] for r in readers.schema_audit(spark, root, "team").collect()}
     assert out == {"team,q1": False, "q1,q2": True}
+
+
+def test_the_last_write_of_a_run_counts_with_its_moment(spark, root):
+    def feed(values):
+        return spark.createDataFrame([(date(2022, m, 1), v) for m, v in values], "ref_date date, v int")
+
+    writers.append_run(feed([(1, 10), (2, 20), (3, 30)]), root, "r1", date(2022, 1, 1), "ref_date")
+    writers.append_run(feed([(2, 21), (3, 31)]), root, "r2", date(2022, 2, 1), "ref_date")
+    writers.append_run(feed([(3, 32)]), root, "r2", date(2022, 3, 1), "ref_date")
+    shown = lambda: sorted((r["ref_date"].month, r["v"]) for r in readers.read_history(spark, root, "ref_date").collect())
+    assert shown() == [(1, 10), (2, 20), (3, 32)]
+    writers.append_run(feed([]), root, "r3", date(2022, 2, 1), "ref_date")
+    assert shown() == [(1, 10)]
+
+
+def test_only_the_top_lines_go_and_quotes_hold_the_separator(spark, root):
+    lines = ["Report,,", '"Key, long",Name,"a ""b"""', "a,x,1", "Report,,", '"p,q",,3']
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(root)
+    out = readers.promote_header(spark, root, row=2)
+    assert out.columns == ["key_long", "name", "a_b"]
+    assert sorted(tuple(r) for r in out.collect()) == [("Report", None, None), ("a", "x", "1"), ("p,q", None, "3")]
+
+
+def test_quoted_headers_of_many_files(spark, root):
+    for name, lines in {"one": ['"Key, long",Name', '1,"x, y"'], "two": ["Name,Other", "z,2"]}.items():
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/{name}")
+    out = readers.read_many(spark, root).drop("file_name")
+    assert {tuple(r[c] for c in ("key_long", "name", "other")) for r in out.collect()} == {("1", "x, y", None), (None, "z", "2")}
+    audit = {r["columns"]: (r["n_columns"], r["n_lines"]) for r in readers.schema_audit(spark, root, "name").collect()}
+    assert audit == {"key, long,name": (2, 1), "name,other": (2, 1)}
+
+
+def test_long_run_codes(spark):
+    names = ["P_20220301_9999999999.csv", "P_20220301_2147483648.csv", "P_20220301_000010.csv"]
+    files = spark.createDataFrame([(f"in/{n}", n) for n in names], "path string, file string")
+    assert readers.newest_source(files, r"_(\d{8})_", r"_(\d+)\.").first()["file"] == names[0]
