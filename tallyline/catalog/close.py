@@ -14,6 +14,7 @@ from tallyline.plans import close
 
 AS_OF = date(1998, 3, 1)
 DAY = "DATE '1998-03-01'"
+BEFORE = "1998-04-01"  # the first day after the month of AS_OF
 
 CLOSE_RULES = [
     ("ECONOMY", "Supplies"), ("PROMO", "Promotion - Agency"), ("GIZMO", "Tools"), ("ANVIL", "Tools"), ("WIDGET", "Services - Partner"),
@@ -43,16 +44,17 @@ AMORT_SQL = f"""SELECT 'Soft.Amort/' || {PROJECT_CASE} AS category, date_trunc('
     FROM amortization GROUP BY 1, 2"""
 
 
-def close_lines(t: Tables, clearing: bool = True, symmetric: bool = False):
+def close_lines(t: Tables, clearing: bool = True, symmetric: bool = False, as_of: date | None = None):
     return close.close_lines(
         ledger(t), CLOSE_RULES, excluded=EXCLUDED, clearing=CLEARING if clearing else None,
-        watched="SMALL RED RING", above=50000, below=-50000 if symmetric else None,
+        watched="SMALL RED RING", above=50000, below=-50000 if symmetric else None, as_of=as_of,
     )
 
 
 def close_facts(t: Tables):
-    lines = close_lines(t)
-    split = close.amortization_split(amortization(t), PROJECT_RULES, AS_OF)
+    past = t.shipped(None, BEFORE)
+    lines = close_lines(past, as_of=AS_OF)
+    split = close.amortization_split(amortization(past), PROJECT_RULES, AS_OF)
     return close.ledger_actuals(lines, AS_OF, split, replaced="Softw", capitalized="Capitalized")
 
 
@@ -74,12 +76,12 @@ def _(t: Tables):
 @query("V2_symmetric_override_actuals", given("ledger", **lines_sql(False, True)) + f"""
     SELECT category, period, 'Q' || quarter(period) AS quarter, 'actuals' AS type, {m('sum(gross)', 'value')} FROM lines WHERE period <= {DAY} GROUP BY 1, 2""")
 def _(t: Tables):
-    return rounded(close.ledger_actuals(close_lines(t, clearing=False, symmetric=True), AS_OF), ["value"])
+    return rounded(close.ledger_actuals(close_lines(t.shipped(None, BEFORE), clearing=False, symmetric=True, as_of=AS_OF), AS_OF), ["value"])
 
 
 @query("V3_amortization_split", given("amortization", amort=AMORT_SQL) + f"SELECT category, period, {m('value', 'value')} FROM amort WHERE period <= {DAY}")
 def _(t: Tables):
-    return rounded(close.amortization_split(amortization(t), PROJECT_RULES, AS_OF), ["value"])
+    return rounded(close.amortization_split(amortization(t.shipped(None, BEFORE)), PROJECT_RULES, AS_OF), ["value"])
 
 
 def planned_sql(flag: str, kind: str, category: str = "category") -> str:
@@ -94,12 +96,12 @@ FORECAST_SQL = planned_sql("R", "fcast", MERGED_CASE)
 
 @query("V4_plan_facts", given("planned", p=PLAN_SQL) + f"SELECT category, period, quarter, type, {m('value', 'value')} FROM p")
 def _(t: Tables):
-    return rounded(close.planned_facts(planned(t, "N"), "op", AS_OF), ["value"])
+    return rounded(close.planned_facts(planned(t.shipped(None, BEFORE), "N"), "op", AS_OF), ["value"])
 
 
 @query("V4_forecast_facts", given("planned", f=FORECAST_SQL) + f"SELECT category, period, quarter, type, {m('value', 'value')} FROM f")
 def _(t: Tables):
-    return rounded(close.planned_facts(planned(t, "R"), "fcast", AS_OF, merged=("PROMO", "Service Upgrade")), ["value"])
+    return rounded(close.planned_facts(planned(t.shipped(None, BEFORE), "R"), "fcast", AS_OF, merged=("PROMO", "Service Upgrade")), ["value"])
 
 
 WINDOW_SQL = {
@@ -163,8 +165,8 @@ def _(t: Tables):
        allfacts=f"SELECT category, period, type, value FROM ({CLOSE_SQL}) UNION ALL SELECT category, period, type, value FROM ({PLAN_SQL}) UNION ALL SELECT category, period, type, value FROM ({FORECAST_SQL})",
        **overview_sql("allfacts", WINDOW_SQL["QTD"], WINDOW_SQL["YTD"], WINDOW_SQL["MTD"])) + "SELECT * FROM flat")
 def _(t: Tables):
-    plan = close.planned_facts(planned(t, "N"), "op", AS_OF)
-    forecast = close.planned_facts(planned(t, "R"), "fcast", AS_OF, merged=("PROMO", "Service Upgrade"))
+    plan = close.planned_facts(planned(t.shipped(None, BEFORE), "N"), "op", AS_OF)
+    forecast = close.planned_facts(planned(t.shipped(None, BEFORE), "R"), "fcast", AS_OF, merged=("PROMO", "Service Upgrade"))
     return rounded(close.statement_overview(union_all(close_facts(t), plan, forecast), AS_OF), ALL_WINDOWS)
 
 
@@ -193,7 +195,7 @@ def _(t: Tables):
       CASE WHEN contains(split_part(category, '/', 1), '-') THEN trim(split_part(split_part(category, '/', 1), '-', 2)) END, trim(split_part(split_part(category, '/', 1), '-', 1))) AS detail,
       period, quarter, type, {m('value', 'value')}, class FROM stacked""")
 def _(t: Tables):
-    plain = close.ledger_actuals(close_lines(t), AS_OF)
+    plain = close.ledger_actuals(close_lines(t.shipped(None, BEFORE), as_of=AS_OF), AS_OF)
     return rounded(close.detailed_report({"first": close_facts(t), "second": plain}), ["value"])
 
 
@@ -237,6 +239,6 @@ def _(t: Tables):
 @query("V13_detailed_table", given("ledger", "amortization", "planned", **lines_sql(True, False), amort=AMORT_SQL) + f"""
     SELECT category, period, quarter, type, {m('coalesce(value, 0)', 'value')} FROM ({CLOSE_SQL} UNION ALL {PLAN_SQL} UNION ALL {FORECAST_SQL})""")
 def _(t: Tables):
-    plan = close.planned_facts(planned(t, "N"), "op", AS_OF)
-    forecast = close.planned_facts(planned(t, "R"), "fcast", AS_OF, merged=("PROMO", "Service Upgrade"))
+    plan = close.planned_facts(planned(t.shipped(None, BEFORE), "N"), "op", AS_OF)
+    forecast = close.planned_facts(planned(t.shipped(None, BEFORE), "R"), "fcast", AS_OF, merged=("PROMO", "Service Upgrade"))
     return rounded(union_all(close_facts(t), plan, forecast).fillna(0.0, subset=["value"]), ["value"])

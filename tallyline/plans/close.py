@@ -49,8 +49,9 @@ def close_lines(
     above: float = 0.0,
     below: float | None = None,
     default: str = "Others",
+    as_of: date | None = None,
 ) -> DataFrame:
-    """Postings per cost element, name and month with clearing amounts and category.
+    """Postings per cost element, name and month with clearing amounts and category, up to the month of `as_of` if given.
 
     `ledger` has cost_element, cost_element_name, offset_account, year, period (month), value.
     A watched name is replaced by its offset account beyond the thresholds. Clearing amounts are
@@ -59,6 +60,9 @@ def close_lines(
     The clearing amounts need no join: every posting is emitted under its final name and, if it is
     a clearing posting, under its posted name, and both meet in one aggregation.
     """
+    if as_of is not None:
+        # On the columns as posted, so that the range reaches the scan of the ledger.
+        ledger = ledger.filter((F.col("year") < as_of.year) | ((F.col("year") == as_of.year) & (F.col("period") <= as_of.month)))
     name = F.col("cost_element_name")
     final = name if watched is None else override_name(name, "value", "offset_account", watched, above, below)
     counts = none_of("cost_element", excluded)
@@ -101,13 +105,19 @@ def close_lines(
     )
 
 
+def up_to(lines: DataFrame, as_of: date, origin: str) -> DataFrame:
+    """Lines whose serial date lies in the month of `as_of` or before; the bound is a literal on the serial as stored."""
+    following = date(as_of.year + as_of.month // 12, as_of.month % 12 + 1, 1)
+    return lines.filter(F.col("period") < F.lit((following - date.fromisoformat(origin)).days))
+
+
 def amortization_split(
     lines: DataFrame, rules: Rules, as_of: date, prefix: str = "Soft.Amort", default: str = "Other projects", origin: str = SPREADSHEET_ORIGIN
 ) -> DataFrame:
     """Amortization per project and month: description to project, amounts made positive."""
     project = F.concat_ws("/", F.lit(prefix), categorise("description", rules, default))
-    split = lines.select(project.alias("category"), month_start(from_serial("period", origin)).alias("period"), F.abs("value").alias("value"))
-    return split.filter(F.col("period") <= F.lit(as_of)).groupBy("category", "period").agg(strict_sum("value").alias("value"))
+    split = up_to(lines, as_of, origin).select(project.alias("category"), month_start(from_serial("period", origin)).alias("period"), F.abs("value").alias("value"))
+    return split.groupBy("category", "period").agg(strict_sum("value").alias("value"))
 
 
 def ledger_actuals(
@@ -143,8 +153,8 @@ def planned_facts(lines: DataFrame, kind: str, as_of: date, merged: tuple[str, s
     category = F.col("category")
     if merged:
         category = if_else(category.contains(merged[0]), F.lit(merged[1]), category)
-    months = lines.select(category.alias("category"), month_start(from_serial("period", origin)).alias("period"), "value")
-    summed = months.filter(F.col("period") <= F.lit(as_of)).groupBy("category", "period").agg(strict_sum("value").alias("value"))
+    months = up_to(lines, as_of, origin).select(category.alias("category"), month_start(from_serial("period", origin)).alias("period"), "value")
+    summed = months.groupBy("category", "period").agg(strict_sum("value").alias("value"))
     return as_facts(summed, kind)
 
 

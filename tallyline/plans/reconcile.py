@@ -43,8 +43,8 @@ def compress(df: DataFrame, keys: Sequence[str], identifiers: Sequence[str] = ()
 def sales_vs_billing(billing: DataFrame, sales: DataFrame, excluded: str | None = None) -> DataFrame:
     """Shipment and cost per code and brand from both sources, with deltas and a match flag.
 
-    Both tables have code, brand, shipped, cost; only codes found in both are compared. Both sources
-    are stacked and summed in one aggregation; the codes are compared on distinct values.
+    Both tables have code, brand, shipped, cost; only codes found in both are compared, and a code missing in both
+    is one of them. Both sources are stacked and summed in one aggregation, from which the common codes are taken too.
     """
     def side(df: DataFrame, name: str) -> DataFrame:
         return df.select("code", "brand", "shipped", "cost", F.lit(name).alias("source"))
@@ -53,8 +53,10 @@ def sales_vs_billing(billing: DataFrame, sales: DataFrame, excluded: str | None
     if excluded:
         both = both.filter(lacks("code", excluded))
     found = F.col("source") == "bills"
-    common = both.groupBy("code").agg(F.max(found).alias("billed"), F.max(~found).alias("sold")).filter("billed AND sold").select("code")
-    wide = spread(both, ["code", "brand"], "source", ["bills", "sales"], ["shipped", "cost"]).join(common, "code", "left_semi")
+    cells = [F.sum(F.when(F.col("source") == s, F.col(c))).alias(f"{c}_{s}") for c in ("shipped", "cost") for s in ("bills", "sales")]
+    summed = both.groupBy("code", "brand").agg(*cells, F.max(found).alias("__billed"), F.max(~found).alias("__sold"))
+    common = summed.groupBy("code").agg(F.max("__billed").alias("billed"), F.max("__sold").alias("sold")).filter("billed AND sold").select("code")
+    wide = join_null_safe(summed.drop("__billed", "__sold"), common, ["code"], "left_semi")
     deltas = wide.withColumn("delta_shipped", F.col("shipped_bills") - F.col("shipped_sales")).withColumn("delta_cost", F.col("cost_bills") - F.col("cost_sales"))
     filled = deltas.fillna(0.0)
     total = F.col("delta_cost") + F.col("delta_shipped")

@@ -34,7 +34,7 @@ def test_no_cross_join_and_no_global_window(no_broadcast, folder, name):
     assert "Python" not in plan and "InPandas" not in plan
 
 
-@pytest.mark.parametrize("name", ["V5_month_to_date_variance", "V6_quarter_to_date_variance", "V8_statement_overview", "L5_newest_month_statement", "R4_year_to_date_kpis", "E6_cost_by_category"])
+@pytest.mark.parametrize("name", ["V5_month_to_date_variance", "V6_quarter_to_date_variance", "V8_statement_overview", "V1_ledger_close_actuals", "V2_symmetric_override_actuals", "V3_amortization_split", "V4_plan_facts", "V4_forecast_facts", "V8_overview_of_the_close", "V13_detailed_table", "L5_newest_month_statement", "R4_year_to_date_kpis", "E6_cost_by_category"])
 def test_date_range_reaches_the_scan(spark, folder, name):
     scans = [line for line in plan_of(spark, folder, name).splitlines() if "FileScan parquet" in line and "lineitem" in line]
     assert scans and all("l_shipdate" in line.split("PushedFilters:")[1].split("ReadSchema")[0] for line in scans)
@@ -49,3 +49,8 @@ def test_scan_reads_only_the_columns_it_needs(spark, folder):
 def test_statement_needs_one_aggregation(spark, folder):
     plan = plan_of(spark, folder, "V8_statement_overview")
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_fewer_shuffles(no_broadcast, folder):
+    assert plan_of(no_broadcast, folder, "F14_unnest").count("Exchange hashpartitioning") == 1
+    assert plan_of(no_broadcast, folder, "W3_latest_per_group").count("FileScan parquet") == 1
