@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, secret_scan, tokens, toxicity, wrappers
+from tallyline.llm.oracles import LINE_DEDUP, MIXING
 from tallyline.llm.frames import columns_of, fold, table
 from tallyline.session import scratch_folder
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_mixing": MIXING, "op10_line_dedup": LINE_DEDUP}
 
 
 def registered(plan):
