@@ -54,7 +54,7 @@ def close_lines(t: Tables, clearing: bool = True, symmetric: bool = False, as_of
 def close_facts(t: Tables):
     past = t.shipped(None, BEFORE)
     lines = close_lines(past, as_of=AS_OF)
-    split = close.amortization_split(amortization(past), PROJECT_RULES, AS_OF)
+    split = close.amortization_split(amortization(past), PROJECT_RULES, AS_OF, "Soft.Amort")
     return close.ledger_actuals(lines, AS_OF, split, replaced="Softw", capitalized="Capitalized")
 
 
@@ -81,7 +81,7 @@ def _(t: Tables):
 
 @query("V3_amortization_split", given("amortization", amort=AMORT_SQL) + f"SELECT category, period, {m('value', 'value')} FROM amort WHERE period <= {DAY}")
 def _(t: Tables):
-    return rounded(close.amortization_split(amortization(t.shipped(None, BEFORE)), PROJECT_RULES, AS_OF), ["value"])
+    return rounded(close.amortization_split(amortization(t.shipped(None, BEFORE)), PROJECT_RULES, AS_OF, "Soft.Amort"), ["value"])
 
 
 def planned_sql(flag: str, kind: str, category: str = "category") -> str:

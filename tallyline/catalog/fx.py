@@ -42,14 +42,11 @@ def _(t: Tables):
     return fx.monthly_rates(business_rates(t)).withColumn("avg", F.round("avg", 12))
 
 
-MATRIX_DAYS = [f"1998-03-{d:02d}" for d in range(2, 32) if d not in (7, 8, 14, 15, 21, 22, 28, 29)]
-
-
-@query("X4_rate_matrix", given("rates", d=DAILY) + "SELECT from_ccy, " + ", ".join(f"""(round(sum(CASE WHEN date = DATE '{d}' THEN inverse_spot_rate END), 12) + 0e0) AS "{d}" """ for d in MATRIX_DAYS) + """
-    FROM d WHERE date BETWEEN DATE '1998-03-02' AND DATE '1998-03-31' GROUP BY 1""")
+@query("X4_rate_matrix", given("rates", d=DAILY, p="SELECT from_ccy, year, strftime(date, '%m-%d') AS day_label, inverse_spot_rate FROM d") + """
+    PIVOT p ON day_label USING round(sum(inverse_spot_rate), 12) + 0e0 GROUP BY from_ccy, year""")
 def _(t: Tables):
-    matrix = fx.rate_matrix(business_rates(t.ordered("1998-03-01", "1998-04-01")), MATRIX_DAYS)
-    return matrix.withColumns({d: F.round(F.col(f"`{d}`"), 12) for d in MATRIX_DAYS})
+    matrix = fx.rate_matrix(business_rates(t))
+    return matrix.select("from_ccy", "year", *[F.round(F.col(f"`{c}`"), 12).alias(c) for c in matrix.columns[2:]])
 
 
 KEYS = ["entity", "business", "region", "market", "lc"]

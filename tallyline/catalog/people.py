@@ -28,17 +28,14 @@ def heads(t: Tables):
     return people.heads(rosters(t), CENTERS)
 
 
-YEAR_MONTHS = [f"{n} 1998" for n in ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")]
-
-
 @query("E1_heads", given(**HEADS) + "SELECT name, ee_number, cost_center, unit, date, quarter FROM hd")
 def _(t: Tables):
     return heads(t)
 
 
-@query("E1_head_matrix", given(**HEADS) + "SELECT unit, " + ", ".join(f"""sum((strftime(date, '%b %Y') = '{x}')::INT)::BIGINT AS "{x}" """ for x in YEAR_MONTHS) + ", count(*) AS all_months FROM hd GROUP BY 1")
+@query("E1_head_matrix", given(**HEADS, p="SELECT unit, strftime(date, '%b %Y') AS label FROM hd") + "PIVOT p ON label USING count(*) GROUP BY unit")
 def _(t: Tables):
-    return people.head_matrix(heads(t), YEAR_MONTHS)
+    return people.head_matrix(heads(t))
 
 
 @query("E2_new_heads", given(**HEADS) + "SELECT name, ee_number, cost_center, unit, date, quarter FROM hd WHERE date = DATE '2000-08-01' AND name NOT IN (SELECT name FROM hd WHERE date <> DATE '2000-08-01')")

@@ -9,6 +9,7 @@ from tallyline.catalog.views import given, growth_wide, ledger
 from tallyline.functions import nulls
 from tallyline.functions.periods import MONTH_NAMES
 from tallyline.operators import columns, rules
+from tallyline.plans.growth import LEVEL_1, LEVEL_2
 
 
 @query("P1_clean_headers", """
@@ -149,8 +150,6 @@ def _(t: Tables):
     return ledger(t).select(name.alias("name"), "value").groupBy("name").agg(F.count(F.lit(1)).alias("n"), cents(F.sum("value"), "value"))
 
 
-ACCOUNT_LEVELS = [("Non-C&B", "Opex"), ("C&B", "Opex"), ("Sales", "Sales"), ("SGM", "SGM"), ("Capex", "Capex")]
-TOP_LEVELS = [("Opex", "Investment"), ("Capex", "Investment"), ("Sales", "Sales"), ("SGM", "SGM")]
 FLAG_ACCOUNTS = {"A": "C&B", "N": "HC", "R": "Capex"}
 
 
@@ -172,7 +171,7 @@ def _(t: Tables):
 def _(t: Tables):
     names = {1: "Non-C&B", 2: "C&B", 3: "Net Sales", 4: "SGM", 5: "Capex"}
     lines = t.lineitem.select(rules.relabel("l_linenumber", names, default="Other").alias("account"), F.col("l_extendedprice").alias("v"))
-    leveled = lines.withColumn("account_l2", rules.categorise("account", ACCOUNT_LEVELS)).withColumn("account_l1", rules.categorise("account_l2", TOP_LEVELS))
+    leveled = lines.withColumn("account_l2", rules.categorise("account", LEVEL_2)).withColumn("account_l1", rules.categorise("account_l2", LEVEL_1))
     return leveled.groupBy("account", "account_l2", "account_l1").agg(cents(F.sum("v"), "value"))
 
 
@@ -215,9 +214,9 @@ def _(t: Tables):
 
 
 @query("P21_constant_rate", f"""
-    SELECT c_custkey, {m('c_acctbal * 3950e0', 'local')}, {m('3950e0 * c_acctbal - (13300000e0 - 10000800e0)', 'open_part')} FROM customer""")
+    SELECT c_custkey, {m('c_acctbal * 4120e0', 'local')}, {m('4120e0 * c_acctbal - (9000000e0 - 6400500e0)', 'open_part')} FROM customer""")
 def _(t: Tables):
-    return t.customer.select("c_custkey", cents(rules.convert("c_acctbal", 3950), "local"), cents(rules.remainder_to_target(F.lit(3950.0), "c_acctbal", 13300000, 10000800), "open_part"))
+    return t.customer.select("c_custkey", cents(rules.convert("c_acctbal", 4120), "local"), cents(rules.remainder_to_target(F.lit(4120.0), "c_acctbal", 9000000, 6400500), "open_part"))
 
 
 @query("P22_sign_normalisation", f"""

@@ -19,11 +19,6 @@ def piece(text: ColumnOrName, separator: str, position: int) -> Column:
     return F.get(F.split(as_col(text), separator), F.lit(position))
 
 
-def rest_after(text: ColumnOrName, separator: str) -> Column:
-    """The second piece only; surplus pieces are dropped as in a two-column split."""
-    return piece(text, separator, 1)
-
-
 def extract_or_null(text: ColumnOrName, pattern: str, group: int = 0) -> Column:
     """First regex match, NULL instead of '' where nothing matches."""
     return F.when(as_col(text).rlike(pattern), F.regexp_extract(as_col(text), pattern, group))

@@ -14,7 +14,7 @@ from tallyline.operators.joins import layout
 from tallyline.operators.reshape import spread
 
 KEYS = ("ref_date", "product", "region", "region_channel")
-# The measures a net-sales extract holds in its type column.
+# The measures a net-sales extract holds in its type column.
 TYPES = (
     "actual_sales", "actual_sales_py", "actual_sales_2py", "actual_fx", "actual_acqdiv", "actual_price", "actual_volume",
     "fcst_sales", "fcst_price", "fcst_volume", "fcst_acqdiv", "actual_fx_vs_fcst", "actual_fx_vs_op",

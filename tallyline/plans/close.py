@@ -112,7 +112,7 @@ def up_to(lines: DataFrame, as_of: date, origin: str) -> DataFrame:
 
 
 def amortization_split(
-    lines: DataFrame, rules: Rules, as_of: date, prefix: str = "Soft.Amort", default: str = "Other projects", origin: str = SPREADSHEET_ORIGIN
+    lines: DataFrame, rules: Rules, as_of: date, prefix: str, default: str = "Other projects", origin: str = SPREADSHEET_ORIGIN
 ) -> DataFrame:
     """Amortization per project and month: description to project, amounts made positive."""
     project = F.concat_ws("/", F.lit(prefix), categorise("description", rules, default))

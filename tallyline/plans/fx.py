@@ -11,7 +11,7 @@ from tallyline.functions.nulls import lacks, matches, mean_over_rows, none_of, o
 from tallyline.functions.periods import MONTH_ABBREVIATIONS
 from tallyline.operators.columns import drop_zero_rows, rename_all
 from tallyline.operators.joins import lookup_with_fallback, missing_both_ways
-from tallyline.operators.reshape import spread, stack_measures
+from tallyline.operators.reshape import spread, spread_found, stack_measures
 from tallyline.operators.totals import add_totals
 
 
@@ -66,10 +66,10 @@ def monthly_rates(rates: DataFrame, by_year: bool = False) -> DataFrame:
     )
 
 
-def rate_matrix(rates: DataFrame, days: Sequence[str]) -> DataFrame:
-    """Currencies by days; the days are given, since they become columns."""
-    dated = rates.filter(F.col("date").isin([F.lit(d).cast("date") for d in days]))
-    return spread(dated.withColumn("day_label", F.col("date").cast("string")), ["from_ccy"], "day_label", list(days), "inverse_spot_rate")
+def rate_matrix(rates: DataFrame) -> DataFrame:
+    """Currencies and years by the days of a year ('03-31'), all days that occur; a year has 366 columns at most."""
+    labelled = rates.withColumn("day_label", F.date_format("date", "MM-dd"))
+    return spread_found(labelled, ["from_ccy", "year"], "day_label", "inverse_spot_rate", most=366)
 
 
 def transactional_scope(

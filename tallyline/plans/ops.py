@@ -22,8 +22,20 @@ METER = (
     "total_projection", "new_business", "open_orders", "region", "super_region",
 )
 
-
-def home_orders(feed: DataFrame, home: Sequence[str] = ("US", "CAN"), far: tuple[str, str] = ("LATAM", "LAG")) -> DataFrame:
+# Region codes, shares, status words and labels of the reports, used where the caller gives no others.
+HOME_COUNTRIES = ("US", "CAN")
+FAR_REGION = ("LATAM", "LAG")
+AWAY_REGIONS = ("AMZ", "ANZ")
+PRIOR_YEAR_SHARE = 0.7
+DAY_LOSS = 0.03
+SETTLED = ("Completed", "Approved")
+NEGATIVE = "Deposit"
+CANCELLED = "Canceled"
+NO_DEVIATIONS = "No deviations noted."
+NOISE = "Related to"
+
+
+def home_orders(feed: DataFrame, home: Sequence[str] = HOME_COUNTRIES, far: tuple[str, str] = FAR_REGION) -> DataFrame:
     """The feed that is complete already: regions from countries, open orders under their report name."""
     region = F.when(F.col("country").isin(list(home)), "NA").when(F.col("country") == far[0], far[1]).otherwise(F.col("country"))
     named = feed.withColumnRenamed("unconfirmed", "open_orders").withColumn("region", region)
@@ -31,7 +43,7 @@ def home_orders(feed: DataFrame, home: Sequence[str] = ("US", "CAN"), far: tuple
     return named.withColumn("super_region", place).select(*METER)
 
 
-def away_orders(feed: DataFrame, place: str, far: Sequence[str] = ("AMZ", "ANZ"), prior_share: float = 0.7, day_loss: float = 0.03) -> DataFrame:
+def away_orders(feed: DataFrame, place: str, far: Sequence[str] = AWAY_REGIONS, prior_share: float = PRIOR_YEAR_SHARE, day_loss: float = DAY_LOSS) -> DataFrame:
     """The feed without history: projection = shipped + confirmed, placeholders for prior year and prior day."""
     typed = feed.withColumns({c: zero(to_number(c)) for c in ("shipments", "target", "confirmed_today")})
     region = F.when(F.col("region").isin(list(far)), far[-1]).otherwise("EMEA")
@@ -73,7 +85,7 @@ def results_by_symbol(trades: DataFrame, years: Sequence[int]) -> DataFrame:
     return spread(trades, ["symbol"], "year", list(years), "net_usd", fill=0.0, total="overview")
 
 
-def cash_movements(moves: DataFrame, statuses: Sequence[str] = ("Completed", "Approved"), negative: str = "Deposit") -> DataFrame:
+def cash_movements(moves: DataFrame, statuses: Sequence[str] = SETTLED, negative: str = NEGATIVE) -> DataFrame:
     """Settled movements by kind and account with count and total; deposits count negative."""
     settled = moves.filter(one_of("status", statuses))
     typed = settled.withColumn("amount", signed("amount", "transaction_type", negative))
@@ -81,20 +93,20 @@ def cash_movements(moves: DataFrame, statuses: Sequence[str] = ("Completed", "Ap
     return add_totals(summed, "transaction_type")
 
 
-def cash_columns(moves: DataFrame, kinds: Sequence[str], keys: Sequence[str], cancelled: str = "Canceled") -> DataFrame:
+def cash_columns(moves: DataFrame, kinds: Sequence[str], keys: Sequence[str], cancelled: str = CANCELLED) -> DataFrame:
     """Amounts of each kind in a column of its own, with a total."""
     kept = moves.filter(F.col("status") != cancelled)
     return add_totals(spread(kept, list(keys), "transaction_type", list(kinds), "amount", fill=0.0), keys[0])
 
 
-def cash_balance(moves: DataFrame, cancelled: str = "Canceled") -> DataFrame:
+def cash_balance(moves: DataFrame, cancelled: str = CANCELLED) -> DataFrame:
     kept = moves.filter(F.col("status") != cancelled)
     return add_totals(kept.groupBy("transaction_type").agg(F.sum(to_number("amount")).alias("amount")), "transaction_type")
 
 
 # ---------------------------------------------------------------- control documents
 
-def criteria_descriptions(rows: DataFrame, keys: Sequence[str] = ("criteria",), noise: str = "Related to", part_items: int = 10000) -> DataFrame:
+def criteria_descriptions(rows: DataFrame, keys: Sequence[str] = ("criteria",), noise: str = NOISE, part_items: int = 10000) -> DataFrame:
     """Description lines of a criterion joined in document order."""
     known = rows.filter(F.col("description").isNotNull())
     joined = flatten_text(known, list(keys), "description", "criteria_description", separator="", part_items=part_items, order="position")
@@ -120,7 +132,7 @@ def _control_lines(filled: DataFrame, doc: str) -> DataFrame:
 
 
 def policy_table(
-    rows: DataFrame, doc: str = "doc", mark: str = "CT", width: int = 9, default: str = "No deviations noted.", noise: str = "Related to"
+    rows: DataFrame, doc: str = "doc", mark: str = "CT", width: int = 9, default: str = NO_DEVIATIONS, noise: str = NOISE
 ) -> DataFrame:
     """Controls and test results per criterion and policy.
 

@@ -11,7 +11,7 @@ from tallyline.functions.nulls import none_of, one_of, strict_sum
 from tallyline.functions.periods import month_label, month_of, quarter_label
 from tallyline.functions.text import piece, slice_text
 from tallyline.operators.joins import join_named, missing_both_ways, without
-from tallyline.operators.reshape import spread
+from tallyline.operators.reshape import spread, spread_found
 from tallyline.operators.rules import Rules, categorise, relabel
 from tallyline.operators.totals import add_totals
 
@@ -24,9 +24,14 @@ def heads(rosters: DataFrame, centers: dict[str, str]) -> DataFrame:
     return watched.withColumns({"unit": F.trim(relabel("cost_center", centers)), "date": date}).withColumn("quarter", quarter_label("date")).drop("period")
 
 
-def head_matrix(rows: DataFrame, months: Sequence[str]) -> DataFrame:
-    """Heads per unit with one column per month label and all heads listed; a month without heads shows 0."""
+def head_matrix(rows: DataFrame, months: Sequence[str] | None = None) -> DataFrame:
+    """Heads per unit with one column per month label, 0 for a month without heads.
+
+    Without a list of months every month that occurs is a column; with one, `all_months` counts the heads of all.
+    """
     counted = rows.select("unit", month_label("date").alias("label"), F.lit(1).alias("n"))
+    if months is None:
+        return spread_found(counted, ["unit"], "label", "n", fill=0)
     return spread(counted, ["unit"], "label", list(months), "n", fill=0, total="all_months")
 
 
