@@ -17,5 +17,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for place, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if place + 1 < len(STAGES):
-            docs = between(spark, docs, name)
+            docs = between(docs, name)
     return docs

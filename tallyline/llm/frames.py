@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.session import scratch_folder
+from tallyline.session import written
 
 # What a model or an index may weigh before it is sent to every executor.
 BROADCAST_BYTES = 32 << 20
@@ -39,9 +37,7 @@ def fresh(df: DataFrame, *stems: str) -> list[str]:
 
 def settled(df: DataFrame, label: str = "step") -> DataFrame:
     """Written once as Parquet in the shared folder and read back: a lost executor repeats nothing before it."""
-    path = scratch_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, label)
 
 
 def small(df: DataFrame, most_rows: int = 100_000) -> DataFrame:
@@ -77,11 +73,3 @@ def bounded_sample(df: DataFrame, column: str, sizes: dict, key: Column, most: i
 def total(df: DataFrame, *sums: Column) -> tuple:
     """One row of aggregates, as plain numbers; an empty table gives zeros."""
     return tuple(x or 0 for x in df.agg(*sums).first())
-
-
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    frames = list(frames)
-    out = frames[0]
-    for df in frames[1:]:
-        out = out.unionByName(df)
-    return out

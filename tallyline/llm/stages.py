@@ -7,14 +7,12 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import decontaminate, mixing, ngram_join, tokens, toxicity
 from tallyline.llm.frames import columns_of, fresh, table
-from tallyline.session import scratch_folder
+from tallyline.session import scratch_folder, written
 
 
-def between(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+def between(docs: DataFrame, name: str) -> DataFrame:
     """The stage's rows as Parquet in the shared folder, read back."""
-    path = scratch_folder(spark, f"stage-{name}")
-    docs.write.parquet(path)
-    return spark.read.schema(docs.schema).parquet(path)
+    return written(docs, f"stage-{name}")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

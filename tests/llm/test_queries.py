@@ -36,7 +36,7 @@ def test_every_stage_against_the_plain_one(spark, folder):
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     for name, stage in stages.STAGES[:-1]:
         before = [r.asDict() for r in docs.collect()]
-        result = stages.between(spark, stage(spark, docs, folder), name)
+        result = stages.between(stage(spark, docs, folder), name)
         assert result.columns == docs.columns and dict(result.dtypes) == dict(docs.dtypes)
         after = sorted((r.asDict() for r in result.collect()), key=str)
         if name == "toxicity":
