@@ -100,23 +100,25 @@ def flatten_text(
     """Join the items of each group into texts of `part_items` items, in item order (or that of a position column).
 
     Columns: the keys, `part` (from 0), the text, `n_items` of the part; the texts of a group, in the order of
-    `part`, make up the whole text. One path for every size: items are dealt by ranges of (keys, order), so a hot
-    group lies in many ranges; the place of an item follows from one count per group and range, and no task holds
-    more of a group than a range or a part. To put a fact beside other columns join `group_sizes`, which has one row
-    per group, not the parts.
+    `part`, make up the whole text. One path for every size: equal items are counted first, the others are dealt by
+    ranges of (keys, order), so a hot group lies in many ranges; the place of an item follows from one count per
+    group and range, and no task holds more of a group than a range or a part. To put a fact beside other columns
+    join `group_sizes`, which has one row per group, not the parts.
     """
     sort_key = order or item
-    rows = df.filter(F.col(item).isNotNull()).select(*keys, F.col(item).alias("__v"), F.col(sort_key).alias("__s"))
-    # Equal items may lie in several ranges: the last column makes every row different.
-    ranged = rows.withColumn("__row", F.monotonically_increasing_id()).repartitionByRange(*keys, "__s", "__v", "__row")
-    entry = F.struct("__s", "__v", "__row")
-    runs = ranged.withColumn("__range", F.spark_partition_id()).groupBy(*keys, "__range").agg(F.array_sort(F.collect_list(entry)).alias("__items"))
+    rows = df.filter(F.col(item).isNotNull()).select(*keys, F.col(sort_key).alias("__s"), F.col(item).alias("__v"))
+    counted = rows.groupBy(*keys, "__s", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    ranged = counted.repartitionByRange(*keys, "__s", "__v").withColumn("__range", F.spark_partition_id())
+    runs = ranged.groupBy(*keys, "__range").agg(F.array_sort(F.collect_list(F.struct("__s", "__v", "__c"))).alias("__items"), F.sum("__c").alias("__n"))
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = runs.withColumn("__before", F.coalesce(F.sum(F.size("__items")).over(before), F.lit(0)))
-    each = placed.select(*keys, "__before", F.posexplode("__items").alias("__at", "__item"))
-    at = F.col("__before") + F.col("__at")
+    placed = runs.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+    each = placed.select(*keys, "__range", "__before", F.posexplode("__items").alias("__at", "__item"))
+    inside = Window.partitionBy(*keys, "__range").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("__before") + F.coalesce(F.sum("__item.__c").over(inside), F.lit(0))
+    spans = each.select(*keys, "__item.__v", "__item.__c", start.alias("__first"))
+    single = spans.select(*keys, "__v", F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__c") - 1)).alias("__at"))
     return (
-        each.select(*keys, F.floor(at / part_items).alias("part"), F.struct(at.alias("at"), F.col("__item.__v").alias("v")).alias("e"))
+        single.select(*keys, F.floor(F.col("__at") / part_items).alias("part"), F.struct(F.col("__at").alias("at"), F.col("__v").alias("v")).alias("e"))
         .groupBy(*keys, "part")
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list("e")), lambda e: e["v"]), separator).alias(name), F.count(F.lit(1)).alias("n_items"))
     )
