@@ -29,7 +29,7 @@ BUCKETS, WIDTH, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4)
 EPOCHS, BATCH, RATE = 5, 64, 0.05
 #: A small sample is gone over more often, until so many batches are done.
-LEAST_BATCHES = 200
+LEAST_BATCHES = 300
 #: Words per step of the forward pass; a longer text is a step of its own.
 STEP = 20_000
 
