@@ -10,6 +10,7 @@ rows that repeat an id are kept, ordered by text. An empty table gives no shard.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -19,6 +20,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +32,7 @@ from tallyline.llm.words import pieces
 END = 2
 SHARD_TOKENS = 1 << 20
 #: Distinct pieces whose ids a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 SHARDS_SQL = "part int, shard int, n_docs bigint, n_tokens bigint, blob binary"
 READ_SQL = "part int, shard int, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -41,72 +43,116 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letters that stand for bytes in a byte-level vocabulary: visible ones for themselves, the others from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {**{b: chr(b) for b in visible}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+
 class Encoder:
     """Ids of whole texts, exactly as the tokenizer gives them, from the remembered ids of their pieces.
 
-    Byte-level pre-tokenizers begin a new unit at a space between two visible characters, so a text may be cut
-    there: what the tokenizer says of the pieces, the later ones with the space before them, is what it says of the
-    text. Where a space touches other white space, the text isn't cut.
+    Byte-level pre-tokenizers begin a new unit at a space between two visible characters, and a line break between
+    two of them is a unit of its own, so a text may be cut there: what the tokenizer says of the pieces, those behind
+    a space with the space before them, is what it says of the text. A text in which white space touches white space
+    is cut between visible characters only. A batch is cut and its distinct pieces are found by Arrow; a new piece
+    that is a word, perhaps with a stop behind it, goes to the tokenizer's model at once, any other through the whole
+    tokenizer.
     """
 
-    TIGHT = re.compile(r"\s ")
+    LOOSE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
     JOINT = re.compile(r"(?<=\S) (?=\S)")
-    STOP = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]")
+    WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+([.,]?)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        shape = json.loads(self.tokenizer.to_str())
+        steps = shape["pre_tokenizer"] or {}
+        # Words may skip the steps before the model only where those are known to keep them whole.
+        self.direct = shape["normalizer"] is None and shape["model"]["type"] == "BPE" and steps.get("type") == "ByteLevel" and steps.get("use_regex") and not steps.get("add_prefix_space")
+        self.stops = {stop: self.tokenizer.encode(stop, add_special_tokens=False).ids for stop in ".,"}
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        # Pieces behind a space, without it, and pieces that begin a text.
+        self.spaced: dict[str, int] = {}
+        self.heads: dict[str, int] = {}
         self.starts, self.ids = array("q", [0]), array("I")
 
-    def learn(self, wanted: set[str]) -> None:
-        """Remember the ids of pieces; a word with a stop is the word and the stop."""
-        split = [p for p in wanted if self.STOP.fullmatch(p, 1) and p[0] == " "]
-        alone = wanted.difference(split).union(p[:-1] for p in split).union([".", ","]).difference(self.place)
-        alone = list(alone)
-        for first in range(0, len(alone), 10_000):
-            some = alone[first : first + 10_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                self._add(piece, found.ids)
-        for piece in split:
-            self._add(piece, [*self._of(piece[:-1]), *self._of(piece[-1])])
-
-    def _of(self, piece: str):
-        at = self.place[piece]
-        return self.ids[self.starts[at] : self.starts[at + 1]]
-
-    def _add(self, piece: str, ids) -> None:
-        self.place[piece] = len(self.starts) - 1
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def places(self, pieces: list[str], spaced: bool) -> np.ndarray:
+        """Where the ids of each piece are remembered."""
+        known = self.spaced if spaced else self.heads
+        starts, ids, tokenize, fullmatch = self.starts, self.ids, self.model.tokenize, self.WORD.fullmatch
+        rest = []
+        for piece in pieces:
+            if piece in known:
+                continue
+            word = fullmatch(piece) if self.direct else None
+            if word is None:
+                rest.append(piece)
+                continue
+            stop = word[1]
+            base = piece[:-1] if stop else piece
+            at = known.get(base)
+            if at is None:
+                form = base if base.isascii() else base.encode().decode("latin1").translate(self.letters)
+                found = [t.id for t in tokenize("Ġ" + form if spaced else form)]
+                known[base] = len(starts) - 1
+                ids.extend(found)
+                starts.append(len(ids))
+            else:
+                found = ids[starts[at] : starts[at + 1]]
+            if stop:
+                known[piece] = len(starts) - 1
+                ids.extend(found)
+                ids.extend(self.stops[stop])
+                starts.append(len(ids))
+        for first in range(0, len(rest), 10_000):
+            some = rest[first : first + 10_000]
+            for piece, found in zip(some, self.tokenizer.encode_batch([" " + p for p in some] if spaced else some, add_special_tokens=False), strict=True):
+                known[piece] = len(starts) - 1
+                ids.extend(found.ids)
+                starts.append(len(ids))
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text, each with the end token."""
-        parts = []
-        for text in texts:
-            text = text or ""
-            cut = self.JOINT.split(text) if self.TIGHT.search(text) else text.split(" ")
-            parts.append([cut[0], *[" " + p for p in cut[1:]]])
-        wanted = set().union(*parts)
-        new = wanted.difference(self.place)
-        if new:
-            if len(self.place) + len(new) > REMEMBERED:
-                self.forget()
-                new = wanted
-            self.learn(new)
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        loose = pc.match_substring_regex(texts, self.LOOSE)
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n "), " ")
+        if pc.any(loose).as_py():
+            own = [self.JOINT.split(t) if odd else None for t, odd in zip(texts.to_pylist(), loose.to_pylist(), strict=True)]
+            lists = pa.array([mine if mine is not None else plain.as_py() for mine, plain in zip(own, lists, strict=True)], pa.large_list(pa.large_string()))
+        edges = np.asarray(lists.offsets, np.int64)
+        flat = lists.values.slice(edges[0], edges[-1] - edges[0])
+        edges = edges - edges[0]
+        coded = flat.dictionary_encode()
+        codes = np.asarray(coded.indices, np.int64)
+        vocabulary = coded.dictionary.to_pylist()
+        # Without a space before them stand the first piece of a text (there is one), line breaks and what follows them.
+        breaks = codes == (vocabulary.index("\n") if "\n" in vocabulary else -1)
+        head = breaks.copy()
+        head[1:] |= breaks[:-1]
+        head[edges[:-1]] = True
+        wanted = [np.flatnonzero(np.bincount(codes[kind], minlength=len(vocabulary))) for kind in (~head, head)]
+        if len(self.spaced) + len(self.heads) + sum(map(len, wanted)) > REMEMBERED:
+            self.forget()
+        at = np.zeros(len(codes), np.int64)
+        for kind, spaced, mine in ((~head, True, wanted[0]), (head, False, wanted[1])):
+            place = np.zeros(len(vocabulary), np.int64)
+            place[mine] = self.places([vocabulary[c] for c in mine], spaced)
+            at[kind] = place[codes[kind]]
         starts, ids = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32) if len(self.ids) else np.zeros(0, np.uint32)
-        out = []
-        for part in parts:
-            at = np.fromiter(map(self.place.__getitem__, part), np.int64, len(part))
-            first, sizes = starts[at], starts[at + 1] - starts[at]
-            ends = np.cumsum(sizes)
-            out.append(np.append(ids[np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1])], np.uint32(END)))
-        return out
+        first, sizes = starts[at], starts[at + 1] - starts[at]
+        ends = np.cumsum(sizes)
+        every = ids[np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[edges]
+        return [np.append(every[a:z], np.uint32(END)) for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def encoder(path: str) -> Encoder:
@@ -130,7 +176,7 @@ def sharded(batches, path: str, shard_tokens: int):
              pa.array([packed(np.concatenate(held), ids, starts)], pa.binary())], names=["part", "shard", "n_docs", "n_tokens", "blob"])
 
     for batch in (piece for batch in batches for piece in pieces(batch, "text")):
-        for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text").to_pylist()), strict=True):
+        for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text")), strict=True):
             ids.append(doc_id)
             held.append(tokens)
             size += len(tokens)

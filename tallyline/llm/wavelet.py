@@ -34,11 +34,12 @@ def packed(tokens: np.ndarray, doc_ids: list[int | None], starts: np.ndarray) ->
     _put(out, np.packbits(np.array([d is None for d in doc_ids], bool)))
     _put(out, starts.astype(np.int64))
     for plane in range(planes):
-        bits = (rest >> (planes - 1 - plane) & 1).astype(bool)
+        bits = (rest & rest.dtype.type(1 << (planes - 1 - plane))).astype(bool)
+        packed_bits = np.packbits(bits)
         spans = np.zeros(-(-len(bits) // SPAN) + 1, np.uint32)
         if len(bits):
-            spans[1:] = np.cumsum(np.add.reduceat(bits, np.arange(0, len(bits), SPAN), dtype=np.uint32))
-        _put(out, np.packbits(bits))
+            spans[1:] = np.cumsum(np.add.reduceat(np.bitwise_count(packed_bits), np.arange(0, len(packed_bits), SPAN // 8), dtype=np.uint32))
+        _put(out, packed_bits)
         _put(out, spans)
         out.append(struct.pack(LENGTH, len(bits) - int(spans[-1])))
         rest = np.concatenate([rest[~bits], rest[bits]])
