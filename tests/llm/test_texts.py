@@ -229,6 +229,17 @@ def test_pages_keep_the_article_only(spark, tag):
         assert got[n].n_chars == len(got[n].text)
 
 
+def test_the_template_is_judged_over_all_pages_of_a_host(spark):
+    line = "<div>Read our house rules first.</div>"
+    make = lambda n: f"<body><article><h1>Head {n}</h1>{line}<p>Text {n}</p></article>{f'<table><tr><td>Offer</table>' if n % 40 == 0 else ''}</body>"
+    rows = [(n, "http://many.example/", make(n)) for n in range(200)] + [(300 + n, "http://copies.example/", make(1)) for n in range(5)]
+    rows += [(400 + n, "http://plain.example/", f"<h1>Head {n}</h1>" + "<section><p>Same offer</section>" * (n % 40 == 0)) for n in range(200)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"), most=4).collect()}
+    assert all(got[n] == f"Head {n}\nText {n}" for n in range(200))  # the marks alone would keep the constant line
+    assert all(got[300 + n] == "Head 1\nRead our house rules first.\nText 1" for n in range(5))  # copies say nothing about a template
+    assert all(got[400 + n] == f"Head {n}" for n in range(200))  # also where the few sampled pages lack the group
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "x", ""), (None, "http://h/1", "<article><p>a"), (4, "http://h/2", "no markup &am"), (5, "http://h/3", "<p>1 < 2 <b>x</p></p></div>"),
             (6, "http://H:80/4", "<article>" + "<p>long</p>" * 20_000 + "<p \"unclosed>"), (6, "http://h/5", '<div hidden>no</div><p title="a>b">yes</p>'), (7, "http://h/6", "<ul>" * 3_000 + "deep")]
