@@ -240,6 +240,16 @@ def test_the_template_is_judged_over_all_pages_of_a_host(spark):
     assert all(got[400 + n] == f"Head {n}" for n in range(200))  # also where the few sampled pages lack the group
 
 
+def test_long_and_unclosed_attributes(spark):
+    long = "x > y " * 5_000
+    rows = [(1, f"<article><p>a<img src=\"data:{long}\">b</p><div data-props='{long}' class=\"ad\">no</div><p>c</p></article>"),
+            (2, f'<nav data-props="{long}"><p>no</p></nav><p>yes</p>'), (3, '<p class="x>one</p>'), (4, "<p title=\"the hidden door\" data-a='class=ad'>seen</p>"),
+            (5, "<article><p>" + '<b title="' * 20_000 + "</p><p>end</p>")]
+    got = wrappers.extract(spark.createDataFrame([(n, f"http://h{n}/", page) for n, page in rows], "page_id bigint, url string, html string")).collect()
+    by = {r.page_id: r.text for r in got}
+    assert (by[1], by[2], by[3], by[4]) == ("a b\nc", "yes", "one", "seen") and by[5].endswith("end")
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "x", ""), (None, "http://h/1", "<article><p>a"), (4, "http://h/2", "no markup &am"), (5, "http://h/3", "<p>1 < 2 <b>x</p></p></div>"),
             (6, "http://H:80/4", "<article>" + "<p>long</p>" * 20_000 + "<p \"unclosed>"), (6, "http://h/5", '<div hidden>no</div><p title="a>b">yes</p>'), (7, "http://h/6", "<ul>" * 3_000 + "deep")]
