@@ -250,6 +250,16 @@ def test_long_and_unclosed_attributes(spark):
     assert (by[1], by[2], by[3], by[4]) == ("a b\nc", "yes", "one", "seen") and by[5].endswith("end")
 
 
+def test_words_of_side_matter_around_the_main_text(spark):
+    side = '<div class="related"><p>See {n}</p></div><section id="comments"><article class="comment"><p>I agree {n}</p></article></section>'
+    forms = ['<body class="single has-sidebar"><article><p>Text {n}</p>' + side + '</article></body>', '<html class="no-search"><body><main><p>Text {n}</p></main>' + side,
+             '<div class="share"><article><p>Text {n}</p></article></div>', '<article class="post legal form"><p>Text {n}</p></article>',
+             '<body><article><p>Text {n}</p></article>' + side, '<div class="legal"><p>Text {n}</p></div><div class="cookies"><p>We use cookies</p></div><nav>Go {n}</nav>']
+    rows = [(100 * h + n, f"http://h{h}/", form.format(n=n)) for h, form in enumerate(forms) for n in range(6)]
+    got = wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {100 * h + n: f"Text {n}" for h in range(len(forms)) for n in range(6)}
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "x", ""), (None, "http://h/1", "<article><p>a"), (4, "http://h/2", "no markup &am"), (5, "http://h/3", "<p>1 < 2 <b>x</p></p></div>"),
             (6, "http://H:80/4", "<article>" + "<p>long</p>" * 20_000 + "<p \"unclosed>"), (6, "http://h/5", '<div hidden>no</div><p title="a>b">yes</p>'), (7, "http://h/6", "<ul>" * 3_000 + "deep")]
