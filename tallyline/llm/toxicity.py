@@ -3,8 +3,9 @@
 A word's vector is the sum of hashed embeddings of the word, its prefixes and its suffixes. Filters of width 1, 2
 and 3 run over all words of a text, each keeps its maximum over the text, and a linear layer gives the logit.
 Training takes a bounded sample of the labelled rows; the scoring runs on Arrow batches of whole texts. The
-threshold is calibrated for each language on rows the weights haven't seen; the language of a text is itself
-predicted from the text. A score is the logit moved so that the language's threshold becomes `CUT`.
+threshold is calibrated for each language on all labelled rows the weights haven't seen, counted on Spark and weighted
+to the shares the labels have among all labelled rows; the language of a text is itself predicted from the text. A
+language with fewer than LEAST_ROWS such rows of either label takes the threshold of all languages. A score is the logit moved so that the language's threshold becomes `CUT`.
 
 Defined results: a missing text counts as empty, an empty text gets the score of "no word at all"; without labels
 of both kinds every score is 0. Rows are scored one by one, so repeated rows and ids change nothing. Of several
@@ -25,6 +26,12 @@ from tallyline.llm.words import GOLD, by_piece, mixed, words_of
 #: Labelled rows to learn from, for each of the two labels.
 ROWS_PER_LABEL = 2_000
 CUT = 0.7
+#: Rows of each label that a language needs for a threshold of its own.
+LEAST_ROWS = 15
+#: Logits are counted in bins of 1 / BINS around 0, of 1 / BINS of their size far from it.
+BINS = 50
+#: So many labelled ids are sent to every task, to score only their rows; of more, all rows are scored.
+SENT_IDS = 1_000_000
 BUCKETS, WIDTH, FILTERS, WIDTHS = 1 << 16, 16, 16, (1, 2, 3)
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4)
 EPOCHS, BATCH, RATE = 5, 64, 0.05
@@ -164,57 +171,93 @@ def trained(texts: list[str | None], labels: np.ndarray, seed: int = 7) -> dict:
     return model
 
 
-def best_cut(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold with the largest F1, in the middle between the scores on either side of it."""
+def best_cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> float:
+    """The threshold with the largest F1 of weighted rows, in the middle between the scores on either side of it."""
     order = np.argsort(-scores, kind="stable")
-    scores, hits = scores[order], np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(hits) + 1) + labels.sum())
+    weights = np.ones(len(scores)) if weights is None else weights[order]
+    scores, hits = scores[order], np.cumsum(labels[order] * weights)
+    f1 = 2 * hits / (np.cumsum(weights) + hits[-1])
     f1[np.append(scores[1:] == scores[:-1], False)] = -1  # ties are not parted
     at = int(f1.argmax())
     return float((scores[at] + scores[at + 1]) / 2) if at + 1 < len(scores) else float(scores[at] - 1)
 
 
+def tongues(words, model: dict) -> np.ndarray:
+    """The place of every text's predicted language; without languages, 0."""
+    if model["tongue"] is None or len(words.starts) < 2:
+        return np.zeros(len(words.starts) - 1, np.int64)
+    log_prob, sizes, prior = model["tongue"]
+    return (language.log_scores(words, log_prob, sizes) + prior).argmax(axis=1)
+
+
+def counted(docs: DataFrame, known: DataFrame, used: DataFrame, model: dict) -> list:
+    """Rows (toxic, used, tongue, bin, n): how many labelled rows of docs have which label, language and logit."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("tongue int, bin int")
+    def place(texts: pa.Array) -> pa.Array:
+        def of_piece(piece):
+            words = words_of(piece)
+            bins = np.floor(np.arcsinh(logits(words, sent.value)) * BINS)
+            return pa.StructArray.from_arrays([pa.array(tongues(words, sent.value), pa.int32()), pa.array(bins, pa.int32(), safe=False)], names=["tongue", "bin"])
+
+        return by_piece(texts, of_piece, pa.struct([("tongue", pa.int32()), ("bin", pa.int32())]))
+
+    rows = columns_of(docs, doc_id="bigint", text="string").filter("doc_id IS NOT NULL")
+    if known.count() <= SENT_IDS:
+        rows = rows.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    placed = rows.select("doc_id", place(F.col("text")).alias("at")).select("doc_id", "at.tongue", "at.bin")
+    seen = used.select(F.col("doc_id").alias("used_id"))
+    flagged = known.join(F.broadcast(seen), F.col("doc_id") == F.col("used_id"), "left").select("doc_id", "toxic", F.col("used_id").isNotNull().alias("used"))
+    return placed.join(flagged, "doc_id").groupBy("toxic", "used", "tongue", "bin").agg(F.count("*").alias("n")).collect()  # as many as there are bins
+
+
+def cuts_of(found: list, languages: int) -> list[float]:
+    """The threshold of every language from the rows of `counted`."""
+    toxic, used, tongue, place, n = (np.array(c) for c in zip(*found, strict=True))
+    all_rows = [n[toxic == k].sum() for k in (0, 1)]
+    free = ~used.astype(bool)
+    if not all(n[free & (toxic == k)].sum() for k in (0, 1)):
+        free[:] = True  # too few labelled rows to keep some from the weights
+    toxic, tongue, place, n = toxic[free], tongue[free], place[free], n[free]
+    weight = n * np.array([all_rows[k] / n[toxic == k].sum() for k in (0, 1)])[toxic]
+    score = np.sinh((place + 0.5) / BINS)
+    common = best_cut(score, toxic, weight)
+    own = [tongue == i for i in range(languages)]
+    enough = [min(n[mine & (toxic == k)].sum() for k in (0, 1)) >= LEAST_ROWS for mine in own]
+    return [best_cut(score[mine], toxic[mine], weight[mine]) if e else common for mine, e in zip(own, enough, strict=True)]
+
+
 def fit(docs: DataFrame, labels: DataFrame, rows_per_label: int = ROWS_PER_LABEL) -> dict | None:
     """Learn from documents (doc_id, text, lang) and labels (doc_id, toxic): about `rows_per_label` rows of each label.
 
-    Four of five sampled rows fit the weights, the others the thresholds. None if either label is missing.
+    Four of five sampled ids fit the weights; all labelled rows of other ids fit the thresholds. None if either label is missing.
     """
     known = columns_of(labels, doc_id="bigint", toxic="int").filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = known.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"))
     sample = bounded_sample(known, "toxic", class_sizes(known, "toxic", 2), F.col("doc_id"), rows_per_label)
+    sample = sample.withColumn("used", F.pmod(F.xxhash64("doc_id", F.lit("weights")), F.lit(5)) != 4)
     rows = columns_of(docs, doc_id="bigint", text="string", lang="string").join(F.broadcast(sample), "doc_id")
-    found = rows.select("doc_id", "text", "toxic", "lang").orderBy("doc_id", "text").collect()  # a bounded number of rows
+    found = rows.select("doc_id", "text", "toxic", "used", "lang").orderBy("doc_id", "text").collect()  # a bounded number of rows
     toxic = np.array([int(r["toxic"] > 0) for r in found], float)
     if not 0 < toxic.sum() < len(toxic):
         return None
-    kept = np.arange(len(found)) % 5 != 4
-    texts = [r["text"] for r in found]
+    kept = np.array([r["used"] for r in found])
     if not 0 < toxic[kept].sum() < kept.sum():
         kept[:] = True
+        sample = sample.withColumn("used", F.lit(True))
+    texts = [r["text"] for r in found]
     model = trained([t for t, k in zip(texts, kept, strict=True) if k], toxic[kept])
-    tested = ~kept if 0 < toxic[~kept].sum() < (~kept).sum() else kept
-    words = words_of(pa.array([t for t, k in zip(texts, tested, strict=True) if k], pa.string()))
-    scores, truth = logits(words, model), toxic[tested]
     tongue = language.fit(docs.sparkSession.createDataFrame([(r["doc_id"], r["text"], r["lang"]) for r in found], "doc_id bigint, text string, lang string")) if any(r["lang"] for r in found) else None
-    model["cuts"], model["tongue"] = [best_cut(scores, truth)], None
-    if tongue and tongue.languages:
-        model["tongue"] = (tongue.log_prob, tongue.sizes, tongue.log_prior)
-        spoken = (language.log_scores(words, tongue.log_prob, tongue.sizes) + tongue.log_prior).argmax(axis=1)
-        common = model["cuts"][0]
-        # A language with few labelled rows of either kind keeps the common threshold.
-        enough = [min(truth[spoken == i].sum(), (1 - truth[spoken == i]).sum()) >= 15 for i in range(len(tongue.languages))]
-        model["cuts"] = [best_cut(scores[spoken == i], truth[spoken == i]) if enough[i] else common for i in range(len(tongue.languages))]
+    model["tongue"] = (tongue.log_prob, tongue.sizes, tongue.log_prior) if tongue and tongue.languages else None
+    model["cuts"] = cuts_of(counted(docs, known, sample.filter("used"), model), len(tongue.languages) if model["tongue"] else 1)
     return model
 
 
 def scored(texts: pa.Array, model: dict) -> pa.Array:
     words = words_of(texts)
-    raw = logits(words, model)
-    cuts = np.array(model["cuts"])
-    if model["tongue"] is not None and len(texts):
-        log_prob, sizes, prior = model["tongue"]
-        cuts = cuts[(language.log_scores(words, log_prob, sizes) + prior).argmax(axis=1)]
-    return pa.array(1 / (1 + np.exp(-np.clip(raw - cuts + np.log(CUT / (1 - CUT)), -500, 500))), pa.float64())
+    cuts = np.array(model["cuts"])[tongues(words, model)]
+    return pa.array(1 / (1 + np.exp(-np.clip(logits(words, model) - cuts + np.log(CUT / (1 - CUT)), -500, 500))), pa.float64())
 
 
 def score(df: DataFrame, model: dict | None, text: Column) -> Column:

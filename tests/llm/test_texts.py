@@ -155,6 +155,23 @@ def test_toxic_documents_are_told_apart(spark):
     assert better >= 0.95 and all(r.predicted == (r.score >= 0.7) for r in got)
 
 
+def test_cuts_follow_the_shares_of_all_labelled_rows(spark, monkeypatch):
+    draw = random.Random(5)
+    rows, labels = [], []
+    for k in range(1500):
+        toxic = int(k % 30 == 0)
+        # A doubtful word stands in half of the toxic texts and in a fifth of the others, which are many more.
+        word = draw.choice(["vile", "odd"]) if toxic else "odd" if draw.random() < 0.2 else "kind"
+        rows.append((k, f"you are {word} number {draw.randint(0, 9)}"))
+        labels.append((k, toxic))
+    model = toxicity.fit(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int"), rows_per_label=60)
+    odd = docs_of(spark, [(1, "you are vile number 3"), (2, "you are odd number 3"), (3, "you are kind number 3")])
+    got = {r.doc_id: r.s for r in odd.select("doc_id", toxicity.score(odd, model, F.col("text")).alias("s")).collect()}
+    assert got[1] >= toxicity.CUT > max(got[2], got[3])
+    monkeypatch.setattr(toxicity, "SENT_IDS", 10)  # all rows scored, labels joined afterwards: the same cuts
+    assert toxicity.fit(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id bigint, toxic int"), rows_per_label=60)["cuts"] == model["cuts"]
+
+
 def test_toxicity_of_odd_texts_and_labels(spark):
     rows = [(100 + k, f"you are {'vile' if k % 2 else 'kind'} number {k}") for k in range(60)]
     labels = [(100 + k, 1, k % 2) for k in range(60)] + [(100, 1, None), (None, 1, 1), (9999, 0, 1)]
