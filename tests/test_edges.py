@@ -2,9 +2,11 @@
 
 from datetime import date
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tallyline.catalog import ORACLES, QUERIES
 from tallyline.functions.periods import calendar_of, from_serial, month_of
 from tallyline.operators import columns, joins, reshape, totals, windows
 from tallyline.plans import close, ops, people, reconcile
@@ -121,3 +123,12 @@ def test_repeated_items_of_a_hot_group_are_dealt_out(spark, part_items):
         whole.setdefault(r["k"], []).append(r["t"])
     assert {k: ",".join(v) for k, v in whole.items()} == {"hot": ",".join(sorted(v for k, v in rows if k == "hot")), "cold": "z", None: "n"}
     assert {r["k"]: r["n_items"] for r in windows.group_sizes(df, ["k"], "v").collect()} == {"hot": 550, "cold": 1, None: 1}
+
+
+def test_words_of_repeated_and_missing_ids_equal_the_sql(spark, tmp_path):
+    rows = [(1, "a b a"), (1, "a c"), (1, "a c"), (2, "a  b"), (None, "a d"), (None, "d"), (3, None), (4, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in QUERIES["F14_unnest"](spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert got == set(con.execute(ORACLES["F14_unnest"]).fetchall())
