@@ -1,6 +1,6 @@
 """SQL of the queries that SQL can express."""
 
-from tallyline.llm import line_dedup, mixing
+from tallyline.llm import line_dedup, mixing, sharding, spelling
 
 LINE_DEDUP = f"""
 WITH t AS (SELECT doc_id, text, lpad(doc_id::VARCHAR, 20, '0') || substr(md5(text), 1, 8) AS k FROM documents),
@@ -41,3 +41,37 @@ plan AS (SELECT source, t, pow(p, a) / z AS w, greatest(t, floor(pow(p, a) / z *
 o AS (SELECT t.doc_id, t.source, n_tokens, w, given, plan.t, sum(n_tokens) OVER (PARTITION BY t.source ORDER BY ('0x' || substr(key, 1, 8))::BIGINT % n_blocks, key, n_tokens ROWS UNBOUNDED PRECEDING) AS used
     FROM t LEFT JOIN plan ON t.source IS NOT DISTINCT FROM plan.source)
 SELECT doc_id, source, n_tokens::BIGINT AS n_tokens, (round(coalesce(w, 0e0), 9) + 0e0) AS weight, coalesce(given // t + (used <= given % t)::BIGINT, 1)::BIGINT AS copies FROM o"""
+
+#: Steps of the checksum with the polynomial 0xEDB88320: one table entry for each byte.
+CRC_TABLE = """(SELECT list(v ORDER BY i) FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def crc32(text: str, steps: str) -> str:
+    """SQL for the checksum of a text's UTF-8 bytes; steps: a column that holds CRC_TABLE."""
+    read = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {read}), lambda a, x: xor(a >> 8, {steps}[(xor(a, x) & 255) + 1])), 4294967295)"
+
+
+SHARDING = f"""
+WITH c AS (SELECT {CRC_TABLE} AS steps),
+t AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size, {crc32("coalesce(text, '')", "steps")}::BIGINT AS text_crc32, row_number() OVER () AS spot FROM documents, c),
+d AS (SELECT spot, s, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || s), 1, {sharding.DIGITS}))::BIGINT + 0.5e0) / pow(16e0, {sharding.DIGITS})) AS draw FROM t, range({sharding.SHARDS + 1}) r(s)),
+w AS (SELECT spot, arg_min(s, draw) FILTER (WHERE s < {sharding.SHARDS}) AS shard, arg_min(s, draw) AS grown_shard FROM d GROUP BY spot)
+SELECT doc_id, size, text_crc32, '{sharding.LAW}' AS law, shard::INT AS shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard::INT AS grown_shard
+FROM t JOIN w USING (spot)"""
+
+SPELLING = f"""
+WITH RECURSIVE c AS (SELECT {CRC_TABLE} AS steps),
+r AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, run, count(*) AS times FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{spelling.UPPER}', '{spelling.LOWER}') AS run FROM documents) GROUP BY ALL),
+h AS (SELECT run, times, {crc32("d || ':' || run", "steps")} AS h FROM r, c WHERE length(run) >= {spelling.LEAST_LENGTH}),
+s AS (SELECT CASE WHEN h % {spelling.SLIP} = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, times FROM h),
+v AS (SELECT word, sum(times)::BIGINT AS n FROM s WHERE length(word) >= {spelling.LEAST_LENGTH} GROUP BY word HAVING sum(times) >= {spelling.LEAST_COUNT}),
+x AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+p AS (SELECT a.word AS a, b.word AS b FROM x a JOIN x b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+    UNION SELECT x.word, v.word FROM x JOIN v ON x.less = v.word UNION SELECT v.word, x.word FROM x JOIN v ON x.less = v.word),
+q AS (SELECT a AS word, count(*)::BIGINT AS n_near, first(b ORDER BY v.n DESC, encode(b)) AS best, max(v.n) AS best_n FROM p JOIN v ON v.word = b GROUP BY a),
+f AS (SELECT v.word, CASE WHEN best_n >= {spelling.FACTOR} * n THEN best END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= {spelling.FACTOR} * n THEN best_n END AS form_n FROM v LEFT JOIN q USING (word)),
+g AS (SELECT word, word AS top, 0 AS step FROM f UNION ALL SELECT g.word, f.form, step + 1 FROM g JOIN f ON f.word = g.top WHERE f.form IS NOT NULL),
+e AS (SELECT word, arg_max(top, step) AS root FROM g GROUP BY word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN e USING (word)"""

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, secret_scan, tokens, toxicity, wrappers
-from tallyline.llm.oracles import LINE_DEDUP, MIXING
+from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, secret_scan, sharding, spelling, tokens, toxicity, wrappers
+from tallyline.llm.oracles import LINE_DEDUP, MIXING, SHARDING, SPELLING
 from tallyline.llm.frames import columns_of, fold, table
 from tallyline.session import scratch_folder
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {"op6_mixing": MIXING, "op10_line_dedup": LINE_DEDUP}
+ORACLES: dict[str, str] = {"op6_mixing": MIXING, "op10_line_dedup": LINE_DEDUP, "op11_sharding": SHARDING, "op12_spelling": SPELLING}
 
 
 def registered(plan):
@@ -92,3 +92,15 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+@registered
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of eight alike, its slot there, and its shard of nine."""
+    return sharding.plan(table(spark, sf_dir, "documents"), [1.0] * sharding.SHARDS)
+
+
+@registered
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its more frequent form and the root its forms lead to."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
