@@ -1,6 +1,6 @@
 """SQL of the queries that SQL can express."""
 
-from tallyline.llm import line_dedup, mixing, sharding, spelling
+from tallyline.llm import line_dedup, mixing, prefix_trie, sharding, spelling
 
 LINE_DEDUP = f"""
 WITH t AS (SELECT doc_id, text, lpad(doc_id::VARCHAR, 20, '0') || substr(md5(text), 1, 8) AS k FROM documents),
@@ -75,3 +75,21 @@ f AS (SELECT v.word, CASE WHEN best_n >= {spelling.FACTOR} * n THEN best END AS
 g AS (SELECT word, word AS top, 0 AS step FROM f UNION ALL SELECT g.word, f.form, step + 1 FROM g JOIN f ON f.word = g.top WHERE f.form IS NOT NULL),
 e AS (SELECT word, arg_max(top, step) AS root FROM g GROUP BY word)
 SELECT f.word, form, root, n, n_near, form_n FROM f JOIN e USING (word)"""
+
+PREFIX_TRIE = f"""
+WITH c AS (SELECT {CRC_TABLE} AS steps),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, turn, role, substr(sha256(length(role) || ':' || role || text), 1, {2 * prefix_trie.WIDTH}) AS key, length(text) AS chars FROM t),
+o AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, key) - 1 AS i, key, chars FROM k),
+ids AS (SELECT conv_id, {crc32("conv_id::VARCHAR", "steps")} % {prefix_trie.MOST} AS h, conv_id - conv_id % {prefix_trie.GROUP} AS base FROM (SELECT DISTINCT conv_id FROM o), c),
+r AS (SELECT ids.conv_id, i, key, chars FROM ids JOIN o ON o.conv_id = base AND i < h UNION ALL SELECT conv_id, i + {prefix_trie.MOST}, key, chars FROM ids JOIN o USING (conv_id) WHERE i >= h),
+s AS (SELECT conv_id, row_number() OVER w AS d, chars, sha256(string_agg(key, '') OVER w) AS node FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY i)),
+n AS (SELECT conv_id, d, chars, node, lag(node, 1, '') OVER (PARTITION BY conv_id ORDER BY d) AS above FROM s UNION ALL SELECT conv_id, 0, 0, '', NULL FROM ids),
+g AS (SELECT node, any_value(above) AS above, min(conv_id) AS conv_id, any_value(d) AS depth, any_value(chars) AS chars, count(*) AS n_convs FROM n GROUP BY node),
+m AS (SELECT above AS node, count(*) AS n_children FROM g WHERE above IS NOT NULL GROUP BY above),
+x AS (SELECT DISTINCT a.node AS top, b.node FROM n a JOIN n b ON a.conv_id = b.conv_id AND b.d >= a.d),
+u AS (SELECT top AS node, count(*) FILTER (WHERE m.node IS NULL) AS n_leaves, sum((n_convs - 1) * chars) AS saved FROM x JOIN g USING (node) LEFT JOIN m USING (node) GROUP BY top),
+e AS (SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS hash FROM (SELECT conv_id, arg_max(node, d) AS node FROM n GROUP BY conv_id) GROUP BY node)
+SELECT g.conv_id, g.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, g.n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved::BIGINT AS saved_tokens,
+    coalesce(hash, '{prefix_trie.EMPTY}') AS ends_sha256
+FROM g LEFT JOIN g p ON p.node = g.above LEFT JOIN m ON m.node = g.node JOIN u ON u.node = g.node LEFT JOIN e ON e.node = g.node"""

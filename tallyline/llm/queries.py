@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, secret_scan, sharding, spelling, tokens, toxicity, wrappers
-from tallyline.llm.oracles import LINE_DEDUP, MIXING, SHARDING, SPELLING
+from tallyline.llm import decontaminate, language, line_dedup, mixing, multi_index, ngram_join, prefix_trie, secret_scan, sharding, spelling, tokens, toxicity, wrappers
+from tallyline.llm.oracles import LINE_DEDUP, MIXING, PREFIX_TRIE, SHARDING, SPELLING
 from tallyline.llm.frames import columns_of, fold, table
 from tallyline.session import scratch_folder
 
 QUERIES: dict = {}
-ORACLES: dict[str, str] = {"op6_mixing": MIXING, "op10_line_dedup": LINE_DEDUP, "op11_sharding": SHARDING, "op12_spelling": SPELLING}
+ORACLES: dict[str, str] = {"op6_mixing": MIXING, "op10_line_dedup": LINE_DEDUP, "op11_sharding": SHARDING, "op12_spelling": SPELLING, "op13_prefix_trie": PREFIX_TRIE}
 
 
 def registered(plan):
@@ -104,3 +104,9 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with its more frequent form and the root its forms lead to."""
     return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
