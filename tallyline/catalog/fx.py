@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables, fine, m, ms, query, rounded, s
 from tallyline.catalog.views import fx_factors, given, pnl_rates, rates, transactional
-from tallyline.functions.periods import MONTH_ABBREVIATIONS, calendar_of
+from tallyline.functions.periods import DAYS_OF_A_YEAR, MONTH_ABBREVIATIONS, calendar_of
 from tallyline.plans import fx
 
 
@@ -42,8 +42,10 @@ def _(t: Tables):
     return fx.monthly_rates(business_rates(t)).withColumn("avg", F.round("avg", 12))
 
 
-@query("X4_rate_matrix", given("rates", d=DAILY, p="SELECT from_ccy, year, strftime(date, '%m-%d') AS day_label, inverse_spot_rate FROM d") + """
-    PIVOT p ON day_label USING round(sum(inverse_spot_rate), 12) + 0e0 GROUP BY from_ccy, year""")
+DAY_CELLS = ", ".join(f"""(round(sum(inverse_spot_rate) FILTER (day_label = '{d}'), 12) + 0e0) AS "{d}\"""" for d in DAYS_OF_A_YEAR)
+
+
+@query("X4_rate_matrix", given("rates", d=DAILY, p="SELECT from_ccy, year, strftime(date, '%m-%d') AS day_label, inverse_spot_rate FROM d") + f"SELECT from_ccy, year, {DAY_CELLS} FROM p GROUP BY from_ccy, year")
 def _(t: Tables):
     matrix = fx.rate_matrix(business_rates(t))
     return matrix.select("from_ccy", "year", *[F.round(F.col(f"`{c}`"), 12).alias(c) for c in matrix.columns[2:]])

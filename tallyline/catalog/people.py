@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables, m, query, rounded, s
 from tallyline.catalog.views import given, ledger
+from tallyline.functions.periods import MONTH_ABBREVIATIONS
 from tallyline.plans import people
 
 CENTERS = {"1": "first", "2": "first", "7": "second", "12": "third", "20": "third"}
@@ -33,9 +34,14 @@ def _(t: Tables):
     return heads(t)
 
 
-@query("E1_head_matrix", given(**HEADS, p="SELECT unit, strftime(date, '%b %Y') AS label FROM hd") + "PIVOT p ON label USING count(*) GROUP BY unit")
+#: The months the orders can fall in.
+MONTHS = [f"{month} {year}" for year in range(1995, 2002) for month in MONTH_ABBREVIATIONS]
+MONTH_CELLS = ", ".join(f"""count(*) FILTER (label = '{month}') AS "{month}\"""" for month in MONTHS)
+
+
+@query("E1_head_matrix", given(**HEADS, p="SELECT unit, strftime(date, '%b %Y') AS label FROM hd") + f"SELECT unit, {MONTH_CELLS}, count(*) AS all_months FROM p GROUP BY unit")
 def _(t: Tables):
-    return people.head_matrix(heads(t))
+    return people.head_matrix(heads(t), MONTHS)
 
 
 @query("E2_new_heads", given(**HEADS) + "SELECT name, ee_number, cost_center, unit, date, quarter FROM hd WHERE date = DATE '2000-08-01' AND name NOT IN (SELECT name FROM hd WHERE date <> DATE '2000-08-01')")

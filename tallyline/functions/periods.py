@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,9 @@ MONTH_NAMES = [
 ]
 MONTH_ABBREVIATIONS = [name[:3] for name in MONTH_NAMES]
 
+# '01-01' to '12-31', the 29th of February with them.
+DAYS_OF_A_YEAR = [f"{date(2000, 1, 1) + timedelta(k):%m-%d}" for k in range(366)]
+
 # Day zero of the two spreadsheet serial-date conventions.
 SPREADSHEET_ORIGIN = "1899-12-30"
 LATE_ORIGIN = "1899-12-31"

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import lacks, matches, mean_over_rows, none_of, one_of, zero
-from tallyline.functions.periods import MONTH_ABBREVIATIONS
+from tallyline.functions.periods import DAYS_OF_A_YEAR, MONTH_ABBREVIATIONS
 from tallyline.operators.columns import drop_zero_rows, rename_all
 from tallyline.operators.joins import lookup_with_fallback, missing_both_ways
-from tallyline.operators.reshape import spread, spread_found, stack_measures
+from tallyline.operators.reshape import spread, stack_measures
 from tallyline.operators.totals import add_totals
 
 
@@ -66,10 +66,10 @@ def monthly_rates(rates: DataFrame, by_year: bool = False) -> DataFrame:
     )
 
 
-def rate_matrix(rates: DataFrame) -> DataFrame:
-    """Currencies and years by the days of a year ('03-31'), all days that occur; a year has 366 columns at most."""
+def rate_matrix(rates: DataFrame, days: Sequence[str] = DAYS_OF_A_YEAR) -> DataFrame:
+    """Currencies and years by the days of a year ('03-31'). The days are given, so no job looks for them; one without a rate is empty."""
     labelled = rates.withColumn("day_label", F.date_format("date", "MM-dd"))
-    return spread_found(labelled, ["from_ccy", "year"], "day_label", "inverse_spot_rate", most=366)
+    return spread(labelled, ["from_ccy", "year"], "day_label", list(days), "inverse_spot_rate")
 
 
 def transactional_scope(
