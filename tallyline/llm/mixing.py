@@ -24,6 +24,8 @@ from tallyline.llm.frames import fresh, settled, small, total
 
 #: Entropy of the mixture as a part of the largest possible one, and how often a source may be gone over.
 ENTROPY, REPEATS = 0.95, 4.0
+#: Target of the registered query: near even, so that it binds wherever sources differ and the limit may bind as well.
+NEAR_EVEN = 0.9999
 BLOCK_TOKENS, MOST_BLOCKS = 200_000, 4_096
 #: Bisections, and how many of them one pass over the sources decides at once.
 LEVELS, AT_ONCE = 30, 6

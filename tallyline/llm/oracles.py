@@ -31,8 +31,8 @@ s AS (SELECT source, sum(n_tokens)::BIGINT AS t FROM t GROUP BY 1 HAVING sum(n_t
 p AS (SELECT source, t, t / (SELECT sum(t) FROM s)::DOUBLE AS p FROM s),
 b AS (SELECT 0 AS step, 0e0 AS low, 1e0 AS width UNION ALL
     SELECT step + 1, CASE WHEN (SELECT ln(sum(pow(p, {MIDDLE}))) - ({MIDDLE}) * sum(pow(p, {MIDDLE}) * ln(p)) / sum(pow(p, {MIDDLE})) FROM p)
-        >= ({mixing.ENTROPY} - 1e-12) * (SELECT ln(count(*)) FROM p) THEN {MIDDLE} ELSE b.low END, b.width / 2 FROM b WHERE step < {mixing.LEVELS}),
-ent AS (SELECT CASE WHEN count(*) < 2 THEN 0e0 WHEN -sum(p * ln(p)) >= ({mixing.ENTROPY} - 1e-12) * ln(count(*)) THEN 1e0 ELSE (SELECT low FROM b WHERE step = {mixing.LEVELS}) END AS a FROM p),
+        >= ({mixing.NEAR_EVEN} - 1e-12) * (SELECT ln(count(*)) FROM p) THEN {MIDDLE} ELSE b.low END, b.width / 2 FROM b WHERE step < {mixing.LEVELS}),
+ent AS (SELECT CASE WHEN count(*) < 2 THEN 0e0 WHEN -sum(p * ln(p)) >= ({mixing.NEAR_EVEN} - 1e-12) * ln(count(*)) THEN 1e0 ELSE (SELECT low FROM b WHERE step = {mixing.LEVELS}) END AS a FROM p),
 c AS (SELECT 0 AS step, 0e0 AS low, 1e0 AS width UNION ALL
     SELECT step + 1, CASE WHEN (SELECT pow(min(p), c.low + c.width / 2 - 1) / sum(pow(p, c.low + c.width / 2)) FROM p) > {mixing.REPEATS} THEN c.low + c.width / 2 ELSE c.low END, c.width / 2 FROM c WHERE step < {mixing.LEVELS}),
 x AS (SELECT CASE WHEN (SELECT 1 / (min(p) * count(*)) > {mixing.REPEATS} FROM p) THEN greatest(a, least(1e0, (SELECT low FROM c WHERE step = {mixing.LEVELS}) + pow(0.5e0, {mixing.LEVELS}))) ELSE a END AS a FROM ent),

@@ -63,7 +63,7 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its source's weight and its number of copies in the mixture."""
     docs = columns_of(table(spark, sf_dir, "documents"), doc_id="bigint", source="string", text="string")
-    mixed = mixing.mixed(docs)
+    mixed = mixing.mixed(docs, mixing.NEAR_EVEN)
     return mixed.select("doc_id", "source", "n_tokens", F.round("weight", 9).alias("weight"), "copies")
 
 

@@ -21,6 +21,11 @@ def test_query_agrees_with_sql(spark, name, scale):
     assert compare(spark, connect(folder), folder, name, QUERIES, ORACLES) is None
 
 
+def test_the_mixture_repeats_documents(spark):
+    copies = [r.copies for r in QUERIES["op6_mixing"](spark, "/root/testdata/sf0.01").collect()]
+    assert min(copies) == 1 and max(copies) > 1
+
+
 def test_names_and_numbers():
     assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
@@ -31,7 +36,9 @@ def test_every_stage_against_the_plain_one(spark, folder):
 
     from tallyline.llm.tokens import END, tokenizer_path
 
-    docs = table(spark, folder, "documents").withColumn("score", F.lit("mine"))
+    # One source holds two thirds of the documents, so that the mixture differs from the corpus.
+    source = F.when(F.col("doc_id") % 3 != 0, "src0").otherwise(F.col("source"))
+    docs = table(spark, folder, "documents").withColumns({"source": source, "score": F.lit("mine")})
     items = [r["text"] for r in pq.read_table(f"{folder}/benchmark.parquet").to_pylist()]
     model = toxicity.fit(docs, table(spark, folder, "labels"))
     for name, stage in stages.STAGES[:-1]:
