@@ -31,8 +31,9 @@ from tallyline.llm.words import pieces
 
 END = 2
 SHARD_TOKENS = 1 << 20
-#: Distinct pieces whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Distinct pieces whose ids a Python worker remembers, about 250 bytes each, and the bytes of text it encodes at once.
+REMEMBERED = 250_000
+AT_ONCE = 3 << 20
 SHARDS_SQL = "part int, shard int, n_docs bigint, n_tokens bigint, blob binary"
 READ_SQL = "part int, shard int, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -50,6 +51,12 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in visible}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
 
 
+def run_of(first: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The places of runs that begin at `first` and, laid end to end, end at `ends`."""
+    sizes = np.diff(ends, prepend=0)
+    return np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Encoder:
     """Ids of whole texts, exactly as the tokenizer gives them, from the remembered ids of their pieces.
 
@@ -76,14 +83,21 @@ class Encoder:
         # Words may skip the steps before the model only where those are known to keep them whole.
         self.direct = shape["normalizer"] is None and shape["model"]["type"] == "BPE" and steps.get("type") == "ByteLevel" and steps.get("use_regex") and not steps.get("add_prefix_space")
         self.stops = {stop: self.tokenizer.encode(stop, add_special_tokens=False).ids for stop in ".,"}
-        self.forget()
-
-    def forget(self) -> None:
-        # Pieces behind a space, without it, and pieces that begin a text.
         self.spaced: dict[str, int] = {}
         self.heads: dict[str, int] = {}
         self.starts, self.ids = array("q", [0]), array("I")
 
+    def forget(self, spaced: list[str] = (), heads: list[str] = ()) -> None:
+        """Keep only what is known of the given pieces: those behind a space, without it, and those that begin a text."""
+        kept = [[p for p in some if p in known] for some, known in ((spaced, self.spaced), (heads, self.heads))]
+        at = np.array([known[p] for some, known in zip(kept, (self.spaced, self.heads), strict=True) for p in some], np.int64)
+        starts, ids = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
+        ends = np.cumsum(starts[at + 1] - starts[at])
+        self.ids = array("I", ids[run_of(starts[at], ends)].tobytes())
+        self.starts = array("q", np.concatenate([[0], ends]).tobytes())
+        self.spaced = {p: k for k, p in enumerate(kept[0])}
+        self.heads = {p: k for k, p in enumerate(kept[1], len(kept[0]))}
+
     def places(self, pieces: list[str], spaced: bool) -> np.ndarray:
         """Where the ids of each piece are remembered."""
         known = self.spaced if spaced else self.heads
@@ -141,16 +155,15 @@ class Encoder:
         head[edges[:-1]] = True
         wanted = [np.flatnonzero(np.bincount(codes[kind], minlength=len(vocabulary))) for kind in (~head, head)]
         if len(self.spaced) + len(self.heads) + sum(map(len, wanted)) > REMEMBERED:
-            self.forget()
+            self.forget(*([vocabulary[c] for c in mine] for mine in wanted))
         at = np.zeros(len(codes), np.int64)
         for kind, spaced, mine in ((~head, True, wanted[0]), (head, False, wanted[1])):
             place = np.zeros(len(vocabulary), np.int64)
             place[mine] = self.places([vocabulary[c] for c in mine], spaced)
             at[kind] = place[codes[kind]]
         starts, ids = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32) if len(self.ids) else np.zeros(0, np.uint32)
-        first, sizes = starts[at], starts[at + 1] - starts[at]
-        ends = np.cumsum(sizes)
-        every = ids[np.repeat(first - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.cumsum(starts[at + 1] - starts[at])
+        every = ids[run_of(starts[at], ends)]
         bounds = np.concatenate([[0], ends])[edges]
         return [np.append(every[a:z], np.uint32(END)) for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
 
@@ -175,7 +188,7 @@ def sharded(batches, path: str, shard_tokens: int):
             [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([size], pa.int64()),
              pa.array([packed(np.concatenate(held), ids, starts)], pa.binary())], names=["part", "shard", "n_docs", "n_tokens", "blob"])
 
-    for batch in (piece for batch in batches for piece in pieces(batch, "text")):
+    for batch in (piece for batch in batches for piece in pieces(batch, "text", AT_ONCE)):
         for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text")), strict=True):
             ids.append(doc_id)
             held.append(tokens)
