@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables, m, query, rounded
 from tallyline.catalog.views import given
+from tallyline.operators import digests
 from tallyline.operators.totals import add_totals
 from tallyline.plans import reconcile
+from tallyline.session import scratch_folder
 
 PLAN = "SELECT p_type AS team, p_brand AS initiative, strftime(l_shipdate, '%B') AS month, CASE WHEN l_quantity > 1 THEN l_extendedprice ELSE 0 END AS value FROM lineitem JOIN part ON l_partkey = p_partkey"
 SIDES = {
@@ -59,6 +61,51 @@ def _(t: Tables):
     return rounded(reconcile.sales_vs_billing(billing, sales, excluded="99"), [*TRADE_CELLS, "delta_total"])
 
 
+@query("K2_unmatched_by_digest", given(**TRADE) + f"""
+    SELECT code, brand, {', '.join(m(f'coalesce({c}, 0)', c) for c in TRADE_CELLS)}, {m('coalesce(delta_cost, 0) + coalesce(delta_shipped, 0)', 'delta_total')}
+    FROM r WHERE round(coalesce(delta_cost, 0) + coalesce(delta_shipped, 0), 2) <> 0""")
+def _(t: Tables):
+    rows = t.orders.select(F.col("o_custkey").cast("string").alias("code"), F.col("o_orderpriority").alias("brand"), F.col("o_totalprice").alias("shipped"), "o_orderstatus")
+    billing = rows.filter(F.col("o_orderstatus") != "P").withColumn("cost", F.col("shipped") * 2)
+    sales = rows.filter(F.col("shipped") > 200000).withColumn("cost", F.col("shipped") * 3)
+    return rounded(reconcile.unmatched(billing, sales, excluded="99"), [*TRADE_CELLS, "delta_total"])
+
+
+# A copy of the ledger in which some lines were changed, some lost and some split in two.
+COPY = {
+    "a": "SELECT l_orderkey AS entry, l_suppkey AS entity, l_linenumber AS line, l_extendedprice AS amount, l_quantity AS units FROM lineitem",
+    "b": """SELECT entry, entity, line, CASE WHEN entry % 997 = 3 THEN amount + 0.01 ELSE amount END AS amount, CASE WHEN entry % 1499 = 8 THEN units - 1 ELSE units END AS units
+        FROM a WHERE NOT (entry % 1201 = 5 AND line = 1)""",
+    "sa": "SELECT entry, entity, round(sum(amount), 2) AS amount, sum(units) AS units FROM a GROUP BY 1, 2",
+    "sb": "SELECT entry, entity, round(sum(amount), 2) AS amount, sum(units) AS units FROM b GROUP BY 1, 2",
+    "d": "SELECT entry, entity, sa.amount AS amount_ledger, sb.amount AS amount_copy, sa.units AS units_ledger, sb.units AS units_copy, sa.entry IS NOT NULL AS in_ledger, sb.entry IS NOT NULL AS in_copy FROM sa FULL JOIN sb USING (entry, entity)",
+}
+COPY_SQL = "SELECT * FROM d WHERE amount_ledger IS DISTINCT FROM amount_copy OR units_ledger IS DISTINCT FROM units_copy OR in_ledger <> in_copy"
+
+
+def ledger_and_copy(t: Tables):
+    ledger = t.lineitem.select(F.col("l_orderkey").alias("entry"), F.col("l_suppkey").alias("entity"), F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("amount"), F.col("l_quantity").alias("units"))
+    entry = F.col("entry")
+    copy = ledger.filter(~((entry % 1201 == 5) & (F.col("line") == 1))).withColumns({
+        "amount": F.when(entry % 997 == 3, F.col("amount") + 0.01).otherwise(F.col("amount")), "units": F.when(entry % 1499 == 8, F.col("units") - 1).otherwise(F.col("units"))})
+    # One line in seven is booked in two halves: equal sums of unequal rows.
+    halves = copy.withColumn("share", F.explode(F.when(F.col("line") == 7, F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(1.0)))))
+    return ledger, halves.withColumns({"amount": F.col("amount") * F.col("share"), "units": F.col("units") * F.col("share")})
+
+
+@query("J4_tie_out_by_digest", given(**COPY) + COPY_SQL)
+def _(t: Tables):
+    return rounded(digests.tie_out(*ledger_and_copy(t), ["entry", "entity"], ["amount", "units"], ("ledger", "copy")), ["amount_ledger", "amount_copy"])
+
+
+@query("J4_tie_out_of_written", given(**COPY) + COPY_SQL)
+def _(t: Tables):
+    paths = [scratch_folder(t.spark, name) for name in ("ledger", "copy")]
+    for side, path in zip(ledger_and_copy(t), paths, strict=True):
+        digests.write_keyed(side, path, ["entry", "entity"], ["amount", "units"])
+    return rounded(digests.tie_out_written(t.spark, *paths, ["entry", "entity"], ["amount", "units"], ("ledger", "copy")), ["amount_ledger", "amount_copy"])
+
+
 @query("K3_wide_compress", f"""
     SELECT l_returnflag, l_linestatus, p_type, p_brand, {m('sum(l_quantity)', 'l_quantity')}, {m('sum(l_extendedprice)', 'l_extendedprice')}, {m('sum(l_discount)', 'l_discount')}, {m('sum(l_tax)', 'l_tax')},
       {m('sum(p_retailprice)', 'p_retailprice')}, sum(p_size)::BIGINT AS p_size FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2, 3, 4""")

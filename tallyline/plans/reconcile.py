@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import half_even, lacks, matches, to_number
 from tallyline.functions.text import pad_code, piece
+from tallyline.operators.digests import tie_out
 from tallyline.operators.joins import containing_any, join_named, join_null_safe, keep_members, membership
 from tallyline.operators.reshape import union_all
 from tallyline.operators.totals import sum_numeric
@@ -63,6 +64,21 @@ def sales_vs_billing(billing: DataFrame, sales: DataFrame, excluded: str | None
     return filled.withColumn("delta_total", total).withColumn("matched", (total == 0).cast("int"))
 
 
+def unmatched(billing: DataFrame, sales: DataFrame, excluded: str | None = None) -> DataFrame:
+    """The codes and brands of sales_vs_billing that don't match, with their deltas.
+
+    Codes are bucketed, and only buckets whose digests differ are shuffled and compared: where most codes agree, most
+    rows stay where they are.
+    """
+    kept = [df.filter(lacks("code", excluded)) if excluded else df for df in (billing, sales)]
+    sums = tie_out(*kept, ["code", "brand"], ["shipped", "cost"], ("bills", "sales"), by=["code"], all_of_bucket=True)
+    common = sums.groupBy("code").agg(F.max("in_bills").alias("billed"), F.max("in_sales").alias("sold")).filter("billed AND sold").select("code")
+    wide = join_null_safe(sums.drop("in_bills", "in_sales"), common, ["code"], "left_semi")
+    deltas = wide.withColumn("delta_shipped", F.col("shipped_bills") - F.col("shipped_sales")).withColumn("delta_cost", F.col("cost_bills") - F.col("cost_sales"))
+    total = deltas.fillna(0.0).withColumn("delta_total", F.round(F.col("delta_cost") + F.col("delta_shipped"), 2))
+    return total.filter(F.col("delta_total") != 0)
+
+
 def rejected(postings: DataFrame, column: str, amounts: str = "amount") -> DataFrame:
     """Postings rejected because of one column, with account as text and amount as number."""
     typed = postings.withColumn("account", F.col("account").cast("string")).withColumn(amounts, to_number(F.col(amounts).cast("string")))
