@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import Tables, fine, query, rounded, s
 from tallyline.catalog.views import ACCOUNTS, given, pl
-from tallyline.plans import pnl
+from tallyline.plans import cube_log, pnl
+from tallyline.session import scratch_folder
 
 SC = ["actual", "forecast", "budget", "py", "ppy"]
 BASE = {"actual": "py", "forecast": "py", "budget": "py", "py": "ppy", "ppy": "pppy"}
@@ -92,6 +93,24 @@ def _(t: Tables):
     return four(pnl.newest_statement(pl(t, pnl.months_needed(newest)), newest), VALUES)
 
 
+def refreshed(t: Tables) -> str:
+    """A cube of four refreshes: old months, lines posted late for one of them (wrong at first, then written again), new months."""
+    path = scratch_folder(t.spark, "cube")
+    lines = pl(t).withColumn("late", (F.col("ref_date") == "1996-05-01") & (F.col("channel") == "BUILDING"))
+    old, late = F.col("ref_date") < "1998-01-01", F.col("late")
+    cube_log.create(t.spark, path)
+    cube_log.append(lines.filter(old & ~late), path, "old months")
+    cube_log.append(lines.filter(late).withColumn("result", F.col("result") * 2), path, "late lines")
+    cube_log.append(lines.filter(~old), path, "new months")
+    cube_log.append(lines.filter(late), path, "late lines")
+    return path
+
+
+@query("L5_statement_by_deltas", given("pl", **STEPS) + STATEMENT)
+def _(t: Tables):
+    return four(cube_log.statement(t.spark, refreshed(t)), VALUES)
+
+
 @query("L6_next_month_rows", given("pl") + """
     SELECT region, channel, product, account, scenario, (ref_date + INTERVAL 1 MONTH)::DATE AS ref_date, 'Q' || quarter(ref_date + INTERVAL 1 MONTH) AS quarter, year(ref_date + INTERVAL 1 MONTH)::INT AS observation,
       month(ref_date + INTERVAL 1 MONTH)::INT AS month, strftime(ref_date + INTERVAL 1 MONTH, '%B') AS period, 'FY' || strftime(ref_date + INTERVAL 1 MONTH, '%y') AS years

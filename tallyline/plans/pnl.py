@@ -133,12 +133,17 @@ def present(report: DataFrame) -> DataFrame:
     return report.withColumn("indicative", rank_of("account", LINE_ORDER)).withColumn("account", relabel("account", DISPLAY))
 
 
+def labelled(variance_lines: DataFrame) -> DataFrame:
+    """Variances in their report names, with rank and the labels of their period."""
+    report = present(variance_lines)
+    labels = [F.year("ref_date").alias("observation"), month_name(F.month("ref_date")).alias("period"), quarter_label("ref_date").alias("quarter")]
+    return report.select(*labels, *report.columns)
+
+
 def statement(pl: DataFrame, dims: Sequence[str] = DIMS, accounts: Accounts = Accounts(), ordered: bool = False) -> DataFrame:
     """The whole book: every date and combination of dimensions in one job; report order on request."""
-    report = present(variances(report_lines(post(pl, dims), dims, accounts), dims))
-    labels = [F.year("ref_date").alias("observation"), month_name(F.month("ref_date")).alias("period"), quarter_label("ref_date").alias("quarter")]
-    labelled = report.select(*labels, *report.columns)
-    return labelled.orderBy("ref_date", "indicative", *dims) if ordered else labelled
+    report = labelled(variances(report_lines(post(pl, dims), dims, accounts), dims))
+    return report.orderBy("ref_date", "indicative", *dims) if ordered else report
 
 
 def months_needed(newest: date) -> list[date]:
