@@ -111,6 +111,17 @@ def _(t: Tables):
     return rounded(reshape.spread(t.orders, ["o_custkey"], "o_orderstatus", ["F", "O", "P"], "o_totalprice"), ["F", "O", "P"])
 
 
+# As many columns as there are orders.
+@query("A12_column_blocks", f"""
+    WITH c AS (SELECT o_orderpriority, 'order ' || lpad(o_orderkey::VARCHAR, 12, '0') AS name, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2),
+    n AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS i FROM (SELECT DISTINCT name FROM c))
+    SELECT o_orderpriority, i // {reshape.BLOCK_NAMES} AS block, (i % {reshape.BLOCK_NAMES})::INT AS position, name, {m('value', 'value')} FROM c JOIN n USING (name)""")
+def _(t: Tables):
+    long = t.orders.select("o_orderpriority", F.concat(F.lit("order "), F.lpad(F.col("o_orderkey").cast("string"), 12, "0")).alias("label"), "o_totalprice")
+    blocks = reshape.spread_blocks(long, ["o_orderpriority"], "label", "o_totalprice")
+    return rounded(reshape.block_cells(blocks, ["o_orderpriority"], "value"), ["value"])
+
+
 @query("A13_several_measures_wide", "SELECT l_linenumber, " + ", ".join(
     f"""(round(sum(CASE WHEN l_returnflag = '{f}' THEN {c} END), 2) + 0e0) AS "{c}_{f}" """ for f in "ANR" for c in ("l_quantity", "l_extendedprice", "l_tax")) + " FROM lineitem GROUP BY 1")
 def _(t: Tables):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallyline.catalog.registry import Tables, fine, m, ms, query, rounded, s
 from tallyline.catalog.views import fx_factors, given, pnl_rates, rates, transactional
 from tallyline.functions.periods import DAYS_OF_A_YEAR, MONTH_ABBREVIATIONS, calendar_of
+from tallyline.operators import reshape
 from tallyline.plans import fx
 
 
@@ -51,6 +52,18 @@ def _(t: Tables):
     return matrix.select("from_ccy", "year", *[F.round(F.col(f"`{c}`"), 12).alias(c) for c in matrix.columns[2:]])
 
 
+WATCHED = ["1996-02-29", "1997-07-04", "1999-12-31", "1997-07-05"]
+
+
+@query("X4_rate_blocks", given("rates", d=DAILY) + "SELECT from_ccy, " + ", ".join(
+    f"""{s(f"sum(inverse_spot_rate) FILTER (date = DATE '{day}')", f'"{day}"', 12)}""" for day in WATCHED) + " FROM d WHERE date IN (" + ", ".join(f"DATE '{day}'" for day in WATCHED) + ") GROUP BY from_ccy")
+def _(t: Tables):
+    """Some days out of the matrix of currencies by all days that occur."""
+    daily = business_rates(t).withColumn("label", F.col("date").cast("string"))
+    picked = reshape.block_columns(reshape.spread_blocks(daily, ["from_ccy"], "label", "inverse_spot_rate"), ["from_ccy"], WATCHED)
+    return picked.select("from_ccy", *[F.round(F.col(f"`{day}`"), 12).alias(day) for day in WATCHED])
+
+
 KEYS = ["entity", "business", "region", "market", "lc"]
 NO_REGIONS = ["ASIA", "MIDDLE"]
 AVERAGE_COST = ["NATION_1", "NATION_7", "NATION_23"]

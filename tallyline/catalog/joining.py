@@ -112,6 +112,14 @@ def _(t: Tables):
     return joins.containing_any(t.pages.select("page_id", "url"), "url", codes, "code")
 
 
+# Codes that all begin alike: English pages numbered like customers.
+@query("J10_codes_that_begin_alike", """
+    SELECT page_id, url FROM pages p WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT '/en/' || (c_custkey * 3) AS code FROM customer) c WHERE contains(p.url, c.code))""")
+def _(t: Tables):
+    codes = t.customer.select(F.concat(F.lit("/en/"), (F.col("c_custkey") * 3).cast("string")).alias("code"))
+    return joins.containing_any_indexed(t.pages.select("page_id", "url"), "url", codes, "code")
+
+
 @query("J11_business_days_only", given("daily") + f"""
     SELECT day, 'd' || dayofyear(day) AS day_code, strftime(day, '%b') AS month, 'Q' || quarter(day) AS quarter, {m('sum(value)', 'value')}
     FROM daily WHERE isodow(day) <= 5 GROUP BY 1""")

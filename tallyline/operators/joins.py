@@ -123,6 +123,44 @@ def containing_any(df: DataFrame, text: str, codes: DataFrame, code: str) -> Dat
     return df.join(hits, F.col(text) == F.col("__text"), "left_semi")
 
 
+# Buckets in which the grams of all texts are counted, and bits of the map of grams that are looked for.
+COUNTED_BUCKETS, MAP_BITS = 1 << 16, 1 << 20
+
+
+def containing_any_indexed(df: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
+    """Rows whose text contains at least one of the codes, for many codes or codes that begin alike.
+
+    Every code is filed under the one of its q-grams (q: length of the shortest code) that is rarest in the texts, as
+    counted in hashed buckets. Of a text's grams only those whose bit is set in a map of the grams on file are shuffled;
+    what they are the rarest gram of is looked for in the text. Buckets and map have a fixed size: they decide how much
+    is looked at, never what is found.
+    """
+    wanted = codes.select(F.col(code).alias("__code")).filter(F.length("__code") > 0).distinct()
+    shortest = wanted.agg(F.min(F.length("__code")).alias("n")).scalar()
+    texts = df.select(F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).distinct()
+
+    def cut(table: DataFrame, column: str) -> DataFrame:
+        return table.withColumn("__n", F.explode(F.array(shortest))).withColumn("__part", F.explode(grams(column, F.col("__n")))).drop("__n")
+
+    def bucket(buckets: int) -> Column:
+        return F.pmod(F.xxhash64("__part"), F.lit(buckets))
+
+    counted = cut(texts, "__text").groupBy(bucket(COUNTED_BUCKETS).alias("__in")).agg(F.count(F.lit(1)).alias("__times"))
+    weighed = cut(wanted, "__code").join(counted, bucket(COUNTED_BUCKETS) == F.col("__in"), "left")
+    # A gram of no text: its code is in none.
+    rarest = F.min(F.struct(F.coalesce("__times", F.lit(0)).alias("times"), F.col("__part").alias("part")))
+    filed = weighed.groupBy("__code").agg(rarest.alias("__r")).filter("__r.times > 0").select("__code", F.col("__r.part").alias("__filed"))
+    # 64 bits to a word; all words are there, so that a word stands at its own place.
+    spot = F.pmod(F.xxhash64("__filed"), F.lit(MAP_BITS))
+    none = df.sparkSession.range(MAP_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = none.unionByName(filed.select(F.floor(spot / 64).alias("word"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(__filed), {MAP_BITS}) % 64 AS INT))").alias("bits")))
+    bits = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("m")).scalar()
+    at = bucket(MAP_BITS)
+    on_file = F.get(bits, F.floor(at / 64).cast("int")).bitwiseAND(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(__part), {MAP_BITS}) % 64 AS INT))")) != 0
+    hits = cut(texts, "__text").filter(on_file).join(filed, F.col("__part") == F.col("__filed")).filter(F.contains("__text", "__code")).select("__text").distinct()
+    return df.join(hits, F.col(text) == F.col("__text"), "left_semi")
+
+
 def layout(lines: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Let an ordered list of report lines drive the output; lines without data stay with NULLs."""
     return lines.join(summary, list(keys), "left")

@@ -4,17 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions.nulls import as_col, strict_sum_where
+from tallyline.operators.windows import row_index
+from tallyline.session import written
 
 # Up to this many output cells a spread runs as conditional sums straight on the rows: one shuffle.
 # Beyond it the rows are summed per (ids, name) first, since every row would otherwise visit every cell.
 DIRECT_CELLS = 24
 # Beyond this many cells the conditional form generates too much code and Spark's pivot is used.
 CONDITIONAL_CELLS = 120
+# Columns of a block where there are too many names for one wide table.
+BLOCK_NAMES = 256
 
 
 def label_for(value) -> str:
@@ -79,6 +84,50 @@ def spread_found(
     return spread(df, ids, names_from, sorted(found), measures, **options)
 
 
+class Blocks(NamedTuple):
+    """A matrix of any width. cells: ids, block, values (one place for each name of the block). manifest: block, position, name."""
+
+    cells: DataFrame
+    manifest: DataFrame
+
+
+def spread_blocks(df: DataFrame, ids: Sequence[str], names_from: str, measure: str, size: int = BLOCK_NAMES) -> Blocks:
+    """Long to wide with sums for as many names as the data hold: blocks of `size` columns instead of one table of all.
+
+    Names are numbered in their order by a parallel sort, and no name or number of names passes the driver. A row of the
+    result is as wide as a block whatever the table; a block in which an id has no cell has no row. Rows without a name
+    have no column and are left out.
+    """
+    summed = written(df.filter(F.col(names_from).isNotNull()).groupBy(*ids, names_from).agg(F.sum(measure).alias(measure)), "cells")
+    numbered = row_index(summed.select(F.col(names_from).alias("name")).distinct(), ["name"], "__index", start=0)
+    index = F.col("__index")
+    manifest = written(numbered.select(F.floor(index / size).alias("block"), (index % size).cast("int").alias("position"), "name"), "manifest")
+    placed = summed.join(manifest, F.col(names_from) == F.col("name")).select(*ids, "block", "position", measure)
+    wide = spread(placed, [*ids, "block"], "position", list(range(size)), measure)
+    return Blocks(wide.select(*ids, "block", F.array(*[F.col(str(k)) for k in range(size)]).alias("values")), manifest)
+
+
+def block_columns(blocks: Blocks, ids: Sequence[str], names: Sequence) -> DataFrame:
+    """Some named columns of a matrix as a wide table; only their blocks are looked at. An id without any of them has no row."""
+    found = {r["name"]: (r["block"], r["position"]) for r in blocks.manifest.filter(F.col("name").isin(list(names))).collect()}
+    kept = blocks.cells.filter(F.col("block").isin(sorted({b for b, _ in found.values()})))
+    kind = blocks.cells.schema["values"].dataType.elementType
+
+    def cell(name) -> Column:
+        block, position = found.get(name, (-1, 0))
+        return F.max(F.when(F.col("block") == block, F.get("values", F.lit(position)))).cast(kind).alias(label_for(name))
+
+    cells = [cell(n) for n in names]
+    held = F.coalesce(*[F.col(f"`{label_for(n)}`").cast("string") for n in names]).isNotNull()
+    return kept.groupBy(*ids).agg(*cells).filter(held)
+
+
+def block_cells(blocks: Blocks, ids: Sequence[str], value: str) -> DataFrame:
+    """Blocks back to long: ids, block, position, name and value of every cell that isn't missing."""
+    long = blocks.cells.select(*ids, "block", F.posexplode("values").alias("position", value)).filter(F.col(value).isNotNull())
+    return long.join(blocks.manifest, ["block", "position"])
+
+
 def gather(df: DataFrame, ids: Sequence[str], names_to: str, values_to: str, columns: Iterable[str] | None = None) -> DataFrame:
     """Wide to long; NULL cells are kept."""
     cells = list(columns) if columns is not None else [c for c in df.columns if c not in set(ids)]

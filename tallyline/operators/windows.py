@@ -50,11 +50,13 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 def latest_per_group(df: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
     """All rows of the newest date per key, ties included; rows without date never.
 
-    Every task keeps only the rows of its own newest date per key before the shuffle, so a hot key is small by then.
+    Two phases and no sort: the newest date of each key, a maximum in every task before the shuffle, then the rows equal
+    to it. Where the newest dates are too many to be sent to all tasks, rows are dealt by key and date, so a hot key is
+    spread over its dates. Missing keys are keys like any other.
     """
-    window = Window.partitionBy(*keys).orderBy(F.col(date).desc())
-    ranked = df.filter(F.col(date).isNotNull()).withColumn("__rank", F.rank().over(window))
-    return ranked.filter(F.col("__rank") <= 1).drop("__rank")
+    newest = df.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.max(date).alias("__newest")).filter(F.col("__newest").isNotNull())
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return df.join(newest, [*same, F.col(date) == F.col("__newest")], "left_semi")
 
 
 def latest_rows(df: DataFrame, date: str) -> DataFrame:
