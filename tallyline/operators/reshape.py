@@ -98,11 +98,12 @@ def spread_blocks(df: DataFrame, ids: Sequence[str], names_from: str, measure: s
     result is as wide as a block whatever the table; a block in which an id has no cell has no row. Rows without a name
     have no column and are left out.
     """
-    summed = written(df.filter(F.col(names_from).isNotNull()).groupBy(*ids, names_from).agg(F.sum(measure).alias(measure)), "cells")
-    numbered = row_index(summed.select(F.col(names_from).alias("name")).distinct(), ["name"], "__index", start=0)
+    label = F.col(names_from).alias("__label")
+    summed = written(df.filter(F.col(names_from).isNotNull()).groupBy(*ids, label).agg(F.sum(measure).alias(measure)), "cells")
+    numbered = row_index(summed.select(F.col("__label").alias("name")).distinct(), ["name"], "__index", start=0)
     index = F.col("__index")
     manifest = written(numbered.select(F.floor(index / size).alias("block"), (index % size).cast("int").alias("position"), "name"), "manifest")
-    placed = summed.join(manifest, F.col(names_from) == F.col("name")).select(*ids, "block", "position", measure)
+    placed = summed.join(manifest, F.col("__label") == F.col("name")).select(*ids, "block", "position", measure)
     wide = spread(placed, [*ids, "block"], "position", list(range(size)), measure)
     return Blocks(wide.select(*ids, "block", F.array(*[F.col(str(k)) for k in range(size)]).alias("values")), manifest)
 
