@@ -31,9 +31,8 @@ from tallyline.llm.words import pieces
 
 END = 2
 SHARD_TOKENS = 1 << 20
-#: Distinct pieces whose ids a Python worker remembers, about 250 bytes each, and the bytes of text it encodes at once.
-REMEMBERED = 250_000
-AT_ONCE = 3 << 20
+#: Distinct pieces whose ids a Python worker remembers, about 250 bytes each.
+REMEMBERED = 500_000
 SHARDS_SQL = "part int, shard int, n_docs bigint, n_tokens bigint, blob binary"
 READ_SQL = "part int, shard int, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -188,7 +187,7 @@ def sharded(batches, path: str, shard_tokens: int):
             [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([size], pa.int64()),
              pa.array([packed(np.concatenate(held), ids, starts)], pa.binary())], names=["part", "shard", "n_docs", "n_tokens", "blob"])
 
-    for batch in (piece for batch in batches for piece in pieces(batch, "text", AT_ONCE)):
+    for batch in (piece for batch in batches for piece in pieces(batch, "text")):
         for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text")), strict=True):
             ids.append(doc_id)
             held.append(tokens)
