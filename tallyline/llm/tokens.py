@@ -10,17 +10,18 @@ rows that repeat an id are kept, ordered by text. An empty table gives no shard.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import os
 import re
 import sys
 import types
 import zlib
-from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,8 +32,11 @@ from tallyline.llm.words import pieces
 
 END = 2
 SHARD_TOKENS = 1 << 20
-#: Distinct pieces whose ids a Python worker remembers, about 250 bytes each.
-REMEMBERED = 500_000
+#: Distinct pieces whose ids a Python worker remembers, about 50 bytes each, for as long as it lives: an executor keeps
+#: more workers than it has cores, and each of them remembers.
+REMEMBERED = 1_000_000
+#: Bytes of text encoded at once.
+AT_ONCE = 3 << 20
 SHARDS_SQL = "part int, shard int, n_docs bigint, n_tokens bigint, blob binary"
 READ_SQL = "part int, shard int, doc_id bigint, local bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -82,56 +86,76 @@ class Encoder:
         # Words may skip the steps before the model only where those are known to keep them whole.
         self.direct = shape["normalizer"] is None and shape["model"]["type"] == "BPE" and steps.get("type") == "ByteLevel" and steps.get("use_regex") and not steps.get("add_prefix_space")
         self.stops = {stop: self.tokenizer.encode(stop, add_special_tokens=False).ids for stop in ".,"}
-        self.spaced: dict[str, int] = {}
-        self.heads: dict[str, int] = {}
-        self.starts, self.ids = array("q", [0]), array("I")
-
-    def forget(self, spaced: list[str] = (), heads: list[str] = ()) -> None:
-        """Keep only what is known of the given pieces: those behind a space, without it, and those that begin a text."""
-        kept = [[p for p in some if p in known] for some, known in ((spaced, self.spaced), (heads, self.heads))]
-        at = np.array([known[p] for some, known in zip(kept, (self.spaced, self.heads), strict=True) for p in some], np.int64)
-        starts, ids = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32)
-        ends = np.cumsum(starts[at + 1] - starts[at])
-        self.ids = array("I", ids[run_of(starts[at], ends)].tobytes())
-        self.starts = array("q", np.concatenate([[0], ends]).tobytes())
-        self.spaced = {p: k for k, p in enumerate(kept[0])}
-        self.heads = {p: k for k, p in enumerate(kept[1], len(kept[0]))}
-
-    def places(self, pieces: list[str], spaced: bool) -> np.ndarray:
-        """Where the ids of each piece are remembered."""
-        known = self.spaced if spaced else self.heads
-        starts, ids, tokenize, fullmatch = self.starts, self.ids, self.model.tokenize, self.WORD.fullmatch
+        # Remembered pieces: their digests in two halves, ordered by the first, and where the ids of each begin and end.
+        self.low = self.high = np.zeros(0, np.uint64)
+        self.first = self.last = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def remembered(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Where each digest is remembered; -1 for those that aren't."""
+        if not len(self.low):
+            return np.full(len(low), -1)
+        at = np.minimum(np.searchsorted(self.low, low), len(self.low) - 1)
+        return np.where((self.low[at] == low) & (self.high[at] == high), at, -1)
+
+    def learn(self, low: np.ndarray, high: np.ndarray, ends: np.ndarray, ids: np.ndarray, wanted: np.ndarray) -> None:
+        """Remember new pieces; where that would be too many, only those asked for now (places in `wanted`) stay of the others."""
+        if len(self.low) + len(low) > REMEMBERED:
+            kept = np.unique(wanted[wanted >= 0])
+            sizes = np.cumsum(self.last[kept] - self.first[kept])
+            self.ids = self.ids[run_of(self.first[kept], sizes)]
+            self.low, self.high, self.first, self.last = self.low[kept], self.high[kept], np.append(0, sizes[:-1])[: len(kept)], sizes
+        begins = np.append(0, ends[:-1])[: len(ends)] + len(self.ids)
+        order = np.argsort(np.concatenate([self.low, low]), kind="stable")
+        self.low, self.high, self.first, self.last = (
+            np.concatenate(pair)[order] for pair in ((self.low, low), (self.high, high), (self.first, begins), (self.last, ends + len(self.ids))))
+        self.ids = np.concatenate([self.ids, ids])
+
+    def tokenized(self, pieces: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces in a row, and where those of each end; `spaced` pieces have a space before them."""
+        tokenize, fullmatch = self.model.tokenize, self.WORD.fullmatch
+        found: list = [None] * len(pieces)
+        bases: dict[str, list[int]] = {}
         rest = []
-        for piece in pieces:
-            if piece in known:
-                continue
+        for k, piece in enumerate(pieces):
             word = fullmatch(piece) if self.direct else None
             if word is None:
-                rest.append(piece)
+                rest.append(k)
                 continue
             stop = word[1]
             base = piece[:-1] if stop else piece
-            at = known.get(base)
-            if at is None:
+            ids = bases.get(base)
+            if ids is None:
                 form = base if base.isascii() else base.encode().decode("latin1").translate(self.letters)
-                found = [t.id for t in tokenize("Ġ" + form if spaced else form)]
-                known[base] = len(starts) - 1
-                ids.extend(found)
-                starts.append(len(ids))
-            else:
-                found = ids[starts[at] : starts[at + 1]]
-            if stop:
-                known[piece] = len(starts) - 1
-                ids.extend(found)
-                ids.extend(self.stops[stop])
-                starts.append(len(ids))
-        for first in range(0, len(rest), 10_000):
-            some = rest[first : first + 10_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch([" " + p for p in some] if spaced else some, add_special_tokens=False), strict=True):
-                known[piece] = len(starts) - 1
-                ids.extend(found.ids)
-                starts.append(len(ids))
-        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+                bases[base] = ids = [t.id for t in tokenize("Ġ" + form if spaced else form)]
+            found[k] = ids + self.stops[stop] if stop else ids
+        for at in range(0, len(rest), 10_000):
+            some = rest[at : at + 10_000]
+            texts = [" " + pieces[k] if spaced else pieces[k] for k in some]
+            for k, encoding in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+                found[k] = encoding.ids
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        return ends, np.fromiter((x for ids in found for x in ids), np.uint32, int(ends[-1]) if len(ends) else 0)
+
+    def ids_of(self, pieces: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces in a row, and where those of each end, as far as possible from memory."""
+        lead = " " if spaced else ""
+        digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(lead + p) for p in pieces]), np.uint64).reshape(-1, 2)
+        low, high = digests[:, 0].copy(), digests[:, 1].copy()
+        at = self.remembered(low, high)
+        new = np.flatnonzero(at < 0)
+        ends, ids = self.tokenized([pieces[k] for k in new], spaced)
+        # All ids in one row, those from memory before the new ones; then in the order of the pieces.
+        old = np.flatnonzero(at >= 0)
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[old], sizes[new] = self.last[at[old]] - self.first[at[old]], np.diff(ends, prepend=0)
+        known = self.ids[run_of(self.first[at[old]], np.cumsum(sizes[old]))]
+        begins = np.zeros(len(pieces), np.int64)
+        begins[old], begins[new] = np.cumsum(sizes[old]) - sizes[old], len(known) + ends - sizes[new]
+        if len(new):
+            self.learn(low[new], high[new], ends, ids, at)
+        out = np.cumsum(sizes)
+        return out, np.concatenate([known, ids])[run_of(begins, out)]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of every text, each with the end token."""
@@ -152,17 +176,19 @@ class Encoder:
         head = breaks.copy()
         head[1:] |= breaks[:-1]
         head[edges[:-1]] = True
-        wanted = [np.flatnonzero(np.bincount(codes[kind], minlength=len(vocabulary))) for kind in (~head, head)]
-        if len(self.spaced) + len(self.heads) + sum(map(len, wanted)) > REMEMBERED:
-            self.forget(*([vocabulary[c] for c in mine] for mine in wanted))
-        at = np.zeros(len(codes), np.int64)
-        for kind, spaced, mine in ((~head, True, wanted[0]), (head, False, wanted[1])):
+        first, sizes, ids = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64), []
+        before = 0
+        for kind, spaced in ((~head, True), (head, False)):
+            mine = np.flatnonzero(np.bincount(codes[kind], minlength=len(vocabulary)))
+            last, found = self.ids_of([vocabulary[c] for c in mine], spaced)
             place = np.zeros(len(vocabulary), np.int64)
-            place[mine] = self.places([vocabulary[c] for c in mine], spaced)
-            at[kind] = place[codes[kind]]
-        starts, ids = np.frombuffer(self.starts, np.int64), np.frombuffer(self.ids, np.uint32) if len(self.ids) else np.zeros(0, np.uint32)
-        ends = np.cumsum(starts[at + 1] - starts[at])
-        every = ids[run_of(starts[at], ends)]
+            place[mine] = np.arange(len(mine))
+            spot, length = place[codes[kind]], np.diff(last, prepend=0)
+            first[kind], sizes[kind] = (last - length)[spot] + before, length[spot]
+            ids.append(found)
+            before += len(found)
+        ends = np.cumsum(sizes)
+        every = np.concatenate(ids)[run_of(first, ends)]
         bounds = np.concatenate([[0], ends])[edges]
         return [np.append(every[a:z], np.uint32(END)) for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
 
@@ -176,6 +202,14 @@ def encoder(path: str) -> Encoder:
     return known[path]
 
 
+def given_back() -> None:
+    """Return what a task has freed to the system: the worker stays, idle, beside those that work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sharded(batches, path: str, shard_tokens: int):
     """The shards of one range of documents, which come in order."""
     coder, part, shard = encoder(path), TaskContext.get().partitionId(), 0
@@ -187,7 +221,7 @@ def sharded(batches, path: str, shard_tokens: int):
             [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([size], pa.int64()),
              pa.array([packed(np.concatenate(held), ids, starts)], pa.binary())], names=["part", "shard", "n_docs", "n_tokens", "blob"])
 
-    for batch in (piece for batch in batches for piece in pieces(batch, "text")):
+    for batch in (piece for batch in batches for piece in pieces(batch, "text", AT_ONCE)):
         for doc_id, tokens in zip(batch.column("doc_id").to_pylist(), coder.encode(batch.column("text")), strict=True):
             ids.append(doc_id)
             held.append(tokens)
@@ -197,6 +231,8 @@ def sharded(batches, path: str, shard_tokens: int):
                 shard, ids, held, size = shard + 1, [], [], 0
     if ids:
         yield blob()
+    ids, held = [], []
+    given_back()
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS) -> None:
@@ -211,7 +247,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens
 
 def decoded(batches):
     """One row for each document of the shards."""
-    for batch in batches:
+    for batch in (whole.slice(k, 1) for whole in batches for k in range(whole.num_rows)):
         for part, shard, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "shard", "blob")), strict=True):
             matrix = WaveletMatrix(blob)
             tokens = matrix.tokens().astype("<u4")
@@ -221,6 +257,8 @@ def decoded(batches):
                 [pa.array([part] * n, pa.int32()), pa.array([shard] * n, pa.int32()), pa.array(matrix.doc_ids, pa.int64()),
                  pa.array(matrix.starts[:-1]), pa.array(np.diff(matrix.starts)), pa.array(sums, pa.int64())],
                 names=["part", "shard", "doc_id", "local", "n_tokens", "ids_crc32"])
+            del blob, matrix, tokens, sums
+    given_back()
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
