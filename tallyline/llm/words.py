@@ -57,19 +57,55 @@ def powers(base: int, count: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+#: Characters of two and three UTF-8 bytes that are white space, dashes that part words, and punctuation.
+BLANKS = "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+DASHES = "\u2012\u2013\u2014\u2015"
+MARKS = (
+    "".join(c for c in map(chr, range(0xA1, 0xC0)) if not c.isalnum())
+    + "".join(c for c in map(chr, [*range(0x200B, 0x2060), *range(0x3001, 0x3021), 0xFEFF]) if c not in BLANKS + DASHES and not c.isalnum()))
+
+
+def _codes(characters: str) -> dict[int, np.ndarray]:
+    """By number of bytes: the sorted UTF-8 codes of the characters as numbers."""
+    by: dict[int, list[int]] = {}
+    for c in characters:
+        by.setdefault(len(c.encode()), []).append(int.from_bytes(c.encode(), "big"))
+    return {size: np.array(sorted(codes), np.uint32) for size, codes in by.items()}
+
+
+def ascii_parted(data: np.ndarray, plain: bool) -> np.ndarray:
+    """UTF-8 bytes in which white space beyond ASCII is written as spaces; with `plain` dashes too, and punctuation as '!'. Lengths stay."""
+    out = data
+    for characters, code in ((BLANKS, 32), *(((DASHES, 32), (MARKS, 33)) if plain else ())):
+        for size, wanted in _codes(characters).items():
+            leads = np.unique((wanted >> np.uint32(8 * (size - 1))).astype(np.uint8))
+            spots = np.flatnonzero(np.isin(data[: len(data) - size + 1], leads)) if len(data) >= size else np.zeros(0, np.int64)
+            value = np.zeros(len(spots), np.uint32)
+            for k in range(size):
+                value = value << np.uint32(8) | data[spots + k]
+            spots = spots[np.isin(value, wanted)]
+            if len(spots):
+                out = data.copy() if out is data else out
+                for k in range(size):
+                    out[spots + k] = code
+    return out
+
+
 def hashed_words(texts: pa.Array, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """The hash of every word of every text, and where each text's words begin; only ASCII white space parts words.
+    """The hash of every word of every text, and where each text's words begin; white space of any script parts words.
 
-    `plain` also drops all ASCII characters but letters and digits, and words of which nothing stays. A missing text
-    has no word. A word's hash is a polynomial in its bytes, taken from running sums over the whole batch.
+    `plain` also drops all ASCII characters but letters and digits, and punctuation beyond ASCII, lets long dashes part
+    words, and drops words of which nothing stays. A missing text has no word. A word's hash is a polynomial in its
+    bytes, taken from running sums over the whole batch.
     """
     texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     _, offsets, data = texts.buffers()
     offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
     offsets = offsets - offsets[0]
+    data = ascii_parted(data, plain)
     code = np.arange(256)
-    blank = (code == 32) | ((code >= 9) & (code <= 13))
+    blank = (code == 32) | ((code >= 9) & (code <= 13)) | ((code >= 28) & (code <= 31))
     if plain:
         letter = (code >= 128) | ((code >= 97) & (code <= 122)) | ((code >= 48) & (code <= 57))
         kept = (letter | blank)[data]
