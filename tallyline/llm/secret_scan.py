@@ -19,10 +19,10 @@ import re
 from bisect import bisect_left
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.frames import bounded_sample, class_sizes, columns_of, settled
+from tallyline.llm.frames import columns_of
 from tallyline.llm.words import pieces
 
 KINDS = ("assign", "access", "hex", "format")
@@ -166,46 +166,58 @@ def _spans(rows) -> pa.Array:
     return pa.array([[dict(zip(("kind", "first", "last", "value"), s, strict=True)) for s in row] for row in rows], SPAN)
 
 
-def located(text: Column) -> Column:
+def found_spans(text: str | None) -> list[tuple[int, int, int, str]]:
     """Base spans and candidates of a text."""
+    base = base_spans(text or "")
+    return base + candidates(text or "", base)
 
-    @F.arrow_udf(SPANS_SQL)
-    def locate(texts: pa.Array) -> pa.Array:
-        out = [pa.array([], SPAN)]
+
+def labelled(texts: DataFrame, values_per_kind: int = VALUES_PER_KIND) -> list[tuple[int, str]]:
+    """(kind, value) of distinct labelled credentials in `text`: of each kind those whose hashes are lowest.
+
+    Values are hashed, cut and counted in the tasks and never written as a table.
+    """
+
+    @F.arrow_udf("array<struct<kind:int,value:string>>")
+    def values(texts: pa.Array) -> pa.Array:
+        kind = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))
+        out = [pa.array([], kind)]
         for piece in pieces(texts):
-            found = []
-            for text in piece.to_pylist():
-                base = base_spans(text or "")
-                found.append(base + candidates(text or "", base))
-            out.append(_spans(found))
+            out.append(pa.array([[{"kind": k, "value": v} for k, v in sorted({(k, v) for k, _, _, v in base_spans(t or "") if len(v) <= LONGEST})] for t in piece.to_pylist()], kind))
         return pa.concat_arrays(out)
 
-    return locate(text)
+    found = texts.select(F.explode(values(F.col("text"))).alias("s")).select("s.kind", "s.value").distinct()
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value", F.lit("labelled")), "value"))
+    drawn = found.withColumn("rank", rank).filter(F.col("rank") <= values_per_kind)
+    return sorted((r["kind"], r["value"]) for r in drawn.collect())
 
 
-def learned(found: DataFrame, values_per_kind: int = VALUES_PER_KIND) -> list[Automaton]:
-    """One automaton for each kind of base span, from the column `found` of located spans."""
-    values = found.select(F.explode("found").alias("s")).filter(F.col("s.kind") < 3).select("s.kind", "s.value").filter(F.length("value") <= LONGEST).distinct()
-    values = settled(values, "labelled")
-    drawn = bounded_sample(values, "kind", class_sizes(values, "kind", len(KINDS)), F.col("value"), values_per_kind).collect()
-    return [Automaton([r["value"] for r in drawn if r["kind"] == k]) for k in range(3) if any(r["kind"] == k for r in drawn)]
+def learned(drawn: list[tuple[int, str]]) -> list[Automaton]:
+    """One automaton for each kind of labelled credentials."""
+    return [Automaton([v for kind, v in drawn if kind == k]) for k in range(3) if any(kind == k for kind, _ in drawn)]
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id and the array `spans` (kind, first, last, value) of every row: base spans and accepted candidates."""
-    found = settled(columns_of(docs, doc_id="bigint", text="string").select("doc_id", located(F.col("text")).alias("found")), "spans")
-    sent = docs.sparkSession.sparkContext.broadcast([vars(a) for a in learned(found)])
+    """doc_id and the array `spans` (kind, first, last, value) of every row: base spans and accepted candidates.
+
+    The texts are read twice, to learn and to judge: no value of a secret is written in between.
+    """
+    texts = columns_of(docs, doc_id="bigint", text="string")
+    sent = docs.sparkSession.sparkContext.broadcast([vars(a) for a in learned(labelled(texts))])
 
     @F.arrow_udf(SPANS_SQL)
-    def judged(spans: pa.Array) -> pa.Array:
+    def judged(texts: pa.Array) -> pa.Array:
         automata = []
         for state in sent.value:
             automata.append(Automaton.__new__(Automaton))
             automata[-1].__dict__.update(state)
-        rows = [[tuple(s.values()) for s in row] for row in spans.to_pylist()]
-        return _spans([sorted((s for s in row if s[0] < 3 or accepted(s[3], automata)), key=lambda s: (s[1], s[0])) for row in rows])
+        out = [pa.array([], SPAN)]
+        for piece in pieces(texts):
+            kept = ([s for s in found_spans(text) if s[0] < 3 or accepted(s[3], automata)] for text in piece.to_pylist())
+            out.append(_spans([sorted(row, key=lambda s: (s[1], s[0])) for row in kept]))
+        return pa.concat_arrays(out)
 
-    return found.select("doc_id", judged(F.col("found")).alias("spans"))
+    return texts.select("doc_id", judged(F.col("text")).alias("spans"))
 
 
 def digest(spans: Column, base_only: bool) -> Column:

@@ -1,6 +1,7 @@
 """Row-wise operators: secrets, decontamination, classifiers, token files and pages."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -11,9 +12,10 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.llm import decontaminate, language, queries, secret_scan, tokens, toxicity, wrappers
+from tallyline.llm import decontaminate, language, queries, secret_scan, tokens, toxicity, words, wrappers
 from tallyline.llm.wavelet import WaveletMatrix, packed
 from tallyline.llm.words import hashed_words
+from tallyline.session import shared_folder
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, spans string, part int"
 
@@ -79,7 +81,31 @@ def plain_distance(pattern, text):
 
 
 def plain_words(text):
-    return [w for w in (re.sub(r"[^a-z0-9\x80-\U0010ffff]", "", w) for w in re.split(r"[ \t\n\x0b\x0c\r]+", (text or "").lower())) if w]
+    text = "".join(" " if c in words.DASHES else "" if c in words.MARKS else c for c in (text or "").lower())
+    return [w for w in (re.sub(r"[^a-z0-9\x80-\U0010ffff]", "", w) for w in text.split()) if w]
+
+
+def test_white_space_and_punctuation_of_any_script(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    forms = [item.replace(" ", "\u00a0"), item.replace(" ", "\u2003\u3000"), "\u201c" + item.replace(" ", "\u2014") + "\u201d", item.replace(" ", "\u2019 \u2026"), "«" + item.upper().replace(" ", " \u2013 ") + "»"]
+    docs = docs_of(spark, [*enumerate(forms), (90, "\u00a0".join(item.split()[:6])), (91, "\u2014\u00a0\u2019"), (92, "é\u00a0ü")])
+    got = {r.doc_id: [f.item_id for f in r.found] for r in decontaminate.matches(docs, spark.createDataFrame([(7, item)], "item_id bigint, text string")).select("doc_id", "found").collect()}
+    assert got == {**{k: [7] for k in range(len(forms))}, 90: [], 91: [], 92: []}
+    for text in [*forms, "a\x1fb\x85c\u1680d", "", "\u2019"]:
+        hashes, starts = words.hashed_words(pa.array([text, None, text]))
+        assert starts.tolist() == [0, len(text.split()), len(text.split()), 2 * len(text.split())]
+        assert hashes.tolist() == 2 * words.hashed_words(pa.array([" ".join(text.split())]))[0].tolist()
+        assert len(words.hashed_words(pa.array([text]), plain=True)[0]) == len(plain_words(text))
+
+
+def test_no_secret_is_written(spark):
+    rows = [(1, "password = hunter2secretvalue and token: abcd1234efgh"), (2, "AKIA" + "Q" * 18), (3, "f" * 30)]
+    assert sum(len(r.spans) for r in secret_scan.scan(docs_of(spark, rows)).collect()) == 4
+    root = shared_folder(spark).removeprefix("file:")
+    for folder, _, names in os.walk(root):
+        for name in names:
+            content = open(f"{folder}/{name}", "rb").read()
+            assert not any(value in content for value in (b"hunter2secretvalue", b"abcd1234efgh", b"Q" * 18, b"f" * 30))
 
 
 @pytest.mark.parametrize("block_chars", [1 << 20, 200])
