@@ -12,8 +12,8 @@ cell is dealt into blocks by hash, and every pair of blocks is a task; a task re
 links to and the smallest of its cluster, and a pair that two tasks see counts in one of them only.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing; a shorter
-vector counts as if zeros followed. Rows without id get a row without links; of rows that repeat an id the one with
-the lowest hash counts.
+vector counts as if zeros followed. Rows without id get a row without links; rows that
+repeat an id are vectors of their own, and equal ones link with each other.
 """
 
 from __future__ import annotations
@@ -159,20 +159,23 @@ def linked(group: pa.Table, threshold: float) -> pa.Table:
 
 
 def join(table: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, sample: int = SAMPLE) -> DataFrame:
-    """One row for each vec_id: vec_id, n_links, component_id, kept."""
+    """One row for each row of the table: vec_id, n_links, component_id, kept.
+
+    Equal vectors form a class with a number of its own, so rows that repeat a vec_id are compared with their own vectors.
+    """
     rows = columns_of(table, vec_id="bigint", embedding="array<double>")
     named = rows.filter("vec_id IS NOT NULL")
     width = max(2, total(named, F.max(F.size("embedding")))[0])
-    one = settled(
-        named.mapInArrow(lambda batches: coded(batches, width), CODED_SQL).groupBy("vec_id").agg(F.min(F.struct("key", "vec")).alias("s")).select("vec_id", "s.*"), "vectors")
-    classes = settled(one.filter("length(key) > 0").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("members"), F.min("vec").alias("vec")), "classes")
+    one = settled(named.mapInArrow(lambda batches: coded(batches, width), CODED_SQL), "vectors")
+    same = one.filter("length(key) > 0").groupBy("key").agg(F.min("vec_id").alias("least"), F.count("*").alias("members"), F.min("vec").alias("vec"))
+    classes = settled(same.withColumn("rep", F.monotonically_increasing_id()), "classes")
     count = classes.count()
     out = one.select("vec_id", "key")
     if count > 1:
-        spot = F.xxhash64("rep", F.lit("sample")) / F.lit(2.0**64) + F.lit(0.5)
-        drawn = classes.filter(spot < sample / count).select("rep", "vec").orderBy("rep").toArrow()  # about `sample` vectors
+        spot = F.xxhash64("key", F.lit("sample")) / F.lit(2.0**64) + F.lit(0.5)
+        drawn = classes.filter(spot < sample / count).select("key", "vec").orderBy("key").toArrow()  # about `sample` vectors
         if drawn.num_rows < 2:
-            drawn = classes.select("rep", "vec").orderBy("rep").limit(2).toArrow()
+            drawn = classes.select("key", "vec").orderBy("key").limit(2).toArrow()
         centroids = int(np.clip(round((count / CELL) ** 0.5), 2, MOST_CENTROIDS))
         sent = table.sparkSession.sparkContext.broadcast(fit(unit(drawn.column("vec").to_pylist()), centroids, threshold, recall))
         index = settled(classes.select("rep", "members", "vec").mapInArrow(lambda batches: placed(batches, sent), PLACED_SQL), "index")
@@ -194,12 +197,14 @@ def join(table: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL,
         found = settled(tasks.groupBy("cell", "kind", "i", "j").applyInArrow(lambda group: linked(group, threshold), LINKED_SQL), "links")
         roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "linked_rep")
         links = found.groupBy(F.col("rep").alias("counted_rep")).agg(F.sum("links").alias("links"))
-        of_class = classes.select(F.col("key").alias("k"), "rep", "members").join(links, F.col("rep") == F.col("counted_rep"), "left").join(
+        of_class = classes.select(F.col("key").alias("k"), "rep", "least", "members").join(links, F.col("rep") == F.col("counted_rep"), "left").join(
             roots, F.col("rep") == F.col("linked_rep"), "left")
     else:
-        of_class = classes.select(F.col("key").alias("k"), "rep", "members", F.lit(0).alias("links"), F.col("rep").alias("root"))
-    of_class = of_class.select("k", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root"))
+        of_class = classes.select(F.col("key").alias("k"), "rep", "least", "members", F.lit(0).alias("links"), F.col("rep").alias("root"))
+    of_class = settled(of_class.select("k", "least", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root")), "linked")
+    smallest = of_class.groupBy(F.col("root").alias("component")).agg(F.min("least").alias("component_id"))
+    of_class = of_class.join(smallest, F.col("root") == F.col("component"))
     out = out.join(of_class, F.col("key") == F.col("k"), "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
     out = out.unionByName(rows.filter("vec_id IS NULL").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -10,7 +10,8 @@
 4. Connected components over the clusters give every document its class.
 
 Defined results: texts that are null or without words link with nothing. Rows without id get a row without links.
-Rows that repeat an id count as one document: the copy whose words hash lowest.
+Rows that repeat an id and its words count as one document; other words of a
+repeated id are a document of their own, which has a row, a class and links of its own.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ def sets_of(texts: pa.Array, n: int):
 
 
 def signed(batches, n: int, bands: int, rows: int):
-    """(doc_id, key, size, bands) of every text."""
+    """(doc_id, text_hash, key, size, bands) of every text."""
     seeds = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     for batch in (piece for batch in batches for piece in pieces(batch, "text")):
         grams, starts, keys = sets_of(batch.column("text"), n)
@@ -80,9 +81,9 @@ def signed(batches, n: int, bands: int, rows: int):
                 out[first:last, band] = value
             first = last
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(np.diff(starts), pa.int64()),
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(np.diff(starts), pa.int64()),
              pa.FixedSizeListArray.from_arrays(pa.array(out.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))],
-            names=["doc_id", "key", "size", "bands"])
+            names=["doc_id", "text_hash", "key", "size", "bands"])
 
 
 def dealt(batches, n: int):
@@ -167,20 +168,20 @@ def verified(group: pa.Table, threshold: float) -> pa.Table:
 
 
 def join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row for each doc_id: doc_id, copy_of, n_links, class_id, kept.
+    """One row for each doc_id and its words: doc_id, copy_of, n_links, class_id, kept, text_hash.
 
     copy_of is the smallest doc_id with the same words, n_links the number of other documents whose n-gram sets have a
     Jaccard similarity of at least the threshold, class_id the smallest doc_id that can be reached over links, kept
-    whether that is the document itself.
+    whether the document is the one of its class that stays (one with that smallest id), text_hash the xxhash64 of its text.
     """
     bands, rows = banding(threshold, recall)
     texts = columns_of(docs, doc_id="bigint", text="string")
-    named = texts.filter("doc_id IS NOT NULL")
-    signs = named.mapInArrow(lambda batches: signed(batches, n, bands, rows), "doc_id bigint, key binary, size bigint, bands array<bigint>")
-    one = settled(signs.groupBy("doc_id").agg(F.min(F.struct("key", "size", "bands")).alias("s")).select("doc_id", "s.*"))
-    classes = settled(
-        one.filter("size > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members"), F.min(F.struct("size", "bands")).alias("s"))
-        .select("key", "rep", "members", "s.size", "s.bands"))
+    named = texts.filter("doc_id IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    signs = named.mapInArrow(lambda batches: signed(batches, n, bands, rows), "doc_id bigint, text_hash bigint, key binary, size bigint, bands array<bigint>")
+    one = settled(signs.groupBy("doc_id", "key").agg(F.min(F.struct("text_hash", "size", "bands")).alias("s")).select("doc_id", "key", "s.*"))
+    # Classes have numbers of their own: an id with several texts may be the smallest of several classes.
+    same = one.filter("size > 0").groupBy("key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.count("*").alias("members"), F.min(F.struct("size", "bands")).alias("s"))
+    classes = settled(same.select("key", F.col("first.doc_id").alias("least"), F.col("first.text_hash").alias("first_hash"), "members", "s.size", "s.bands", F.monotonically_increasing_id().alias("rep")))
     spread = classes.select("rep", "size", F.explode("bands").alias("bucket"))
     buckets = (
         spread.groupBy("bucket").agg(
@@ -192,28 +193,38 @@ def join(docs: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall:
     chosen = (
         spread.join(buckets, F.col("bucket") == F.col("kept_bucket"))
         .groupBy("rep").agg(F.collect_set(F.struct("bucket", "blocks")).alias("buckets")))  # at most one per band
-    weighed = chosen.join(classes.select(F.col("rep").alias("r"), "members", F.col("key").alias("k")), F.col("rep") == F.col("r")).drop("r")
-    # A repeated id keeps the row whose words gave the class its key; the set of n-grams is the same for all that did.
-    taken = named.join(weighed, F.col("doc_id") == F.col("rep")).select("rep", "members", "buckets", "text", "k")
+    weighed = chosen.join(classes.select(F.col("rep").alias("r"), "least", "first_hash", "members", F.col("key").alias("k")), F.col("rep") == F.col("r")).drop("r")
+    # The row that gave the class its place; its id alone may be that of many rows.
+    taken = named.join(weighed, (F.col("doc_id") == F.col("least")) & (F.col("text_hash") == F.col("first_hash"))).select("rep", "members", "buckets", "text", "k")
     pairs = taken.mapInArrow(lambda batches: dealt(_with_key(batches), n), DEALT_SQL)
     found = settled(
         pairs.groupBy("bucket", "i", "j").applyInArrow(lambda group: verified(group, threshold), "rep bigint, links bigint, root bigint"))
     roots = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v"))).withColumnRenamed("node", "linked_rep")
     links = found.groupBy(F.col("rep").alias("counted_rep")).agg(F.sum("links").alias("links"))
-    of_class = (
-        classes.select(F.col("key").alias("class_key"), "rep", "members")
+    linked = settled(
+        classes.select("key", "least", "rep", "members")
         .join(links, F.col("rep") == F.col("counted_rep"), "left").join(roots, F.col("rep") == F.col("linked_rep"), "left")
-        .select("class_key", "rep", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("root", "rep").alias("root")))
-    out = one.select("doc_id", F.when(F.col("size") > 0, F.col("key")).alias("key")).join(of_class, F.col("key") == F.col("class_key"), "left").select(
-        "doc_id", F.coalesce("rep", "doc_id").alias("copy_of"), F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
-        F.coalesce("root", "doc_id").alias("class_id"))
-    nameless = texts.filter("doc_id IS NULL").select("doc_id", F.col("doc_id").alias("copy_of"), F.lit(0).cast("bigint").alias("n_links"), F.col("doc_id").alias("class_id"))
-    return out.unionByName(nameless).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)))
+        .select("key", "least", (F.col("members") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("root", "rep").alias("root")))
+    # Of each component the smallest id, and of its texts one.
+    first = linked.groupBy(F.col("root").alias("component")).agg(F.min(F.struct("least", "key")).alias("first"))
+    of_class = linked.join(first, F.col("root") == F.col("component")).select(F.col("key").alias("class_key"), "least", "links", "first")
+    out = one.select("doc_id", "text_hash", F.when(F.col("size") > 0, F.col("key")).alias("key")).join(of_class, F.col("key") == F.col("class_key"), "left").select(
+        "doc_id", F.coalesce("least", "doc_id").alias("copy_of"), F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("first.least", "doc_id").alias("class_id"),
+        F.coalesce((F.col("doc_id") == F.col("first.least")) & (F.col("key") == F.col("first.key")), F.lit(True)).alias("kept"), "text_hash")
+    nameless = texts.filter("doc_id IS NULL").select(
+        "doc_id", F.col("doc_id").alias("copy_of"), F.lit(0).cast("bigint").alias("n_links"), F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"), F.xxhash64("text").alias("text_hash"))
+    return out.unionByName(nameless)
 
 
 def _with_key(batches):
-    """Rows whose words hash to the key of the class, once each."""
+    """Rows whose words hash to the key of the class, each class once a task: equal rows are dealt to the same one."""
+    seen: set[int] = set()
     for batch in (piece for batch in batches for piece in pieces(batch, "text")):
         keys = keys_of(*hashed_words(batch.column("text")))
-        same = [key == wanted for key, wanted in zip(keys, batch.column("k").to_pylist(), strict=True)]
-        yield batch.filter(pa.array(same, pa.bool_()))
+        new = []
+        for key, wanted, rep in zip(keys, batch.column("k").to_pylist(), batch.column("rep").to_pylist(), strict=True):
+            new.append(key == wanted and rep not in seen)
+            if new[-1]:
+                seen.add(rep)
+        yield batch.filter(pa.array(new, pa.bool_()))

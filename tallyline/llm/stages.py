@@ -24,14 +24,15 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class, the one with the smallest doc_id; of rows that repeat an id, one.
+    """One document of each near-duplicate class, one with the smallest doc_id; of rows that repeat an id and its words, one.
 
-    Rows without id stay.
+    Other texts of a repeated id are documents of their own. Rows without id stay.
     """
-    kept_id, row = fresh(docs, "kept_id", "row")
-    kept = ngram_join.join(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(kept_id))
+    kept_id, kept_hash, row = fresh(docs, "kept_id", "kept_hash", "row")
+    kept = ngram_join.join(docs).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash))
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row)).filter(F.col(f"{row}.doc_id").isNotNull())
-    one = named.join(kept, F.col(f"{row}.doc_id") == F.col(kept_id)).groupBy(kept_id).agg(F.min(row).alias(row))
+    same = (F.col(f"{row}.doc_id") == F.col(kept_id)) & (F.xxhash64(F.col(f"{row}.text").cast("string")) == F.col(kept_hash))
+    one = named.join(kept, same).groupBy(kept_id, kept_hash).agg(F.min(row).alias(row))
     return one.select(*[F.col(f"{row}.`{c}`").alias(c) for c in docs.columns]).unionByName(docs.filter("doc_id IS NULL"))
 
 

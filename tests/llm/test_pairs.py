@@ -1,6 +1,7 @@
 """N-gram join, vector index and components against all pairs."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -12,7 +13,12 @@ SHAPE = "doc_id bigint, text string, rep string, key int, class_id string"
 
 
 def brute_links(ids, similar):
-    """-> {id: (links, smallest id reached)} for a symmetric relation on positions."""
+    """-> {id: (links, smallest id reached)} for a symmetric relation on positions; ids are unique."""
+    return dict(zip(ids, brute_rows(ids, similar), strict=True))
+
+
+def brute_rows(ids, similar):
+    """-> [(links, smallest id reached)] by position; ids may repeat."""
     root = list(range(len(ids)))
     links = [0] * len(ids)
 
@@ -28,25 +34,27 @@ def brute_links(ids, similar):
                 links[b] += 1
                 x, y = sorted((top(a), top(b)), key=lambda i: ids[i])
                 root[y] = x
-    return {ids[a]: (links[a], ids[top(a)]) for a in range(len(ids))}
+    return [(links[a], ids[top(a)]) for a in range(len(ids))]
 
 
 def check_texts(spark, rows, threshold=0.8):
     got = ngram_join.join(spark.createDataFrame([(d, t, "x", 1, "y") for d, t in rows], SHAPE), threshold=threshold).collect()
-    named = {d: t for d, t in rows if d is not None}
-    ids = sorted(named)
-    sets = []
-    for d in ids:
-        words = (named[d] or "").lower().split()
-        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set())
+    entries = sorted({(d, tuple((t or "").lower().split())) for d, t in rows if d is not None})
+    sets = [{words[k : k + 5] for k in range(max(1, len(words) - 4))} if words else set() for _, words in entries]
 
     def similar(a, b):
         n = len(sets[a] & sets[b])
         return n > 0 and n >= threshold * (len(sets[a]) + len(sets[b]) - n) - 1e-9
 
-    want = brute_links(ids, similar)
-    assert {r.doc_id: (r.n_links, r.class_id) for r in got if r.doc_id is not None} == want
-    assert all(r.kept == (r.doc_id == r.class_id) for r in got if r.doc_id is not None)
+    want = brute_rows([d for d, _ in entries], similar)
+    mine = [r for r in got if r.doc_id is not None]
+    assert Counter((r.doc_id, r.n_links, r.class_id) for r in mine) == Counter((d, *w) for (d, _), w in zip(entries, want, strict=True))
+    assert all(r.doc_id == r.class_id for r in mine if r.kept)
+    # One document of each class stays; of one without links there is no other.
+    roots = Counter(c for (n, c) in want if n)
+    assert Counter(r.class_id for r in mine if r.kept and r.n_links).keys() == roots.keys()
+    if len({d for d, _ in entries}) == len(entries):
+        assert all(r.kept == (r.doc_id == r.class_id) for r in mine)
     assert sum(r.doc_id is None for r in got) == sum(d is None for d, _ in rows)
     return got
 
@@ -75,6 +83,28 @@ def test_a_hot_group_of_near_copies_over_several_blocks(spark, monkeypatch):
     assert got[401].n_links == 0 and got[406].class_id == 405
 
 
+def test_every_text_of_a_repeated_id_is_compared(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    got = check_texts(spark, [(1, a), (1, b), (2, a), (3, b + " more"), (4, c), (4, c), (5, None), (5, ""), (6, c + " end"), *[(9, f"{c} {k}") for k in range(30)]])
+    by = {(r.doc_id, r.n_links, r.class_id, r.kept) for r in got}
+    assert {(2, 1, 1, False), (3, 1, 1, False), (1, 1, 1, True)} <= by
+
+
+def test_two_texts_of_an_id_in_one_class_leave_one(spark):
+    a = " ".join(f"a{k}" for k in range(60))
+    got = check_texts(spark, [(1, a), (1, a + " x"), (2, a + " y")])
+    assert sum(r.kept for r in got) == 1 and all(r.n_links == 2 and r.class_id == 1 for r in got)
+
+
+def test_the_stage_keeps_each_text_of_a_repeated_id(spark):
+    from tallyline.llm.stages import without_near_duplicates
+
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(1, a, 0), (1, a, 1), (1, a.upper(), 2), (1, b, 3), (2, a, 4), (3, b + " more", 5), (None, a, 6), (7, None, 7), (7, None, 8)]
+    out = without_near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string, kept int"), "").collect()
+    assert sorted(((r.doc_id, (r.text or "").lower()) for r in out), key=str) == sorted([(1, a), (1, b), (None, a), (7, "")], key=str)
+
+
 def test_no_documents(spark):
     assert ngram_join.join(spark.createDataFrame([], SHAPE)).collect() == []
 
@@ -98,18 +128,18 @@ def test_components_of_random_links(spark):
 
 def check_vectors(spark, rows, kind="array<float>"):
     got = multi_index.join(spark.createDataFrame([(*r, 0, "x") for r in rows], f"vec_id bigint, embedding {kind}, rep int, home string")).collect()
-    named = dict(r for r in rows if r[0] is not None)
-    ids = sorted(named)
-    width = max(len(v) for v in named.values() if v)
+    named = [r for r in rows if r[0] is not None]
+    width = max(len(v) for _, v in named if v)
     units = []
-    for i in ids:
-        v = np.array([np.nan if x is None else np.float32(x) if "float" in kind else x for x in named[i] or []], float)
+    for _, vector in named:
+        v = np.array([np.nan if x is None else np.float32(x) if "float" in kind else x for x in vector or []], float)
         units.append(np.pad(v / np.linalg.norm(v), (0, width - len(v))) if len(v) and np.isfinite(v).all() and v.any() else None)
-    want = brute_links(ids, lambda a, b: units[a] is not None and units[b] is not None and units[a] @ units[b] >= 0.95)
-    found = {r.vec_id: (r.n_links, r.component_id) for r in got if r.vec_id is not None}
-    linked, right = sum(w[0] for w in want.values()), sum(f[0] for f in found.values())
-    assert all(found[i][0] <= want[i][0] for i in ids) and right >= 0.97 * linked
-    return got, found == want
+    want = brute_rows([i for i, _ in named], lambda a, b: units[a] is not None and units[b] is not None and units[a] @ units[b] >= 0.95)
+    mine = [r for r in got if r.vec_id is not None]
+    assert len(mine) == len(named) and all(r.kept == (r.vec_id == r.component_id) for r in mine)
+    linked, right = sum(w[0] for w in want), sum(r.n_links for r in mine)
+    assert 0.97 * linked <= right <= linked
+    return got, Counter((r.vec_id, r.n_links, r.component_id) for r in mine) == Counter((i, *w) for (i, _), w in zip(named, want, strict=True))
 
 
 def test_vectors_against_all_pairs(spark, monkeypatch):
@@ -121,7 +151,12 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     rows += [(2000 + k, rows[3][1]) for k in range(5)] + [(3000, None), (3001, []), (3002, [0.0] * 24), (3003, [1.0, None]), (3004, [float("nan")] * 24), (3005, [float("inf")] * 24)]
     rows += [(3006, [1.0]), (3007, [2.0, 0.0]), (None, rows[3][1]), (None, None), rows[5]]
     got, same = check_vectors(spark, rows)
-    assert len(got) == len(rows) - 1
+    assert len(got) == len(rows)
+
+
+def test_every_vector_of_a_repeated_id_is_compared(spark):
+    got, same = check_vectors(spark, [(1, None), (1, [1.0, 0.0]), (2, [1.0, 0.001]), (1, [0.0, 1.0]), (3, [0.001, 1.0]), (3, [0.001, 1.0])], "array<double>")
+    assert same and sorted((r.vec_id, r.n_links) for r in got) == [(1, 0), (1, 1), (1, 2), (2, 1), (3, 2), (3, 2)]
 
 
 def test_few_vectors(spark):
