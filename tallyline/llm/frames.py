@@ -65,9 +65,12 @@ def bounded_sample(df: DataFrame, column: str, sizes: dict, key: Column, most: i
     """
     if not sizes:
         return df.filter(F.lit(False))
-    share = F.create_map(*[F.lit(x) for value, n in sizes.items() for x in (value, most / n)])[F.col(column)]
+    large = [F.lit(x) for value, n in sizes.items() if n > most for x in (value, most / n)]
+    if not large:
+        return df
+    share = F.coalesce(F.try_element_at(F.create_map(*large), F.col(column)), F.lit(1.0))
     spot = F.xxhash64(key.cast("string"), F.lit("sample")) / F.lit(2.0**64) + F.lit(0.5)
-    return df.filter(spot < share)
+    return df.filter((spot < share) | (share >= 1.0))
 
 
 def total(df: DataFrame, *sums: Column) -> tuple:

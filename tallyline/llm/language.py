@@ -19,17 +19,17 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.frames import bounded_sample, class_sizes, columns_of
+from tallyline.llm.frames import BROADCAST_BYTES, bounded_sample, class_sizes, columns_of
 from tallyline.llm.words import by_piece, grams_of, per_text, pieces, words_of
 
 UNDETERMINED = "und"
 FOUND = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
 SIZES = (1, 2, 3)
-BUCKETS = 1 << 15
+BUCKETS, LEAST_BUCKETS = 1 << 15, 1 << 8
 #: Labelled rows to learn from, for each language.
 ROWS_PER_LANGUAGE = 10_000
-#: The matrix sent to the tasks has this many columns at most (BUCKETS x 4 bytes each).
-MOST_LANGUAGES = 200
+#: Distinct values of lang that are learned at most; their counts pass the driver.
+MOST_LANGUAGES = 100_000
 
 
 @dataclass
@@ -44,16 +44,21 @@ def gram_counts(batches, sizes, buckets):
     """For the texts of one task: how often each bucket occurs in each language."""
     sums: dict[str, np.ndarray] = {}
     for batch in (piece for batch in batches for piece in pieces(batch, "text")):
-        languages = np.array(batch.column("lang").to_pylist(), object)
+        coded = batch.column("lang").dictionary_encode()
+        names, of_text = coded.dictionary.to_pylist(), np.asarray(coded.indices, np.int64)
         words = words_of(batch.column("text"))
         if not len(words.codes):
             continue
-        of_word = np.repeat(np.arange(len(languages)), np.diff(words.starts))
-        times = {x: np.bincount(words.codes[(languages == x)[of_word]], minlength=len(words.vocabulary)) for x in set(languages)}
+        of_word = np.repeat(of_text, np.diff(words.starts))
+        order = np.argsort(of_word, kind="stable")
+        edges = np.searchsorted(of_word[order], np.arange(len(names) + 1))
+        times = {x: np.unique(words.codes[order[a:z]], return_counts=True) for x, a, z in zip(names, edges[:-1], edges[1:], strict=True) if z > a}
         for ids, starts in grams_of(words.vocabulary, sizes, buckets):
-            owner = np.repeat(np.arange(len(words.vocabulary)), np.diff(starts))
-            for language, count in times.items():
-                sums[language] = sums.get(language, 0) + np.bincount(ids, weights=count[owner], minlength=buckets)
+            for language, (mine, count) in times.items():
+                lengths = starts[mine + 1] - starts[mine]
+                ends = np.cumsum(lengths)
+                spots = np.repeat(starts[mine] - ends + lengths, lengths) + np.arange(ends[-1])
+                sums[language] = sums.get(language, 0) + np.bincount(ids[spots], weights=np.repeat(count, lengths), minlength=buckets)
     for language, found in sums.items():
         full = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
@@ -65,11 +70,15 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS,
     """Learn from the rows (doc_id, text, lang) whose text and lang are not null.
 
     At most about `rows_per_language` rows of each language are counted, chosen by the hash of doc_id; the priors
-    count all rows. Laplace smoothing with 0.5.
+    count all rows. Laplace smoothing with 0.5. The matrix that is sent to the tasks stays below BROADCAST_BYTES: more
+    languages than fit (256 at 32,768 buckets) share fewer buckets, halved until they do.
     """
     labelled = columns_of(rows, doc_id="string", text="string", lang="string").filter("text IS NOT NULL AND lang IS NOT NULL")
     sizes_by = class_sizes(labelled, "lang", MOST_LANGUAGES)
     languages = sorted(sizes_by)
+    while buckets * len(languages) * 4 > BROADCAST_BYTES and buckets > LEAST_BUCKETS:
+        buckets //= 2
+    place = {x: k for k, x in enumerate(languages)}
     sample = bounded_sample(labelled, "lang", sizes_by, F.col("doc_id"), rows_per_language).select("text", "lang")
     grams = tuple(sizes)
     found = (
@@ -80,7 +89,7 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS,
     counts = np.zeros((buckets, len(languages)))
     for row in found:
         cells = np.array([(c["bucket"], c["n"]) for c in row["cells"]])
-        counts[cells[:, 0], languages.index(row["lang"])] = cells[:, 1]
+        counts[cells[:, 0], place[row["lang"]]] = cells[:, 1]
     smooth = counts + 0.5
     log_prob = np.log(smooth / smooth.sum(axis=0)) if languages else counts
     prior = np.array([sizes_by[x] for x in languages], float)
@@ -88,12 +97,15 @@ def fit(rows: DataFrame, sizes: tuple[int, ...] = SIZES, buckets: int = BUCKETS,
 
 
 def log_scores(words, log_prob: np.ndarray, sizes: tuple[int, ...]) -> np.ndarray:
-    """Log-likelihood of every text under every class."""
-    by_word = np.zeros((len(words.vocabulary), log_prob.shape[1]))
-    for ids, starts in grams_of(words.vocabulary, sizes, len(log_prob)) if words.vocabulary else ():
-        for c in range(log_prob.shape[1]):
-            by_word[:, c] += per_text(np.add, np.ascontiguousarray(log_prob[:, c])[ids], starts, np.float32(0))
-    return np.stack([per_text(np.add, by_word[:, c][words.codes], words.starts, 0.0) for c in range(log_prob.shape[1])], axis=1)
+    """Log-likelihood of every text under every class, one class at a time."""
+    grams = list(grams_of(words.vocabulary, sizes, len(log_prob))) if words.vocabulary else []
+    out = np.zeros((len(words.starts) - 1, log_prob.shape[1]))
+    for c in range(log_prob.shape[1]):
+        column, by_word = np.ascontiguousarray(log_prob[:, c]), np.zeros(len(words.vocabulary))
+        for ids, starts in grams:
+            by_word += per_text(np.add, column[ids], starts, np.float32(0))
+        out[:, c] = per_text(np.add, by_word[words.codes], words.starts, 0.0)
+    return out
 
 
 def predicted(texts: pa.Array, model: dict) -> pa.StructArray:

@@ -1,6 +1,7 @@
 """Row-wise operators: secrets, decontamination, classifiers, token files and pages."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -161,6 +162,44 @@ def test_languages_are_told_apart(spark):
     assert np.mean([r.lang_pred == rows[r.doc_id] for r in held]) >= 0.97 and all(0 <= r.score <= 1 for r in got)
 
 
+def plain_bayes(rows, sizes, buckets):
+    """text -> language by counting one gram after the other."""
+    counts, priors = {}, {}
+    for text, lang in rows:
+        priors[lang] = priors.get(lang, 0) + 1
+        mine = counts.setdefault(lang, [0.5] * buckets)
+        for word in text.lower().split():
+            for ids, _ in words.grams_of([word], sizes, buckets):
+                for k in ids.tolist():
+                    mine[k] += 1
+
+    def predict(text):
+        best = None
+        for lang in sorted(counts):
+            total = sum(counts[lang])
+            score = math.log(priors[lang] / len(rows)) + sum(math.log(counts[lang][k] / total) for w in text.lower().split() for ids, _ in words.grams_of([w], sizes, buckets) for k in ids.tolist())
+            best = max(best or (score, lang), (score, lang), key=lambda x: x[0])
+        return best[1]
+
+    return predict
+
+
+@pytest.mark.parametrize("count, limit", [(3, 32 << 20), (400, 1 << 20)])
+def test_naive_bayes_of_many_languages(spark, count, limit, monkeypatch):
+    monkeypatch.setattr(language, "BROADCAST_BYTES", limit)
+    draw = random.Random(count)
+    letters = "abcdefghijklmnopqrstuvwxyzäöüß"
+    own = {f"l{k:03}": draw.sample(letters, 7) for k in range(count)}
+    text = lambda lang: " ".join("".join(draw.choice(own[lang]) for _ in range(draw.randint(1, 8))) for _ in range(30))
+    rows = [(text(lang), lang) for lang in own for _ in range(draw.randint(1, 2))]
+    model = language.fit(spark.createDataFrame([(k, t, x) for k, (t, x) in enumerate(rows)], "doc_id bigint, text string, lang string"))
+    assert len(model.languages) == count and model.log_prob.nbytes <= limit
+    tested = [(k, text(draw.choice(list(own)))) for k in range(25)]
+    got = {r.doc_id: r.lang_pred for r in language.predict(spark.createDataFrame(tested, "doc_id bigint, text string"), model, F.col("text"), F.col("doc_id")).collect()}
+    predict = plain_bayes(rows, language.SIZES, len(model.log_prob))
+    assert sum(got[k] == predict(t) for k, t in tested) >= 24
+
+
 def test_language_of_odd_texts(spark):
     rows = [(k, "the cat and the dog", "en") for k in range(5)] + [(9 + k, "der hund und die katze", "de") for k in range(5)] + [(30, "zzz", None), (31, None, "fr")]
     model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
