@@ -75,6 +75,52 @@ def _(t: Tables):
     return rows.select(source.alias("source"), "key", "name", "segment", "balance")
 
 
+def landed(t: Tables) -> str:
+    """Order files of three layouts, one for each status, that agree on some columns' types and not on others'."""
+    root = scratch_folder(t.spark, "layouts")
+    parts = {
+        "F": {"Order": F.col("o_orderkey"), "Day": F.col("o_orderdate").cast("date"), "Amount": F.col("o_totalprice").cast("decimal(14,2)"), "Note": F.col("o_custkey")},
+        "O": {"Day": F.col("o_orderdate").cast("date"), "Order": F.col("o_orderkey"), "Amount": F.floor("o_totalprice"), "Code": F.lpad(F.col("o_custkey").cast("string"), 9, "0")},
+        "P": {"Order": F.col("o_orderkey"), "Day": F.date_format("o_orderdate", "MMM d"), "Note": F.col("o_orderpriority"), "Amount": F.lit(None).cast("string")},
+    }
+    for status, columns in parts.items():
+        writers.write_delimited(t.orders.filter(F.col("o_orderstatus") == status).select(*[c.alias(n) for n, c in columns.items()]), f"{root}/{status}")
+    return root
+
+
+LANDED = """landed AS (
+    SELECT 'F' AS status, o_orderkey::VARCHAR AS "order", o_orderdate::DATE::VARCHAR AS day, o_totalprice::DECIMAL(14, 2)::VARCHAR AS amount, o_custkey::VARCHAR AS note, NULL::VARCHAR AS code FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 'O', o_orderkey::VARCHAR, o_orderdate::DATE::VARCHAR, floor(o_totalprice)::BIGINT::VARCHAR, NULL, lpad(o_custkey::VARCHAR, 9, '0') FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 'P', o_orderkey::VARCHAR, strftime(o_orderdate, '%b %-d'), NULL, o_orderpriority, NULL FROM orders WHERE o_orderstatus = 'P')"""
+LANDED_COLUMNS = ["order", "day", "amount", "note", "code"]
+
+
+def kind_sql(column: str) -> str:
+    c = f'"{column}"'
+    return f"""CASE WHEN {c} IS NULL THEN 0 WHEN regexp_full_match({c}, '[+-]?(0|[1-9][0-9]*)') THEN 1 WHEN regexp_full_match({c}, '[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?') THEN 2
+        WHEN regexp_full_match({c}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND try_cast({c} AS DATE) IS NOT NULL THEN 4 ELSE 8 END"""
+
+
+TYPE_SQL = "CASE WHEN kinds = 0 THEN 'void' WHEN kinds = 1 THEN 'bigint' WHEN kinds & 12 = 0 THEN 'decimal' WHEN kinds = 4 THEN 'date' ELSE 'string' END AS type"
+
+
+@query("S10_column_types", f"WITH {LANDED}, k AS (" + " UNION ALL ".join(
+    f"SELECT status, '{c}' AS \"column\", bit_or({kind_sql(c)}) AS kinds FROM landed GROUP BY ROLLUP (status)" for c in LANDED_COLUMNS) + f') SELECT coalesce(status, \'all\') AS status, "column", {TYPE_SQL} FROM k')
+def _(t: Tables):
+    """Types of the columns of every layout, and of all of them together, from one pass over the files."""
+    rows = readers.read_many(t.spark, landed(t))
+    status = F.when(F.col("code").isNotNull(), "O").when(F.col("amount").isNotNull(), "F").otherwise("P").alias("status")
+    kinds = readers.column_kinds(rows.select(status, *LANDED_COLUMNS), LANDED_COLUMNS, ["status"])
+    whole = readers.column_types(kinds, LANDED_COLUMNS).select(F.lit("all").alias("status"), "column", "type")
+    return readers.column_types(kinds, LANDED_COLUMNS, ["status"]).unionByName(whole)
+
+
+@query("S5_typed_union", f"""WITH {LANDED} SELECT "order"::BIGINT AS "order", day, amount::DOUBLE AS amount, note, code FROM landed""")
+def _(t: Tables):
+    rows = readers.typed(readers.read_many(t.spark, landed(t)).drop("file_name"))
+    return rows.select("order", "day", F.col("amount").cast("double").alias("amount"), "note", "code")
+
+
 @query("S6_newest_source", """
     SELECT printf('POST_NA_C11_%s_%06d.csv', strftime(o_orderdate, '%Y%m%d'), o_orderkey) AS file, strftime(o_orderdate, '%Y%m%d')::INT AS stamp, o_orderkey AS code FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1""")
 def _(t: Tables):
@@ -110,14 +156,16 @@ HISTORY = f"""SELECT region, ref_date, run, {m('sum(result)', 'result')} FROM (
     UNION ALL SELECT region, ref_date, 'r3', result * 3 FROM organics WHERE ref_date >= DATE '1999-02-01') GROUP BY 1, 2, 3"""
 
 
-def history(t: Tables) -> str:
-    """Three refreshes of the whole table: the first up to 1998, the others from a moment on with new amounts."""
+def history(t: Tables, after: dict | None = None) -> str:
+    """Three refreshes of the whole table: the first up to 1998, the others from a moment on with new amounts. after: what to do with the log after a run."""
     path = f"{scratch_folder(t.spark, 'history')}/organics"
     rows = organics(t).groupBy("geo", "region", "channel", "type", "ref_date").agg(F.sum("result").alias("result"))
     day = F.col("ref_date")
 
     def refresh(condition, times: int, run: str, moment: date) -> None:
         writers.append_run(rows.filter(condition).withColumn("result", F.col("result") * times), path, run, moment, "ref_date")
+        if run in (after or {}):
+            after[run](path)
 
     refresh(day < F.lit("1999-01-01").cast("date"), 1, "r1", date(1900, 1, 1))
     refresh(day >= F.lit("1998-06-01").cast("date"), 2, "r2", date(1998, 6, 1))
@@ -131,6 +179,14 @@ def _(t: Tables):
     return rounded(visible.groupBy("region", "ref_date", "run").agg(F.sum("result").alias("result")), ["result"])
 
 
+@query("S9_folded_history", given("organics") + HISTORY)
+def _(t: Tables):
+    """The same history after two refreshes were folded into a base and the third came after it."""
+    path = history(t, after={"r2": lambda path: writers.fold_runs(t.spark, path, "ref_date")})
+    visible = readers.read_history(t.spark, path, "ref_date")
+    return rounded(visible.groupBy("region", "ref_date", "run").agg(F.sum("result").alias("result")), ["result"])
+
+
 @query("S10_schema_audit", """
     SELECT 'key,name,team' AS columns, 3 AS n_columns, FALSE AS lacks_required, count(*) AS n_rows FROM customer
     UNION ALL SELECT 'key,balance', 2, TRUE, count(*) FROM supplier""")

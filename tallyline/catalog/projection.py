@@ -9,6 +9,7 @@ from tallyline.catalog.views import given, growth_wide, ledger
 from tallyline.functions import nulls
 from tallyline.functions.periods import MONTH_NAMES
 from tallyline.operators import columns, rules
+from tallyline.operators.joins import first_match
 from tallyline.plans.growth import LEVEL_1, LEVEL_2
 
 
@@ -141,6 +142,20 @@ def _(t: Tables):
     return labelled.groupBy("category").agg(F.count(F.lit(1)).alias("n"), cents(F.sum("value"), "value"))
 
 
+# As many rules as there are customers, the later ones first; most beginnings are shared.
+@query("P13_rules_of_a_table", """
+    WITH r AS (SELECT -c_custkey AS rank, '/' || lower(substr(c_mktsegment, 1, 1)) || CASE WHEN c_nationkey > 12 THEN 'n/' ELSE 'r/' END || c_custkey AS keyword, c_mktsegment || ' ' || c_custkey AS label FROM customer
+      UNION ALL SELECT -c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN '/en/' ELSE '/fr/' END || c_custkey, c_mktsegment || ' ' || c_custkey FROM customer)
+    SELECT page_id, coalesce((SELECT arg_min(label, (rank, keyword)) FROM r WHERE contains(url, keyword)), 'other') AS category FROM pages""")
+def _(t: Tables):
+    key = F.col("c_custkey").cast("string")
+    rules = [
+        t.customer.select((-F.col("c_custkey")).alias("rank"), F.concat(start, key).alias("keyword"), F.concat_ws(" ", "c_mktsegment", key).alias("label"))
+        for start in (F.concat(F.lit("/"), F.lower(F.substring("c_mktsegment", 1, 1)), F.when(F.col("c_nationkey") > 12, "n/").otherwise("r/")), F.when(F.col("c_nationkey") % 2 == 0, "/en/").otherwise("/fr/"))
+    ]
+    return first_match(t.pages.select("page_id", "url"), "url", rules[0].unionByName(rules[1]), "category", "other").select("page_id", "category")
+
+
 @query("P14_attribute_override", given("ledger", named="""
     SELECT *, CASE WHEN cost_element_name = 'SMALL RED RING' AND value > 50000 THEN offset_account
                    WHEN cost_element_name = 'SMALL RED RING' AND value < -50000 THEN offset_account ELSE cost_element_name END AS name FROM ledger""") + f"""

@@ -127,17 +127,15 @@ def containing_any(df: DataFrame, text: str, codes: DataFrame, code: str) -> Dat
 COUNTED_BUCKETS, MAP_BITS = 1 << 16, 1 << 20
 
 
-def containing_any_indexed(df: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
-    """Rows whose text contains at least one of the codes, for many codes or codes that begin alike.
+def _occurrences(texts: DataFrame, codes: DataFrame) -> DataFrame:
+    """(__text, __code) for every code that occurs in a text; both tables have one distinct, filled column of that name.
 
     Every code is filed under the one of its q-grams (q: length of the shortest code) that is rarest in the texts, as
     counted in hashed buckets. Of a text's grams only those whose bit is set in a map of the grams on file are shuffled;
     what they are the rarest gram of is looked for in the text. Buckets and map have a fixed size: they decide how much
     is looked at, never what is found.
     """
-    wanted = codes.select(F.col(code).alias("__code")).filter(F.length("__code") > 0).distinct()
-    shortest = wanted.agg(F.min(F.length("__code")).alias("n")).scalar()
-    texts = df.select(F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).distinct()
+    shortest = codes.agg(F.min(F.length("__code")).alias("n")).scalar()
 
     def cut(table: DataFrame, column: str) -> DataFrame:
         return table.withColumn("__n", F.explode(F.array(shortest))).withColumn("__part", F.explode(grams(column, F.col("__n")))).drop("__n")
@@ -145,20 +143,49 @@ def containing_any_indexed(df: DataFrame, text: str, codes: DataFrame, code: str
     def bucket(buckets: int) -> Column:
         return F.pmod(F.xxhash64("__part"), F.lit(buckets))
 
+    def word_and_bit(column: str) -> tuple[Column, Column]:
+        at = F.pmod(F.xxhash64(column), F.lit(MAP_BITS))
+        return F.floor(at / 64), F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int"))
+
     counted = cut(texts, "__text").groupBy(bucket(COUNTED_BUCKETS).alias("__in")).agg(F.count(F.lit(1)).alias("__times"))
-    weighed = cut(wanted, "__code").join(counted, bucket(COUNTED_BUCKETS) == F.col("__in"), "left")
+    weighed = cut(codes, "__code").join(counted, bucket(COUNTED_BUCKETS) == F.col("__in"), "left")
     # A gram of no text: its code is in none.
     rarest = F.min(F.struct(F.coalesce("__times", F.lit(0)).alias("times"), F.col("__part").alias("part")))
     filed = weighed.groupBy("__code").agg(rarest.alias("__r")).filter("__r.times > 0").select("__code", F.col("__r.part").alias("__filed"))
-    # 64 bits to a word; all words are there, so that a word stands at its own place.
-    spot = F.pmod(F.xxhash64("__filed"), F.lit(MAP_BITS))
-    none = df.sparkSession.range(MAP_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
-    words = none.unionByName(filed.select(F.floor(spot / 64).alias("word"), F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(__filed), {MAP_BITS}) % 64 AS INT))").alias("bits")))
-    bits = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("m")).scalar()
-    at = bucket(MAP_BITS)
-    on_file = F.get(bits, F.floor(at / 64).cast("int")).bitwiseAND(F.expr(f"shiftleft(1L, CAST(pmod(xxhash64(__part), {MAP_BITS}) % 64 AS INT))")) != 0
-    hits = cut(texts, "__text").filter(on_file).join(filed, F.col("__part") == F.col("__filed")).filter(F.contains("__text", "__code")).select("__text").distinct()
-    return df.join(hits, F.col(text) == F.col("__text"), "left_semi")
+    # All words are there, so that a word stands at its own place.
+    none = texts.sparkSession.range(MAP_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("bigint").alias("bits"))
+    words = none.unionByName(filed.select(*[c.alias(n) for c, n in zip(word_and_bit("__filed"), ("word", "bits"), strict=True)]))
+    placed = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("m"))
+    word, bit = word_and_bit("__part")
+    on_file = F.get(placed.select(F.transform("m", lambda w: w["bits"])).scalar(), word.cast("int")).bitwiseAND(bit) != 0
+    return cut(texts, "__text").filter(on_file).join(filed, F.col("__part") == F.col("__filed")).filter(F.contains("__text", "__code")).select("__text", "__code")
+
+
+def containing_any_indexed(df: DataFrame, text: str, codes: DataFrame, code: str) -> DataFrame:
+    """Rows whose text contains at least one of the codes, for many codes or codes that begin alike."""
+    wanted = codes.select(F.col(code).alias("__code")).filter(F.length("__code") > 0).distinct()
+    texts = df.select(F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).distinct()
+    return df.join(_occurrences(texts, wanted).select("__text").distinct(), F.col(text) == F.col("__text"), "left_semi")
+
+
+def first_match(df: DataFrame, text: str, rules: DataFrame, name: str, default: str | None = None) -> DataFrame:
+    """Add the label of the first rule whose keyword occurs in the text, for thousands of rules held in a table.
+
+    rules: rank (its order decides; equal ranks go by keyword and label), keyword, label. Works like `categorise`, which
+    builds one condition for each rule: without a match the default applies, without a default the text itself is kept;
+    missing text and missing keywords match nothing, an empty keyword matches every text.
+    """
+    known = rules.select("rank", F.col("keyword").alias("__code"), "label").filter(F.col("__code").isNotNull())
+    order = F.min(F.struct("rank", F.col("__code").alias("keyword"), "label"))
+    texts = df.select(F.col(text).alias("__text")).filter(F.col("__text").isNotNull()).distinct()
+    best = known.filter("__code != ''").groupBy("__code").agg(order.alias("rule"))
+    pairs = _occurrences(texts, best.select("__code")).withColumnRenamed("__code", "__found")
+    found = pairs.join(best, F.col("__found") == F.col("__code")).groupBy("__text").agg(F.min("rule").alias("__rule"))
+    always = known.filter("__code = ''").agg(order.alias("rule")).scalar()
+    # A rule is a struct: the lesser one is the earlier.
+    first = F.least(F.col("__rule"), F.when(F.col(text).isNotNull(), always))
+    fallback = F.lit(default) if default is not None else F.col(text)
+    return df.join(found, F.col(text) == F.col("__text"), "left").withColumn(name, F.when(first.isNotNull(), first["label"]).otherwise(fallback)).drop("__text", "__rule")
 
 
 def layout(lines: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:

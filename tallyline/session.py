@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +38,17 @@ def build_session(app: str = "tallyline", cpus: str = "*", shuffle_partitions: i
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A folder all executors can reach: spark.checkpoint.dir, or the warehouse where that is not set."""
+    """A folder all executors can reach: spark.checkpoint.dir, or the warehouse where that is not set.
+
+    The warehouse is by default a folder of the driver's machine, which the executors of a cluster can't see: that is an error.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    if named:
+        return named
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    if folder.startswith("file:") and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder.rstrip('/')}/scratch"
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators import joins, reshape, windows
+from tallyline.operators import joins, reshape, rules, windows
 from tests.test_digests import shuffled_rows
 
 
@@ -62,10 +62,14 @@ def test_codes_that_begin_alike_shuffle_few_grams(spark, monkeypatch):
     texts = 20_000
     df = spark.range(texts).select("id", F.format_string("department/office/building/%06d", F.col("id") * 7919 % 1_000_003).alias("t"))
     codes = spark.range(300).select(F.format_string("department/office/building/%06d", F.col("id") * 3331 % 1_000_003).alias("c")).unionByName(spark.createDataFrame([("9173",)], "c string"))
-    found, old = indexed(df, "t", codes, "c"), joins.containing_any(df, "t", codes, "c")
-    assert sorted(r["id"] for r in found.collect()) == sorted(r["id"] for r in old.collect())
-    # Both shuffle the distinct texts and the rows of the table; the rest are grams.
-    assert shuffled_rows(found) - 2 * texts < 0.1 * (shuffled_rows(old) - 2 * texts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found, old = indexed(df, "t", codes, "c"), joins.containing_any(df, "t", codes, "c")
+        assert sorted(r["id"] for r in found.collect()) == sorted(r["id"] for r in old.collect())
+        # Both shuffle the distinct texts and the rows of the table; the rest are grams.
+        assert shuffled_rows(found) - 2 * texts < 0.1 * (shuffled_rows(old) - 2 * texts)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
@@ -76,3 +80,24 @@ def test_latest_rows_of_missing_keys_and_dates(spark, threshold):
     got = sorted((tuple(r) for r in windows.latest_per_group(df, ["k"], "d").collect()), key=str)
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == sorted([(None, 3), (None, 3), ("b", 2), *[("hot", 49)] * 10], key=str)
+
+
+def test_rules_of_a_table_equal_the_chain(spark):
+    rng = random.Random(9)
+    texts = [(k, "".join(rng.choice("abc ") for _ in range(rng.randrange(0, 14)))) for k in range(300)] + [(900, None), (901, "")]
+    df = spark.createDataFrame(texts, "id int, t string")
+    for listed in ([("ab", "one"), ("b", "two"), ("c a", "three"), ("ccc", "four"), ("zz", "five")], [("cab", "x"), ("", "all"), ("a", "never")], [("abc", "same"), ("bca", "same")], []):
+        rows = [(k, kw, label) for k, (kw, label) in enumerate(listed)] + [(50, None, "null")]
+        table = spark.createDataFrame(rows, "rank int, keyword string, label string")
+        for default in (None, "rest"):
+            got = {r["id"]: r["to"] for r in joins.first_match(df, "t", table, "to", default).collect()}
+            want = {r["id"]: r["to"] for r in df.select("id", rules.categorise("t", listed, default).alias("to")).collect()}
+            assert got == want, (listed, default)
+
+
+def test_equal_ranks_and_five_thousand_rules(spark):
+    df = spark.range(500).select("id", F.format_string("goods no. %05d for resale", F.col("id") * 9).alias("t"))
+    many = spark.range(5_000).select(F.floor(F.col("id") / 2).alias("rank"), F.format_string("no. %05d", "id").alias("keyword"), F.format_string("class %d", "id").alias("label"))
+    found = joins.first_match(df, "t", many.unionByName(many), "to", "none")
+    assert {r["id"]: r["to"] for r in found.collect()} == {k: f"class {9 * k}" if 9 * k < 5_000 else "none" for k in range(500)}
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 60_000
