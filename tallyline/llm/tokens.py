@@ -1,11 +1,11 @@
 """Token files: every text encoded, in ascending doc_id order, in shards of one wavelet matrix each.
 
-The documents are dealt by ranges of doc_id; each task encodes its range in order and closes a shard when it holds
+The documents are dealt by ranges of doc_id and row number; each task encodes its range in order and closes a shard when it holds
 about SHARD_TOKENS tokens. Shards are written by Spark (one row each: where it stands, and its blob), so a lost
 executor's work is repeated and committed once.
 
 Defined results: a missing text counts as empty, an empty one has the end token only. A missing doc_id sorts first;
-rows that repeat an id are kept, ordered by text. An empty table gives no shard.
+rows that repeat an id are kept, in the order in which they are read. An empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -236,10 +236,13 @@ def sharded(batches, path: str, shard_tokens: int):
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS) -> None:
-    """Encode the documents (doc_id, text) and write the shards."""
+    """Encode the documents (doc_id, text) and write the shards.
+
+    The ranges are of doc_id and row number, so rows that share an id, or have none, are spread over as many as they need.
+    """
     tokenizer = tokenizer or tokenizer_path()
-    ranged = columns_of(docs, doc_id="bigint", text="string").withColumn("text", F.coalesce("text", F.lit("")))
-    ordered = ranged.repartitionByRange(F.col("doc_id")).sortWithinPartitions("doc_id", "text")
+    rows = columns_of(docs, doc_id="bigint", text="string").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("turn"))
+    ordered = rows.repartitionByRange("doc_id", "turn").sortWithinPartitions("doc_id", "turn").select("doc_id", "text")
     shards = ordered.mapInArrow(lambda batches: sharded(batches, tokenizer, shard_tokens), SHARDS_SQL)
     # Blobs are compressed already, and a reader takes a row group at a time.
     shards.write.option("compression", "uncompressed").option("parquet.block.size", 16 << 20).parquet(path)

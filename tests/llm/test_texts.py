@@ -279,12 +279,22 @@ def test_token_file_equals_the_tokenizer(spark, tmp_path):
     tokens.write(docs_of(spark, rows), path, shard_tokens=500)
     got = tokens.read(spark, path).orderBy("start").collect()
     start = 0
-    for row, (doc_id, text) in zip(got, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())), strict=True):
+    for row, (doc_id, text) in zip(got, sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)), strict=True):
         ids = np.array([*plain.encode(text or "", add_special_tokens=False).ids, tokens.END], "<u4")
         assert (row.doc_id, row.start, row.n_tokens, row.ids_crc32) == (doc_id, start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
 
 
+def test_rows_without_id_are_spread_over_ranges(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be put together again
+    tokens.write(docs_of(spark, [(None, f"text {k}") for k in range(4_000)] + [(1, "last")]), str(tmp_path / "hot"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    shards = spark.read.parquet(str(tmp_path / "hot")).collect()
+    assert len(shards) >= 4 and max(r.n_docs for r in shards) < 2_500
+    got = tokens.read(spark, str(tmp_path / "hot")).orderBy("start").collect()
+    assert len(got) == 4_001 and got[-1].doc_id == 1 and [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+
+
 def test_token_file_of_nothing(spark, tmp_path):
     tokens.write(docs_of(spark, []), str(tmp_path / "none"))
     assert tokens.read(spark, str(tmp_path / "none")).collect() == []
