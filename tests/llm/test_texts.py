@@ -334,6 +334,26 @@ def test_the_template_is_judged_over_all_pages_of_a_host(spark):
     assert all(got[400 + n] == f"Head {n}" for n in range(200))  # also where the few sampled pages lack the group
 
 
+def test_the_wrapper_knows_groups_of_few_pages(spark):
+    rare = "<section><p>Same offer</p></section><h2>Part {n}</h2><section><p>Word {n}</p></section>"
+    rows = [(n, "http://many.example/", f"<body><h1>Head {n}</h1>{rare.format(n=n) if n % 40 == 0 else ''}</body>") for n in range(400)]
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string"), most=4).collect()}
+    # Both sections have one path: only a wrapper that has seen them keeps the constant one apart.
+    assert got == {n: f"Head {n}" + f"\nPart {n}\nWord {n}" * (n % 40 == 0) for n in range(400)}
+
+
+def test_wrappers_hold_all_streams_whatever_their_order_and_stay_short(spark):
+    draw = random.Random(4)
+    shapes = [[draw.randint(1, 6) for _ in range(draw.randint(1, 12))] for _ in range(1_500)]
+    rows = [("h", s) for s in shapes] + [("g", [1, 2]), ("g", [1, 2]), ("g", [1, 2, 3])]
+    found = [
+        {r.host: r.wrapper for r in wrappers.wrappers(spark.createDataFrame(some, "host string, shape array<bigint>").repartition(parts)).collect()}
+        for some, parts in ((rows, 3), (rows[::-1], 7))]
+    assert found[0] == found[1] and found[0]["g"] == "1,2"
+    whole = [int(x) for x in found[0]["h"].split(",")]
+    assert all(len(wrappers.aligned(whole, s)) == len(s) for s in shapes) and len(whole) <= 2 * 12 * 6
+
+
 def test_long_and_unclosed_attributes(spark):
     long = "x > y " * 5_000
     rows = [(1, f"<article><p>a<img src=\"data:{long}\">b</p><div data-props='{long}' class=\"ad\">no</div><p>c</p></article>"),
