@@ -17,6 +17,7 @@ import re
 import sys
 import types
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -90,6 +91,8 @@ class Encoder:
         self.low = self.high = np.zeros(0, np.uint64)
         self.first = self.last = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        # Which of them were asked for again since the memory was last full.
+        self.again = np.zeros(0, bool)
 
     def remembered(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Where each digest is remembered; -1 for those that aren't."""
@@ -99,9 +102,12 @@ class Encoder:
         return np.where((self.low[at] == low) & (self.high[at] == high), at, -1)
 
     def learn(self, low: np.ndarray, high: np.ndarray, ends: np.ndarray, ids: np.ndarray, wanted: np.ndarray) -> None:
-        """Remember new pieces; where that would be too many, only those asked for now (places in `wanted`) stay of the others."""
+        """Remember new pieces; where that would be too many, of the others those stay that were asked for again, if they leave half of the room, or else now (places in `wanted`)."""
         if len(self.low) + len(low) > REMEMBERED:
-            kept = np.unique(wanted[wanted >= 0])
+            kept = np.flatnonzero(self.again)
+            if len(kept) > REMEMBERED // 2:
+                kept = np.unique(wanted[wanted >= 0])
+            self.again = np.zeros(len(kept), bool)
             sizes = np.cumsum(self.last[kept] - self.first[kept])
             self.ids = self.ids[run_of(self.first[kept], sizes)]
             self.low, self.high, self.first, self.last = self.low[kept], self.high[kept], np.append(0, sizes[:-1])[: len(kept)], sizes
@@ -109,44 +115,56 @@ class Encoder:
         order = np.argsort(np.concatenate([self.low, low]), kind="stable")
         self.low, self.high, self.first, self.last = (
             np.concatenate(pair)[order] for pair in ((self.low, low), (self.high, high), (self.first, begins), (self.last, ends + len(self.ids))))
+        self.again = np.concatenate([self.again, np.zeros(len(low), bool)])[order]
         self.ids = np.concatenate([self.ids, ids])
 
+    @staticmethod
+    def digests(pieces: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        lead = " " if spaced else ""
+        both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(lead + p) for p in pieces]), np.uint64).reshape(-1, 2)
+        return both[:, 0].copy(), both[:, 1].copy()
+
     def tokenized(self, pieces: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces in a row, and where those of each end; `spaced` pieces have a space before them."""
         tokenize, fullmatch = self.model.tokenize, self.WORD.fullmatch
         found: list = [None] * len(pieces)
-        bases: dict[str, list[int]] = {}
-        rest = []
+        words, stopped, rest = [], [], []
         for k, piece in enumerate(pieces):
             word = fullmatch(piece) if self.direct else None
-            if word is None:
-                rest.append(k)
-                continue
-            stop = word[1]
-            base = piece[:-1] if stop else piece
-            ids = bases.get(base)
-            if ids is None:
-                form = base if base.isascii() else base.encode().decode("latin1").translate(self.letters)
-                bases[base] = ids = [t.id for t in tokenize("Ġ" + form if spaced else form)]
-            found[k] = ids + self.stops[stop] if stop else ids
+            (rest if word is None else stopped if word[1] else words).append(k)
+        lead, letters = "Ġ" if spaced else "", self.letters
+        bases: dict[str, list[int]] = {}
+        for k in words:
+            base = pieces[k]
+            form = base if base.isascii() else base.encode().decode("latin1").translate(letters)
+            bases[base] = found[k] = [t.id for t in tokenize(lead + form)]
+        # A word with a stop behind it may be remembered without.
+        asked = list({pieces[k][:-1] for k in stopped} - bases.keys())
+        for base, at in zip(asked, self.remembered(*self.digests(asked, spaced)).tolist(), strict=True):
+            if at >= 0:
+                bases[base] = self.ids[self.first[at] : self.last[at]].tolist()
+            else:
+                form = base if base.isascii() else base.encode().decode("latin1").translate(letters)
+                bases[base] = [t.id for t in tokenize(lead + form)]
+        for k in stopped:
+            found[k] = bases[pieces[k][:-1]] + self.stops[pieces[k][-1]]
         for at in range(0, len(rest), 10_000):
             some = rest[at : at + 10_000]
             texts = [" " + pieces[k] if spaced else pieces[k] for k in some]
             for k, encoding in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
                 found[k] = encoding.ids
         ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        return ends, np.fromiter((x for ids in found for x in ids), np.uint32, int(ends[-1]) if len(ends) else 0)
+        return ends, np.fromiter(chain.from_iterable(found), np.uint32, int(ends[-1]) if len(ends) else 0)
 
     def ids_of(self, pieces: list[str], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the pieces in a row, and where those of each end, as far as possible from memory."""
-        lead = " " if spaced else ""
-        digests = np.frombuffer(b"".join([xxhash.xxh3_128_digest(lead + p) for p in pieces]), np.uint64).reshape(-1, 2)
-        low, high = digests[:, 0].copy(), digests[:, 1].copy()
+        low, high = self.digests(pieces, spaced)
         at = self.remembered(low, high)
         new = np.flatnonzero(at < 0)
         ends, ids = self.tokenized([pieces[k] for k in new], spaced)
         # All ids in one row, those from memory before the new ones; then in the order of the pieces.
         old = np.flatnonzero(at >= 0)
+        self.again[at[old]] = True
         sizes = np.zeros(len(pieces), np.int64)
         sizes[old], sizes[new] = self.last[at[old]] - self.first[at[old]], np.diff(ends, prepend=0)
         known = self.ids[run_of(self.first[at[old]], np.cumsum(sizes[old]))]
@@ -169,24 +187,26 @@ class Encoder:
         flat = lists.values.slice(edges[0], edges[-1] - edges[0])
         edges = edges - edges[0]
         coded = flat.dictionary_encode()
-        codes = np.asarray(coded.indices, np.int64)
-        vocabulary = coded.dictionary.to_pylist()
+        codes = np.array(coded.indices, np.int64)
+        vocabulary = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         # Without a space before them stand the first piece of a text (there is one), line breaks and what follows them.
         breaks = codes == (vocabulary.index("\n") if "\n" in vocabulary else -1)
         head = breaks.copy()
         head[1:] |= breaks[:-1]
         head[edges[:-1]] = True
-        first, sizes, ids = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64), []
+        # A piece counts twice: as it is with a space before it and, behind all those, without.
+        codes += len(vocabulary) * head
+        seen = np.bincount(codes, minlength=2 * len(vocabulary)) > 0
+        begin, length, ids = np.zeros(len(seen), np.int64), np.zeros(len(seen), np.int64), []
         before = 0
-        for kind, spaced in ((~head, True), (head, False)):
-            mine = np.flatnonzero(np.bincount(codes[kind], minlength=len(vocabulary)))
+        for shift, spaced in ((0, True), (len(vocabulary), False)):
+            mine = np.flatnonzero(seen[shift : shift + len(vocabulary)])
             last, found = self.ids_of([vocabulary[c] for c in mine], spaced)
-            place = np.zeros(len(vocabulary), np.int64)
-            place[mine] = np.arange(len(mine))
-            spot, length = place[codes[kind]], np.diff(last, prepend=0)
-            first[kind], sizes[kind] = (last - length)[spot] + before, length[spot]
+            length[mine + shift] = np.diff(last, prepend=0)
+            begin[mine + shift] = last - length[mine + shift] + before
             ids.append(found)
             before += len(found)
+        first, sizes = begin[codes], length[codes]
         ends = np.cumsum(sizes)
         every = np.concatenate(ids)[run_of(first, ends)]
         bounds = np.concatenate([[0], ends])[edges]

@@ -287,6 +287,31 @@ def test_token_file_equals_the_tokenizer(spark, tmp_path):
         start += len(ids)
 
 
+def test_the_encoder_finds_words_with_a_stop_and_keeps_what_is_asked_again(monkeypatch):
+    coder = tokens.Encoder(tokens.tokenizer_path())
+    plain, asked = coder.tokenizer, []
+
+    class Model:
+        tokenize = staticmethod(lambda word, model=coder.model: asked.append(word) or model.tokenize(word))
+
+    def same(*texts):
+        found = coder.encode(pa.array(texts))
+        assert [f.tolist() for f in found] == [[*plain.encode(t, add_special_tokens=False).ids, tokens.END] for t in texts]
+
+    coder.model = Model()
+    same("quixotry zebroid")
+    first = len(asked)
+    same("quixotry. zebroid, zebroid.")
+    assert first == 2 and len(asked) == first
+    monkeypatch.setattr(tokens, "REMEMBERED", 12)
+    same("quixotry zebroid")
+    same("one two three four five six seven eight nine ten")
+    assert len(coder.low) <= 12 + 10
+    before = len(asked)
+    same("quixotry zebroid")
+    assert len(asked) == before
+
+
 def test_rows_without_id_are_spread_over_ranges(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges would be put together again
     tokens.write(docs_of(spark, [(None, f"text {k}") for k in range(4_000)] + [(1, "last")]), str(tmp_path / "hot"))
