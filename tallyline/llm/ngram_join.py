@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.components import components
 from tallyline.llm.frames import columns_of, settled
-from tallyline.llm.words import hashed_words, mixed, per_text, pieces, shingles_of
+from tallyline.llm.words import given_back, hashed_words, mixed, per_text, pieces, shingles_of
 
 WORDS, THRESHOLD, RECALL, MOST_HASHES = 5, 0.8, 0.999, 128
 #: A block holds about so many classes, and so many n-grams in all.
@@ -84,6 +84,7 @@ def signed(batches, n: int, bands: int, rows: int):
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys, pa.binary()), pa.array(np.diff(starts), pa.int64()),
              pa.FixedSizeListArray.from_arrays(pa.array(out.view(np.int64).ravel()), bands).cast(pa.list_(pa.int64()))],
             names=["doc_id", "text_hash", "key", "size", "bands"])
+    given_back()
 
 
 def dealt(batches, n: int):
@@ -105,6 +106,7 @@ def dealt(batches, n: int):
                         yield pa.RecordBatch.from_pylist([dict(zip(DEALT.names, r, strict=True)) for r in rows], DEALT)
                         rows, weight = [], 0
         yield pa.RecordBatch.from_pylist([dict(zip(DEALT.names, r, strict=True)) for r in rows], DEALT)
+    given_back()
 
 
 DEALT = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("rep", pa.int64()),

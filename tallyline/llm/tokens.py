@@ -10,7 +10,6 @@ rows that repeat an id are kept, in the order in which they are read. An empty t
 
 from __future__ import annotations
 
-import ctypes
 import json
 import os
 import re
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.frames import columns_of
 from tallyline.llm.wavelet import WaveletMatrix, packed
-from tallyline.llm.words import pieces
+from tallyline.llm.words import given_back, pieces
 
 END = 2
 SHARD_TOKENS = 1 << 20
@@ -222,14 +221,6 @@ def encoder(path: str) -> Encoder:
     return known[path]
 
 
-def given_back() -> None:
-    """Return what a task has freed to the system: the worker stays, idle, beside those that work."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 def sharded(batches, path: str, shard_tokens: int):
     """The shards of one range of documents, which come in order."""
     coder, part, shard = encoder(path), TaskContext.get().partitionId(), 0

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import language
 from tallyline.llm.frames import bounded_sample, class_sizes, columns_of
-from tallyline.llm.words import GOLD, by_piece, mixed, words_of
+from tallyline.llm.words import GOLD, LOOKED_UP_AT_ONCE, by_piece, mixed, words_of
 
 #: Labelled rows to learn from, for each of the two labels.
 ROWS_PER_LABEL = 2_000
@@ -201,7 +201,7 @@ def counted(docs: DataFrame, known: DataFrame, used: DataFrame, model: dict) ->
             bins = np.floor(np.arcsinh(logits(words, sent.value)) * BINS)
             return pa.StructArray.from_arrays([pa.array(tongues(words, sent.value), pa.int32()), pa.array(bins, pa.int32(), safe=False)], names=["tongue", "bin"])
 
-        return by_piece(texts, of_piece, pa.struct([("tongue", pa.int32()), ("bin", pa.int32())]))
+        return by_piece(texts, of_piece, pa.struct([("tongue", pa.int32()), ("bin", pa.int32())]), LOOKED_UP_AT_ONCE)
 
     rows = columns_of(docs, doc_id="bigint", text="string").filter("doc_id IS NOT NULL")
     if known.count() <= SENT_IDS:
@@ -268,6 +268,6 @@ def score(df: DataFrame, model: dict | None, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def toxicity(texts: pa.Array) -> pa.Array:
-        return by_piece(texts, lambda piece: scored(piece, sent.value), pa.float64())
+        return by_piece(texts, lambda piece: scored(piece, sent.value), pa.float64(), LOOKED_UP_AT_ONCE)
 
     return toxicity(text)

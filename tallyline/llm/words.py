@@ -5,7 +5,9 @@ A word is what stands between white space, in lower case. Hashes are 64 bits wid
 
 from __future__ import annotations
 
+import ctypes
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,12 @@ import pyarrow.compute as pc
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x9E3779B97F4A7C15
+#: Bytes of text taken at once; several times as many are held while their words are looked at.
+AT_ONCE = 1 << 20
+#: The same where distinct words are looked up in a model, once for all texts that are taken together.
+LOOKED_UP_AT_ONCE = 2 << 20
+#: Bytes whose running sums are held at once, whatever the length of a text.
+WINDOW = 1 << 16
 
 
 @dataclass
@@ -96,7 +104,7 @@ def hashed_words(texts: pa.Array, plain: bool = False) -> tuple[np.ndarray, np.n
 
     `plain` also drops all ASCII characters but letters and digits, and punctuation beyond ASCII, lets long dashes part
     words, and drops words of which nothing stays. A missing text has no word. A word's hash is a polynomial in its
-    bytes, taken from running sums over the whole batch.
+    bytes, taken from running sums over the whole batch, of which one window is held at a time.
     """
     texts = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     _, offsets, data = texts.buffers()
@@ -109,7 +117,7 @@ def hashed_words(texts: pa.Array, plain: bool = False) -> tuple[np.ndarray, np.n
     if plain:
         letter = (code >= 128) | ((code >= 97) & (code <= 122)) | ((code >= 48) & (code <= 57))
         kept = (letter | blank)[data]
-        data, offsets = data[kept], np.concatenate([[0], np.cumsum(kept)])[offsets]
+        data, offsets = data[kept], np.concatenate([[0], np.cumsum(per_text(np.add, kept.view(np.int8), offsets, 0, np.int64))])
     inside = ~blank[data]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -118,9 +126,31 @@ def hashed_words(texts: pa.Array, plain: bool = False) -> tuple[np.ndarray, np.n
     first[edges] |= inside[edges]
     last[edges - 1] |= inside[edges - 1]
     first, last = np.flatnonzero(first), np.flatnonzero(last) + 1
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)))])
-    value = (sums[last] - sums[first]) * powers(pow(BASE, -1, 1 << 64), len(data) + 1)[first]
-    return mixed(value + (last - first).astype(np.uint64)), np.searchsorted(first, offsets)
+    return mixed(polynomials(data, first, last) + (last - first).astype(np.uint64)), np.searchsorted(first, offsets)
+
+
+@cache
+def window_powers(base: int) -> np.ndarray:
+    return powers(base, WINDOW)
+
+
+def polynomials(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The polynomial in the bytes of every word, which lies from `first` to `last`; both ascend."""
+    inverse = pow(BASE, -1, 1 << 64)
+    up, down = window_powers(BASE), window_powers(inverse)
+    before, back, behind = (np.zeros(len(first), np.uint64) for _ in range(3))
+    total = np.zeros(1, np.uint64)
+    for start in range(0, len(data), WINDOW):
+        window = data[start : start + WINDOW]
+        shift = np.uint64(pow(BASE, start, 1 << 64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((window.astype(np.uint64) + np.uint64(1)) * up[: len(window)])])
+        begin = slice(*np.searchsorted(first, [start, start + len(window)]))
+        end = slice(*np.searchsorted(last, [start, start + len(window)], "right"))
+        before[begin] = total + sums[first[begin] - start] * shift
+        back[begin] = down[first[begin] - start] * np.uint64(pow(inverse, start, 1 << 64))
+        behind[end] = total + sums[last[end] - start] * shift
+        total = total + sums[-1:] * shift
+    return (behind - before) * back
 
 
 def shingles_of(hashes: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +171,12 @@ def shingles_of(hashes: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndar
     return mixed(value + length.astype(np.uint64)), out_starts
 
 
-def per_text(ufunc, values: np.ndarray, starts: np.ndarray, empty) -> np.ndarray:
-    """Reduce the values of each text; texts without values get `empty`."""
-    out = np.full((len(starts) - 1, *values.shape[1:]), empty, values.dtype)
+def per_text(ufunc, values: np.ndarray, starts: np.ndarray, empty, kind=None) -> np.ndarray:
+    """Reduce the values of each text, as type `kind` if given; texts without values get `empty`."""
+    out = np.full((len(starts) - 1, *values.shape[1:]), empty, kind or values.dtype)
     full = np.flatnonzero(np.diff(starts) > 0)
     if len(full):
-        out[full] = ufunc.reduceat(values, starts[:-1][full], axis=0)
+        out[full] = ufunc.reduceat(values, starts[:-1][full], axis=0, dtype=kind)
     return out
 
 
@@ -167,7 +197,7 @@ def grams_of(strings: list[str], sizes: tuple[int, ...], buckets: int):
             yield ids.astype(np.int64), np.concatenate([[0], np.cumsum(np.maximum(lengths - n + 1, 0))])
 
 
-def pieces(batch, column: str | None = None, most: int = 6 << 20):
+def pieces(batch, column: str | None = None, most: int = AT_ONCE):
     """A batch (or an array of texts) in runs of rows with about `most` bytes of text, so that memory stays bounded."""
     texts = batch if column is None else batch.column(column)
     size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), np.int64))
@@ -178,6 +208,16 @@ def pieces(batch, column: str | None = None, most: int = 6 << 20):
         first = last
 
 
-def by_piece(texts: pa.Array, plan, kind: pa.DataType) -> pa.Array:
-    """plan(texts) over the pieces of an array, put together again."""
-    return pa.concat_arrays([pa.array([], kind), *(plan(piece) for piece in pieces(texts))])
+def given_back() -> None:
+    """Return what a task has freed to the system: the worker stays, idle, beside those that work."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def by_piece(texts: pa.Array, plan, kind: pa.DataType, most: int = AT_ONCE) -> pa.Array:
+    """plan(texts) over the pieces of an array, put together again; then memory is given back."""
+    out = pa.concat_arrays([pa.array([], kind), *(plan(piece) for piece in pieces(texts, most=most))])
+    given_back()
+    return out

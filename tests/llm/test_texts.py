@@ -5,6 +5,7 @@ import math
 import os
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -39,6 +40,29 @@ def test_word_hashes_depend_on_the_word_only():
     assert hashed_words(pa.array(["zz", *texts]).slice(1))[0].tolist() == values.tolist()
 
 
+def test_word_hashes_do_not_depend_on_windows():
+    draw = random.Random(5)
+    some = ["".join(draw.choice("abcé漢-") for _ in range(draw.randint(1, 9))) for _ in range(20_000)] + ["z" * (2 * words.WINDOW + 7)]
+    draw.shuffle(some)
+    values, starts = hashed_words(pa.array([" ".join(some[:9_000]), "", None, " ".join(some[9_000:])]))
+    whole = [sum((byte + 1) * pow(words.BASE, k, 1 << 64) for k, byte in enumerate(w.encode())) + len(w.encode()) for w in some]
+    assert values.tolist() == words.mixed(np.array([x % (1 << 64) for x in whole], np.uint64)).tolist()
+    assert starts.tolist() == [0, 9_000, 9_000, 9_000, len(some)]
+
+
+@pytest.mark.parametrize("texts", [2_000, 1])
+def test_batch_of_long_texts_takes_bounded_memory(texts):
+    # 8 MB of text in one Arrow batch: many rows, or one that can't be dealt into pieces.
+    known = decontaminate.index([(1, "seven words that a test item holds")])
+    batch = pa.array(["twelve more letters, " * (400_000 // texts) + "Seven words that a test item holds."] * texts)
+    tracemalloc.start()
+    found = words.by_piece(batch, lambda piece: decontaminate.found_in(piece, known), decontaminate.FOUND)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all(len(row) == 1 for row in found.to_pylist())
+    assert peak < (40 << 20 if texts > 1 else 200 << 20)
+
+
 # --- secrets
 
 def plain_spans(text):
