@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.frames import BROADCAST_BYTES, bounded_sample, class_sizes, columns_of
-from tallyline.llm.words import LOOKED_UP_AT_ONCE, by_piece, given_back, grams_of, per_text, pieces, words_of
+from tallyline.llm.words import by_piece, given_back, grams_of, per_text, pieces, words_of
 
 UNDETERMINED = "und"
 FOUND = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
@@ -128,7 +128,7 @@ def predictor(df: DataFrame, model: Model):
 
     @F.arrow_udf("lang_pred string, score double")
     def language(texts: pa.Array) -> pa.Array:
-        return by_piece(texts, lambda piece: predicted(piece, sent.value), FOUND, LOOKED_UP_AT_ONCE)
+        return by_piece(texts, lambda piece: predicted(piece, sent.value), FOUND)
 
     return language
 

@@ -17,8 +17,6 @@ GOLD = np.uint64(0x9E3779B97F4A7C15)
 BASE = 0x9E3779B97F4A7C15
 #: Bytes of text taken at once; several times as many are held while their words are looked at.
 AT_ONCE = 1 << 20
-#: The same where distinct words are looked up in a model, once for all texts that are taken together.
-LOOKED_UP_AT_ONCE = 2 << 20
 #: Bytes whose running sums are held at once, whatever the length of a text.
 WINDOW = 1 << 16
 
