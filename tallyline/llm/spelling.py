@@ -11,7 +11,8 @@ a reduced word stands for few words at any size; it decides what is compared, ne
 
 Counting, the lookup and the comparison are Spark jobs: words are summed in each task before the shuffle, the lookup is
 a join of two keyed tables that AQE splits where it is hot, and roots are found by doubling: a chain of forms grows at
-least FACTOR-fold in occurrences at each step, so it is short and has no cycle.
+least FACTOR-fold in occurrences at each step, so it is short and has no cycle. Every join is by shuffle and sort (see
+beside): nothing that grows with the vocabulary passes the driver.
 
 Defined results: a missing text has no word, a missing id counts as empty, rows that repeat an id or a text count each;
 an empty table gives an empty one. A word's form is its near word of largest count, ties to the smallest in code-point order.
@@ -144,6 +145,15 @@ def own_keys(symbols: int):
     return plan
 
 
+def beside(left: DataFrame, right: DataFrame, on: str | Column, how: str = "inner") -> DataFrame:
+    """A join by shuffle and sort, never a broadcast, which the driver would have to hold.
+
+    Spark sizes a table by its compressed files, and a Python step as one row for each row read: the keys of all
+    neighbourhoods, dozens for each word, count as less than the file of the words.
+    """
+    return left.hint("merge").join(right, on, how)
+
+
 def near_pairs(words: DataFrame, symbols: int | None = None) -> DataFrame:
     """(word, n, other, other_n) for every two words (columns id, word, n) that are one letter apart, in both directions.
 
@@ -152,8 +162,8 @@ def near_pairs(words: DataFrame, symbols: int | None = None) -> DataFrame:
     symbols = symbols or symbols_for(words.count())
     looked = words.select("id", "word").mapInArrow(lookups(symbols), "key bigint, id bigint, own boolean")
     entries = words.select("id", "word", "n").mapInArrow(own_keys(symbols), "entry bigint, other_id bigint, other string, other_n bigint")
-    met = looked.join(entries, F.col("key") == F.col("entry")).filter(F.when(F.col("own"), F.col("id") < F.col("other_id")).otherwise(True))
-    spelt = met.select("id", "other", "other_n").join(words.select("id", "word", "n"), "id")
+    met = beside(looked, entries, F.col("key") == F.col("entry")).filter(F.when(F.col("own"), F.col("id") < F.col("other_id")).otherwise(True))
+    spelt = beside(met.select("id", "other", "other_n"), words.select("id", "word", "n"), "id")
     pairs = spelt.filter(F.levenshtein("word", "other", 1) == 1)
     back = F.struct(F.col("other").alias("word"), F.col("other_n").alias("n"), F.col("word").alias("other"), F.col("n").alias("other_n"))
     return pairs.select(F.explode(F.array(F.struct("word", "n", "other", "other_n"), back)).alias("p")).select("p.*")
@@ -164,7 +174,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = settled(forms.select("word", F.col("form").alias("root"), F.lit(False).alias("done")), "forms")
     while now.filter(~F.col("done")).limit(1).count():
         ahead = now.select(F.col("word").alias("at"), F.col("root").alias("next"))
-        now = settled(now.join(ahead, F.col("root") == F.col("at"), "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNull().alias("done")), "forms")
+        now = settled(beside(now, ahead, F.col("root") == F.col("at"), "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNull().alias("done")), "forms")
     return now.select("word", "root")
 
 
@@ -179,4 +189,4 @@ def variants(docs: DataFrame, symbols: int | None = None) -> DataFrame:
     judged = settled(found.select(
         "word", F.when(is_form, F.col("best.word")).alias("form"), "n", "n_near", F.when(is_form, -F.col("best.less")).alias("form_n")), "judged")
     ends = roots(judged.filter("form IS NOT NULL")).withColumnRenamed("word", "of")
-    return judged.join(ends, F.col("word") == F.col("of"), "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return beside(judged, ends, F.col("word") == F.col("of"), "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -67,6 +67,23 @@ def test_all_pairs(spark, symbols):
     assert any(r[1] and r[1] != r[2] for r in want) and any(r[4] > 1 for r in want)
 
 
+def test_nothing_of_the_vocabulary_is_broadcast(spark):
+    rows = invented(4)
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "64")
+    try:
+        got = [tuple(r) for r in spelling.variants(documents(spark, rows)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    want = plain(rows)
+    assert set(got) == want and len(got) == len(want) and any(r[1] and r[1] != r[2] for r in want)
+
+
+def test_lookups_are_not_broadcast_by_their_estimate(spark):
+    words = spark.range(2_000).selectExpr("id", "concat('word', translate(id, '0123456789', 'abcdefghij')) AS word", "id AS n")
+    plan = spelling.near_pairs(words, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 2 and "Broadcast" not in plan
+
+
 def test_repeated_rows_count(spark):
     rows = [(1, "repeated"), (1, "repeated")] * 3
     assert [tuple(r) for r in spelling.variants(documents(spark, rows)).collect()] == [("repeated", None, "repeated", 6, 0, None)]
